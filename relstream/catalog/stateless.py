@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from relstream import RecordStream, TopicSpec, decode_json, encode_json, read_json_records, safe_udf
 from relstream.catalog.registry import EVENTS, VERSIONS, events, query, read, users
 from relstream.plans.scratch import scratch_path
+from relstream.sources.topics import JSON_TIMES
 
 # The events table has no malformed text: an error's properties lose their closing brace.
 RAW = "CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1) ELSE props END"
@@ -58,7 +59,7 @@ def json_encode(spark, folder):
 @query("sink_roundtrip", EVENTS)
 def sink_roundtrip(spark, folder):
     stream = events(spark, folder)
-    topic = TopicSpec(scratch_path(spark, "topic"), stream.rows().schema, "json", {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    topic = TopicSpec(scratch_path(spark, "topic"), stream.rows().schema, "json", JSON_TIMES)
     stream.to(topic)
     return topic.read(spark)
 

@@ -26,3 +26,22 @@ def length_micros(span: timedelta) -> int:
 def interval_text(span: timedelta) -> str:
     """The duration as `F.window` and `withWatermark` want it."""
     return f"{length_micros(span)} microseconds"
+
+
+def above_watermark(flow, condition: Column) -> Column:
+    """`condition` so that on a stream it is not evaluated below the watermark.
+
+    The optimizer moves conditions that do not read the event time below it, and then the records
+    they drop would not advance it.
+    """
+    if not flow.df.isStreaming or flow.ts is None:
+        return condition
+    return F.when(F.col(flow.ts).isNotNull(), condition)
+
+
+def complete(flow, delay: timedelta | None = None) -> DataFrame:
+    """Records with a key and a value, on a stream under a watermark that every record advances."""
+    rows = flow.rows()
+    if flow.df.isStreaming and delay is not None:
+        rows = rows.withWatermark(flow.ts, interval_text(delay))
+    return rows.where(above_watermark(flow, flow.has_key & flow.has_value))

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relstream.functions.mergeable import Mergeable, count
 from relstream.functions.predicates import all_of
-from relstream.functions.times import interval_text
+from relstream.functions.times import complete, interval_text
 from relstream.operators.sessions import END, START, aggregate_sessions, fold_sessions
 from relstream.operators.tables import OP
 from relstream.operators.windows import WINDOW, SessionWindows, TimeWindows, UnlimitedWindows
@@ -41,6 +41,11 @@ class StreamGroupOps:
         return kind(self, windows)
 
     def windowed_by(self, key: dict[str, Column], windows, valid: Column | None = None):
+        """As `windowed_by_key`, by computed columns; a record that yields no key is quarantined."""
+        if self.df.isStreaming and windows.retention is not None:
+            # Records that the mapper drops advance the watermark too.
+            marked = self.rows().withWatermark(self.ts, interval_text(windows.retention))
+            return self.with_(df=marked).windowed_by(key, replace(windows, retention=None), valid)
         return self.map_keys(key, valid).windowed_by_key(windows)
 
 
@@ -51,10 +56,7 @@ class _Grouped:
 
     def _rows(self) -> DataFrame:
         """Records with a key and a value; on a stream, with the watermark of the retention."""
-        rows = self.stream.rows().where(self.stream.has_key & self.stream.has_value)
-        if rows.isStreaming and self.windows is not None and self.windows.retention is not None:
-            rows = rows.withWatermark(self.stream.ts, interval_text(self.windows.retention))
-        return rows
+        return complete(self.stream, self.windows and self.windows.retention)
 
     def _table(self, df: DataFrame, extra_key: tuple[str, ...]):
         from relstream.model import UpsertTable

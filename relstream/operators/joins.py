@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relstream.functions.predicates import all_of, all_present
-from relstream.functions.times import interval_text, length_micros, micros
+from relstream.functions.times import above_watermark, complete, length_micros, micros
 from relstream.operators.joiners import LEFT, RIGHT, Joiner
 from relstream.plans.ordered import Carried, carry_forward
 from relstream.plans.skew import lookup_join
@@ -29,9 +29,6 @@ def _check(how: str, *allowed: str) -> None:
 
 class StreamJoinOps:
 
-    def _complete(self) -> DataFrame:
-        return self.rows().where(self.has_key & self.has_value)
-
     def _join_keys(self, on: dict[str, Column] | None, right_key: tuple[str, ...]) -> dict[str, Column]:
         """The left side's join key columns, named apart from every other column."""
         sources = list(on.values()) if on else [F.col(k) for k in self.key]
@@ -51,12 +48,12 @@ class StreamJoinOps:
         """Looks each record's key, or the key computed by `on`, up in a static table."""
         _check(how, "inner", "left")
         keys = self._join_keys(on, table.key)
-        left = self._complete().select(
+        left = complete(self).select(
             *self.key, F.struct(*self.value).alias(LEFT), *self.order, *[c.alias(n) for n, c in keys.items()]
         )
         rejects = self.rejects
         if on and how == "inner":
-            failed = self._complete().where(~all_of(c.isNotNull() for c in keys.values()))
+            failed = complete(self).where(~all_of(c.isNotNull() for c in keys.values()))
             rejects = (*rejects, self.reject("join_lookup", failed, "no join key"))
         right_keys = [f"__rk{i}" for i in range(len(table.key))]
         right = table.rows().select(
@@ -89,8 +86,8 @@ class StreamJoinOps:
             return [*ts, F.lit(number).alias(_SIDE), *[F.col(s).alias(f"__seq{i}") for i, s in enumerate(side.seq)]]
 
         record = F.struct(*self.key, *self.order, F.struct(*self.value).alias(LEFT))
-        complete = self._complete()
-        records = complete.select(*[c.alias(n) for n, c in keys.items()], *placed(self, 1), record.alias("__record"))
+        usable = complete(self)
+        records = usable.select(*[c.alias(n) for n, c in keys.items()], *placed(self, 1), record.alias("__record"))
         # The wrapping struct is never null, which tells a deleted version from no version.
         versions = table.rows().where(table.has_key).select(
             *[F.col(k).alias(n) for k, n in zip(table.key, names)], *placed(table, 0),
@@ -100,7 +97,7 @@ class StreamJoinOps:
         rejects = self.rejects
         if on:
             if how == "inner":
-                failed = complete.where(~all_of(c.isNotNull() for c in keys.values()))
+                failed = usable.where(~all_of(c.isNotNull() for c in keys.values()))
                 rejects = (*rejects, self.reject("join_table", failed, "no join key"))
             else:
                 keyless = records.where(~all_present(names)).select("__record", F.lit(None).alias(RIGHT))
@@ -129,9 +126,9 @@ class StreamJoinOps:
         if len(self.key) != len(other.key) or len(self.seq) != len(other.seq):
             raise ValueError("both streams need equally many key and seq columns")
         names = [f"__k{i}" for i in range(len(self.key))]
-        sides = [_side(self, names, "__lt", "__ls", LEFT), _side(other, names, "__rt", "__rs", RIGHT)]
+        sides = [_side(self, names, "__lt", "__ls", LEFT, late), _side(other, names, "__rt", "__rs", RIGHT, late)]
         if self.df.isStreaming or other.df.isStreaming:
-            joined = _interval_streaming(*sides, names, before, after, how, late)
+            joined = _interval_streaming(*sides, names, before, after, how)
         else:
             joined = _interval_batch(*sides, names, before, after, how)
         order = [
@@ -146,9 +143,13 @@ class StreamJoinOps:
         return self.with_(df=df, value=tuple(columns), rejects=self.rejects + other.rejects)
 
 
-def _side(stream, names: list[str], ts: str, seq: str, value: str) -> DataFrame:
-    return stream._complete().where(F.col(stream.ts).isNotNull()).select(
-        *[F.col(k).alias(n) for k, n in zip(stream.key, names)],
+def _side(stream, names: list[str], ts: str, seq: str, value: str, late: timedelta | None) -> DataFrame:
+    if stream.df.isStreaming and late is None:
+        raise ValueError("a stream needs late=, the watermark delay")
+    rows = complete(stream, late).where(F.col(stream.ts).isNotNull())
+    return rows.select(
+        # The join makes the optimizer filter for present keys, which must stay above the watermark.
+        *[above_watermark(stream, F.col(k)).alias(n) for k, n in zip(stream.key, names)],
         F.col(stream.ts).alias(ts),
         *[F.col(s).alias(f"{seq}{i}") for i, s in enumerate(stream.seq)],
         F.struct(*stream.value).alias(value),
@@ -204,11 +205,9 @@ def _same(on: list[str]) -> Column:
 
 
 def _interval_streaming(left: DataFrame, right: DataFrame, names: list[str], before: timedelta,
-                        after: timedelta, how: str, late: timedelta | None) -> DataFrame:
-    if late is None:
-        raise ValueError("a stream needs late=, the watermark delay")
-    l = left.withWatermark("__lt", interval_text(late))
-    r = right.withWatermark("__rt", interval_text(late)).withColumnsRenamed({n: f"__r{n}" for n in names})
-    joined = l.join(r, _near(before, after) & _same(names), {"full": "full_outer"}.get(how, how))
+                        after: timedelta, how: str) -> DataFrame:
+    """The time condition lets Spark drop rows from state once the watermarks have passed them."""
+    aside = right.withColumnsRenamed({n: f"__r{n}" for n in names})
+    joined = left.join(aside, _near(before, after) & _same(names), {"full": "full_outer"}.get(how, how))
     keys = [F.coalesce(n, f"__r{n}").alias(n) for n in names]
     return joined.select(*keys, *[c for c in joined.columns if c not in names and not c.startswith("__r__k")])

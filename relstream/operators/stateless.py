@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from relstream.functions.predicates import all_of, strict
+from relstream.functions.times import above_watermark
 
 _VALID = "__valid"
 
@@ -67,7 +68,7 @@ class StreamMapOps:
         new = {**(key or {}), **(value or {})}
         if valid is None:
             valid = all_of(c.isNotNull() for c in key.values()) if key else F.lit(True)
-        tested = self.rows().select("*", _guard(valid).alias(_VALID))
+        tested = self.rows().select("*", _guard(above_watermark(self, valid)).alias(_VALID))
         rejects = self.rejects
         if fallback is None:
             failed = tested.where(~F.col(_VALID))

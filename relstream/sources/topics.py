@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 
+# JSON carries times to the microsecond, Spark's default only to the millisecond.
+JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 @dataclass(frozen=True)
 class TopicSpec:
@@ -46,7 +52,7 @@ def decode_json(raw: Column, schema: T.StructType | str) -> Column:
     """
     ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     return F.from_json(raw, f"{ddl}, {CORRUPT} string", {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIMES,
     })
 
 
@@ -56,7 +62,7 @@ def encode_json(columns: Iterable[str]) -> Column:
     present = F.lit(False)
     for name in columns:
         present = present | F.col(name).isNotNull()
-    return F.when(present, F.to_json(F.struct(*columns)))
+    return F.when(present, F.to_json(F.struct(*columns), JSON_TIMES))
 
 
 def read_json_records(df: DataFrame, key: Iterable[str], raw: str, schema: T.StructType | str,
