@@ -19,6 +19,15 @@ def micros(df: DataFrame, name: str) -> Column:
     return F.unix_micros(F.col(name))
 
 
+def seconds(df: DataFrame, name: str, shift: timedelta = timedelta()) -> Column:
+    """Whole seconds since 1970 of a time column moved by `shift`, rounded down."""
+    at = F.col(name) + F.lit(shift) if shift else F.col(name)
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        days = F.unix_date(at.cast("date")).cast("long")
+        return days * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
+    return F.unix_seconds(at)
+
+
 def length_micros(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
 

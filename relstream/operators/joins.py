@@ -7,19 +7,21 @@ it, an inner join quarantines it.
 
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relstream.functions.predicates import all_of, all_present
-from relstream.functions.times import above_watermark, complete, length_micros, micros
+from relstream.functions.times import above_watermark, complete, seconds
 from relstream.operators.joiners import LEFT, RIGHT, Joiner
 from relstream.plans.ordered import Carried, carry_forward
 from relstream.plans.skew import lookup_join
 
 _SIDE = "__side"
 _VERSION = "__version"
+_AT = "__at"
 
 
 def _check(how: str, *allowed: str) -> None:
@@ -74,18 +76,19 @@ class StreamJoinOps:
         _check(how, "inner", "left")
         keys = self._join_keys(on, table.key)
         names = list(keys)
-        time = [self.ts] if self.ts and table.ts else []
-        if len(self.seq) != len(table.seq):
-            raise ValueError("both sides need the same number of seq columns")
+        if (self.ts is None) != (table.ts is None) or len(self.seq) != len(table.seq):
+            raise ValueError("both sides need the same kinds of order columns")
         # At equal times the version comes first; without times the arrival numbers decide.
-        order = [*(["__ts"] if time else []), *([_SIDE] if time else []),
-                 *[f"__seq{i}" for i in range(len(self.seq))], *([] if time else [_SIDE])]
+        seqs = [f"__seq{i}" for i in range(len(self.seq))]
+        order = [_AT, _SIDE, *seqs] if self.ts else [*seqs, _SIDE]
 
         def placed(side, number: int) -> list[Column]:
-            ts = [F.col(side.ts).alias("__ts")] if time else []
-            return [*ts, F.lit(number).alias(_SIDE), *[F.col(s).alias(f"__seq{i}") for i, s in enumerate(side.seq)]]
+            at = [F.col(side.ts).alias(_AT)] if side.ts else []
+            return [*at, F.lit(number).alias(_SIDE), *[F.col(s).alias(q) for s, q in zip(side.seq, seqs)]]
 
-        record = F.struct(*self.key, *self.order, F.struct(*self.value).alias(LEFT))
+        # Order columns travel once, under their common names, and so does a key that is the join key.
+        own_key = self.key if on else ()
+        record = F.struct(*own_key, F.struct(*self.value).alias(LEFT))
         usable = complete(self)
         records = usable.select(*[c.alias(n) for n, c in keys.items()], *placed(self, 1), record.alias("__record"))
         # The wrapping struct is never null, which tells a deleted version from no version.
@@ -93,6 +96,8 @@ class StreamJoinOps:
             *[F.col(k).alias(n) for k, n in zip(table.key, names)], *placed(table, 0),
             F.struct(table.value_struct().alias(RIGHT)).alias(_VERSION),
         )
+        own = {**({} if on else dict(zip(names, self.key))), **({_AT: self.ts} if self.ts else {}), **dict(zip(seqs, self.seq))}
+        back = [F.col(common).alias(name) for common, name in own.items()]
         keyless = None
         rejects = self.rejects
         if on:
@@ -100,16 +105,16 @@ class StreamJoinOps:
                 failed = usable.where(~all_of(c.isNotNull() for c in keys.values()))
                 rejects = (*rejects, self.reject("join_table", failed, "no join key"))
             else:
-                keyless = records.where(~all_present(names)).select("__record", F.lit(None).alias(RIGHT))
+                keyless = records.where(~all_present(names)).select(*back, "__record")
             records = records.where(all_present(names))
         united = records.unionByName(versions, allowMissingColumns=True)
         states = carry_forward(united, names, order, {"__state": Carried(F.col(_VERSION))})
-        seen = states.where(F.col(_SIDE) == 1).select("__record", F.col("__state")[RIGHT].alias(RIGHT))
+        seen = states.where(F.col(_SIDE) == 1).select(*back, "__record", F.col("__state")[RIGHT].alias(RIGHT))
         if how == "inner":
             seen = seen.where(F.col(RIGHT).isNotNull())
         elif keyless is not None:
-            seen = seen.unionByName(keyless.withColumn(RIGHT, F.col(RIGHT).cast(seen.schema[RIGHT].dataType)))
-        joined = seen.select("__record.*", RIGHT)
+            seen = seen.unionByName(keyless, allowMissingColumns=True)
+        joined = seen.select(*[c for c in seen.columns if c != "__record"], "__record.*")
         return self._joined(joined, Joiner.of(joiner, self.value, table.value).columns(), rejects)
 
     # -- stream with stream, within a time distance ----------------------------------------------
@@ -164,21 +169,20 @@ def _interval_batch(left: DataFrame, right: DataFrame, names: list[str], before:
                     after: timedelta, how: str) -> DataFrame:
     """Equi-join on key and time bucket, so that a key's records meet only their neighbours.
 
-    A bucket is twice the window long: a right record belongs to one or two buckets, a left one to
+    A bucket is twice as long as the window: a right record belongs to one or two buckets, a left one to
     exactly one, so left and inner joins need nothing more. The right records that a full join adds
     come from an anti join with the roles swapped.
     """
-    width = max(2 * length_micros(before + after), 1_000_000)
+    width = 2 * math.ceil((before + after) / timedelta(seconds=1)) + 1
 
-    def bucket(df: DataFrame, ts: str, shift: int = 0) -> Column:
-        at = micros(df, ts) + F.lit(shift)
-        return F.floor((at - F.pmod(at, F.lit(width))) / width).cast("long")
+    def bucket(df: DataFrame, ts: str, shift: timedelta = timedelta()) -> Column:
+        return F.floor(seconds(df, ts, shift) / F.lit(width))
 
     def in_one(df: DataFrame, ts: str) -> DataFrame:
         return df.withColumn("__bucket", bucket(df, ts))
 
     def in_all(df: DataFrame, ts: str, back: timedelta, ahead: timedelta) -> DataFrame:
-        span = F.sequence(bucket(df, ts, -length_micros(back)), bucket(df, ts, length_micros(ahead)))
+        span = F.sequence(bucket(df, ts, -back), bucket(df, ts, ahead))
         return df.withColumn("__bucket", F.explode(span))
 
     on = [*names, "__bucket"]

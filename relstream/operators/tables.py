@@ -24,15 +24,14 @@ class TableOps:
     def latest_versions(self) -> DataFrame:
         """The last version of every key, deletes included.
 
-        `max_by` is pre-aggregated before the shuffle, so a key with many versions is no burden.
+        The maximum is pre-aggregated before the shuffle, so a key with many versions is no burden.
         """
         if self.is_snapshot:
             return self.rows()
-        point = F.struct(*self.order)
-        rest = F.struct(*self.value, *self.order)
-        return (
-            self.rows().groupBy(*self.key).agg(F.max_by(rest, point).alias("__last"))
-            .select(*self.key, "__last.*")
+        # The order columns lead the struct; values are compared only between versions that tie.
+        last = F.max(F.struct(*self.order, *self.value)).alias("__last")
+        return self.rows().groupBy(*self.key).agg(last).select(
+            *self.key, *[F.col("__last")[c].alias(c) for c in (*self.value, *self.order)]
         )
 
     def latest(self) -> DataFrame:
