@@ -54,8 +54,9 @@ def _chunk_starts(df: DataFrame, keys: list[str], order: list[str], carried: dic
                   chunks: Chunks) -> DataFrame:
     """Per hot key and chunk: the carried values with which the chunk begins."""
     point = F.struct(*order)
+    set_any = F.coalesce(*[F.when(c.column.isNotNull(), F.lit(True)) for c in carried.values()])
     summary = (
-        chunks.assign(chunks.only_hot(df), keep_cut_count="__last_chunk")
+        chunks.assign_hot(df.where(set_any), last="__last_chunk")
         .groupBy(*keys, CHUNK)
         .agg(F.max("__last_chunk").alias("__last_chunk"), *[
             F.max_by(c.column, F.when(c.column.isNotNull(), point)).alias(f"__start_{name}")

@@ -30,10 +30,14 @@ _MERGE_GROUPS = 256
 
 @dataclass(frozen=True)
 class SplitPolicy:
-    """When and how finely to split hot keys; settable per session as `relstream.split.<name>`."""
+    """When and how finely to split hot keys; settable per session as `relstream.split.<name>`.
+
+    A key is hot when it has more rows than `min_rows` and than `hot_factor` average partitions.
+    """
 
     min_bytes: int = 1 << 30
     min_rows: int = 1_000_000
+    hot_factor: int = 2
     max_splits: int = 512
     sample_per_split: int = 32
     broadcast_bytes: int = 64 << 20
@@ -86,10 +90,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SplitPolicy) -> dict[in
     ).first()
     if not found.total:
         return {}
-    share = max(1 / _parallelism(df.sparkSession), 1 / _MAX_HOT_KEYS)
-    limit = max(policy.min_rows, math.ceil(found.total * share))
+    average = found.total / _parallelism(df.sparkSession)
+    limit = max(policy.min_rows, policy.hot_factor * average, found.total / _MAX_HOT_KEYS)
+    piece = max(policy.min_rows, average)
     return {
-        entry["item"]: HotKey(entry["count"], min(policy.max_splits, math.ceil(entry["count"] / limit) + 1))
+        entry["item"]: HotKey(entry["count"], min(policy.max_splits, math.ceil(entry["count"] / piece) + 1))
         for entry in found.top
         if entry["count"] > limit
     }
@@ -102,31 +107,35 @@ class Chunks:
     table: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    most: int
 
-    def assign(self, df: DataFrame, keep_cut_count: str | None = None) -> DataFrame:
+    def assign(self, df: DataFrame) -> DataFrame:
         """Adds the chunk number: how many cut points of its key the row has passed (0 if none).
 
         Chunk numbers never decrease along the key's order, and the binary search costs a hot row
-        log2(cuts) comparisons. The cut table has at most a few thousand rows, so it is broadcast.
+        log2(cuts) comparisons. The cut table has at most a thousand rows, so it is broadcast.
         """
-        steps = [1 << i for i in reversed(range(12))]
+        number = F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(self._passed())
+        return self._with_cuts(df, "left").withColumn(CHUNK, number).drop(_HASH, _CUTS)
+
+    def assign_hot(self, df: DataFrame, last: str) -> DataFrame:
+        """The rows that may be in a chunk other than 0, with it and their key's `last` chunk."""
+        cut = self._with_cuts(df, "inner")
+        return cut.withColumns({CHUNK: self._passed(), last: F.size(_CUTS)}).drop(_HASH, _CUTS)
+
+    def _with_cuts(self, df: DataFrame, how: str) -> DataFrame:
+        return df.withColumn(_HASH, key_hash(self.keys)).join(F.broadcast(self.table), _HASH, how)
+
+    def _passed(self) -> Column:
+        """Binary search: tries ever smaller steps and takes those that stay below the row."""
+        steps = [1 << i for i in reversed(range(self.most.bit_length()))]
         probe = F.struct(*[F.col(c) for c in self.order])
 
         def advance(position: Column, step: Column) -> Column:
             passed = F.coalesce(F.get(F.col(_CUTS), position + step - 1) <= probe, F.lit(False))
             return F.when(passed, position + step).otherwise(position)
 
-        search = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
-        joined = df.withColumn(_HASH, key_hash(self.keys)).join(F.broadcast(self.table), _HASH, "left")
-        result = joined.withColumn(CHUNK, F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(search))
-        if keep_cut_count:
-            result = result.withColumn(keep_cut_count, F.size(_CUTS))
-        return result.drop(_HASH, _CUTS)
-
-    def only_hot(self, df: DataFrame) -> DataFrame:
-        """The rows that `assign` may put into a chunk other than 0."""
-        hashes = F.broadcast(self.table.select(_HASH))
-        return df.withColumn(_HASH, key_hash(self.keys)).join(hashes, _HASH, "left_semi").drop(_HASH)
+        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
 
 
 def find_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -160,7 +169,8 @@ def find_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 cuts[row[_HASH]].append(point)
     point_type = T.StructType([df.schema[c] for c in order])
     schema = T.StructType([T.StructField(_HASH, T.LongType()), T.StructField(_CUTS, T.ArrayType(point_type))])
-    return Chunks(spark.createDataFrame(list(cuts.items()), schema), tuple(keys), tuple(order))
+    most = max(map(len, cuts.values()), default=1)
+    return Chunks(spark.createDataFrame(list(cuts.items()), schema), tuple(keys), tuple(order), most)
 
 
 def lookup_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],

@@ -27,7 +27,7 @@ def spark():
 @pytest.fixture
 def split_hard(spark):
     """Treats every frequent key as hot and nothing as small, so that the splitting paths run."""
-    forced = {"min_bytes": 0, "min_rows": 3, "broadcast_bytes": -1}
+    forced = {"min_bytes": 0, "min_rows": 3, "hot_factor": 1, "broadcast_bytes": -1}
     for name, value in forced.items():
         spark.conf.set(f"relstream.split.{name}", str(value))
     yield
