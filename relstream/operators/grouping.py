@@ -231,9 +231,12 @@ class GroupedTable:
         """
         value = F.struct(F.col(OP).alias("op"), F.struct(*self.table.value).alias("value"))
         take = _keep_old(lambda state, row: step(state, row["op"], row["value"]))
+        # Every version adds one change to its group and later takes one back, so the versions show
+        # how large the groups are without building the changes.
+        versions = self._grouped(self.table.rows().where(self.table.has_value)).withColumn(OP, F.lit(1))
         folded = ordered_fold(
             self.changes(), self._names, (*self.table.order, OP), value, "__state",
-            lambda row: take(init, row), take, _either(merge),
+            lambda row: take(init, row), take, _either(merge), sizing=versions,
         )
         if deleted is not None:
             folded = folded.where(~F.coalesce(deleted(F.col("__state")), F.lit(False)))

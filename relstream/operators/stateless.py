@@ -21,18 +21,23 @@ class StreamMapOps:
     """Conditions are boolean columns; `requires` names columns without which they count as failed.
 
     For the maps, `valid` tells failed results from legitimate nulls. Failed records are dropped and
-    go to `quarantine()`, unless `fallback` supplies columns to use instead.
+    go to `quarantine()`, unless `fallback` supplies columns to use instead. Quarantine frames are
+    lazy: they cost nothing until they are read.
     """
 
     # -- filters ---------------------------------------------------------------------------------
 
     def filter(self, condition: Column, requires: Iterable[str] = ()):
         """Keeps records whose condition is true; false and failed ones are dropped."""
-        return self.with_(df=self.rows().where(strict(condition, requires)))
+        return self._filtered("filter", strict(condition, requires))
 
     def filter_not(self, condition: Column, requires: Iterable[str] = ()):
         """Keeps records whose condition is false; a failed condition drops the record here too."""
-        return self.with_(df=self.rows().where(~strict(condition, requires)))
+        return self._filtered("filter_not", ~strict(condition, requires))
+
+    def _filtered(self, operator: str, condition: Column):
+        failed = self.reject(operator, self.rows().where(condition.isNull()), f"{operator} failed")
+        return self.with_(df=self.rows().where(condition), rejects=(*self.rejects, failed))
 
     def filter_keys(self, condition: Column, requires: Iterable[str] = ()):
         self._only(condition, self.key)

@@ -80,15 +80,17 @@ def _chunk_starts(df: DataFrame, keys: list[str], order: list[str], carried: dic
 
 def ordered_fold(df: DataFrame, group: Sequence[str], order: Sequence[str], row: Column, state: str,
                  start: Callable[[Column], Column], step: Callable[[Column, Column], Column],
-                 merge: Callable[[Column, Column], Column], policy: SplitPolicy | None = None) -> DataFrame:
+                 merge: Callable[[Column, Column], Column], policy: SplitPolicy | None = None,
+                 sizing: DataFrame | None = None) -> DataFrame:
     """Folds each group's rows in order into a column `state`; no task ever holds a whole group.
 
     `start(first_row)` begins a run, `step(state, row)` extends it, `merge(earlier, later)` joins the
     states of two consecutive runs and must be associative. A hot group is cut into chunks that fold
-    on their own; only their states, at most one per chunk, meet again.
+    on their own; only their states, at most one per chunk, meet again. Hot groups are looked for in
+    `sizing`, a cheaper frame whose groups are about as large as those of `df`, where one is given.
     """
     group, order = list(group), list(order)
-    chunks = find_chunks(df, group, order, policy)
+    chunks = find_chunks(df if sizing is None else sizing, group, order, policy)
     rows = df.select(*group, *order, row.alias("__row"))
     if chunks is None:
         return fold_groups(rows, group, order, F.col("__row"), state, start, step, merge)

@@ -27,6 +27,9 @@ _SKETCH_ITEMS = 10_000
 _MAX_HOT_KEYS = 1_000
 _MERGE_GROUPS = 256
 
+# Spark counts an input of unknown size as the largest long; more than an exabyte is no estimate.
+_UNKNOWN_BYTES = 1 << 60
+
 
 @dataclass(frozen=True)
 class SplitPolicy:
@@ -51,9 +54,10 @@ class SplitPolicy:
         })
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for the plan's output."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate for the plan's output; None where it has none to go by."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < _UNKNOWN_BYTES else None
 
 
 def _parallelism(spark: SparkSession) -> int:
@@ -76,7 +80,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SplitPolicy) -> dict[in
     One pass over the key columns. Each task keeps a fixed-size frequent-items sketch, the sketches
     are merged in two steps, and at most `_MAX_HOT_KEYS` entries reach the driver.
     """
-    if df.isStreaming or estimated_bytes(df) < policy.min_bytes:
+    if df.isStreaming:
+        return {}
+    size = estimated_bytes(df)
+    if size is not None and size < policy.min_bytes:
         return {}
     sketches = (
         df.where(all_present(keys))
@@ -184,7 +191,8 @@ def lookup_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right
     spark = left.sparkSession
     policy = policy or SplitPolicy.of(spark)
     matches = [F.col(a) == F.col(b) for a, b in zip(left_on, right_on)]
-    if not right.isStreaming and estimated_bytes(right) <= policy.broadcast_bytes:
+    size = estimated_bytes(right)
+    if size is not None and size <= policy.broadcast_bytes:
         return left.join(F.broadcast(right), matches, how)
     hot = hot_keys(left, left_on, policy)
     if not hot:

@@ -51,9 +51,10 @@ def decode_json(raw: Column, schema: T.StructType | str) -> Column:
     JSON null and SQL NULL stay null and are not corrupt.
     """
     ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return F.from_json(raw, f"{ddl}, {CORRUPT} string", {
+    parsed = F.from_json(raw, f"{ddl}, {CORRUPT} string", {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIMES,
     })
+    return F.when(F.trim(raw) != "null", parsed)
 
 
 def encode_json(columns: Iterable[str]) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,8 +48,13 @@ def replay(stream, slices: int = 4, late: DataFrame | None = None, flush: bool =
     edges = rows.agg(
         F.percentile_approx(at, [i / slices for i in range(1, slices)], 1000).alias("cuts"), F.max(at).alias("last")
     ).first()
-    bounds = [None, *sorted(set(edges["cuts"] or [])), None]
-    files = max(1, math.ceil(estimated_bytes(rows) / slices / _FILE_BYTES))
+    # Literals of the column's own type, so that each slice reads its part of the files only.
+    kind = rows.schema[stream.ts].dataType
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'" if isinstance(kind, T.TimestampNTZType) else "timestamp_micros(0)")
+    cuts = [epoch + F.lit(timedelta(microseconds=c)) for c in sorted(set(edges["cuts"] or []))]
+    bounds = [None, *cuts, None]
+    size = estimated_bytes(rows)
+    files = math.ceil((size or 1) / slices / _FILE_BYTES) if size is not None else spark.sparkContext.defaultParallelism
     as_instant = F.col(stream.ts).cast("timestamp")
     with_instant = [as_instant.alias(c) if c == stream.ts else F.col(c) for c in stream.columns]
 
@@ -58,9 +64,9 @@ def replay(stream, slices: int = 4, late: DataFrame | None = None, flush: bool =
     for low, high in zip(bounds, bounds[1:]):
         condition = F.lit(True)
         if low is not None:
-            condition = condition & (at >= low)
+            condition = condition & (F.col(stream.ts) >= low)
         if high is not None:
-            condition = condition & (at < high)
+            condition = condition & (F.col(stream.ts) < high)
         write(rows.where(condition))
     def write_silent(at_micros: int) -> None:
         silent = spark.range(files).select(*[

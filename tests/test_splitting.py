@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from relstream import LookupTable, RecordStream, UpsertTable, sessions, tumbling
 from relstream.functions import mergeable as M
 from relstream.plans import ordered, skew
+from relstream.plans.scratch import written
 
 START = datetime(2024, 1, 1)
 MOD = 1_000_003
@@ -23,7 +24,7 @@ def frame(spark, seed, n=900, tied=False):
         minute = rng.randrange(40) if tied else rng.randrange(20_000)
         value = None if rng.random() < 0.15 else rng.randrange(50)
         rows.append((key, value, START + timedelta(minutes=minute), i))
-    return spark.createDataFrame(rows, "key int, value int, ts timestamp_ntz, seq long").repartition(4)
+    return written(spark.createDataFrame(rows, "key int, value int, ts timestamp_ntz, seq long").repartition(4), "events")
 
 
 def stream(df):
