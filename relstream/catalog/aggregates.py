@@ -23,12 +23,12 @@ def count(spark, folder):
 
 
 @query("group_by_mapped_count", f"""
-    SELECT event_type AS kind, user_id % 10 AS slot, count(*) AS count FROM ({VERSIONS})
+    SELECT event_type AS kind, CAST(hour(ts) AS BIGINT) AS hour, count(*) AS count FROM ({VERSIONS})
     WHERE event_type IS NOT NULL GROUP BY ALL""")
 def group_by_mapped_count(spark, folder):
     """Records for which the mapper yields no key are ignored."""
     stream = users(spark, folder).to_stream()
-    return stream.group_by({"kind": F.col("event_type"), "slot": F.col("user_id") % 10}).count().df
+    return stream.group_by({"kind": F.col("event_type"), "hour": F.hour("ts").cast("long")}).count().df
 
 
 @query("reduce_max", f"SELECT user_id, max(cents) AS cents FROM ({EVENTS}) GROUP BY user_id")
@@ -43,7 +43,7 @@ def reduce_max(spark, folder):
 def aggregate(spark, folder):
     return events(spark, folder).group_by_key().aggregate(
         n=F.count("*"), total=F.sum("cents"), low=F.min("cents"), high=F.max("cents"),
-        kinds=F.size(F.collect_set("event_type")).cast("long"),
+        kinds=F.count_distinct("event_type"),
         last_type=F.max_by("event_type", F.struct("ts", "event_id")),
     ).df
 

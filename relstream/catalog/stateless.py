@@ -12,7 +12,7 @@ from relstream.plans.scratch import scratch_path
 from relstream.sources.topics import JSON_TIMES
 
 # The events table has no malformed text: an error's properties lose their closing brace.
-RAW = "CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1) ELSE props END"
+RAW = "CASE WHEN event_type = 'error' THEN replace(props, '}', '') ELSE props END"
 
 
 def raw_events(spark, folder):
@@ -84,9 +84,10 @@ def filter_not(spark, folder):
     return users(spark, folder).to_stream().filter_not(condition, requires=["event_type", "cents"]).rows()
 
 
-@query("filter_keys", f"SELECT * FROM ({EVENTS}) WHERE user_id BETWEEN 10 AND 60")
+@query("filter_keys", "SELECT event_type, user_id, ts, event_id FROM events WHERE event_type IN ('click', 'purchase')")
 def filter_keys(spark, folder):
-    return events(spark, folder).filter_keys(F.col("user_id").between(10, 60)).rows()
+    by_type = events(spark, folder).map({"event_type": F.col("event_type")}, {"user_id": F.col("user_id")})
+    return by_type.filter_keys(F.col("event_type").isin("click", "purchase")).rows()
 
 
 @query("filter_values", f"SELECT * FROM ({EVENTS}) WHERE event_type = 'click' AND cents < 5000")
@@ -95,24 +96,30 @@ def filter_values(spark, folder):
 
 
 @query("filter_error", f"""
-    SELECT 'kept' AS part, * FROM ({VERSIONS}) WHERE event_type IS NOT NULL AND (user_id < 75 OR cents > 5000)
+    SELECT CASE WHEN hour(ts) < 12 OR cents > 5000 THEN 'kept' ELSE 'dropped' END AS part, *
+    FROM ({VERSIONS}) WHERE cents IS NOT NULL
     UNION ALL
-    SELECT 'dropped', * FROM ({VERSIONS}) WHERE event_type IS NOT NULL AND NOT (user_id < 75 OR cents > 5000)""")
+    SELECT 'failed', user_id, NULL, NULL, NULL, event_id FROM ({VERSIONS}) WHERE cents IS NULL""")
 def filter_error(spark, folder):
-    """The predicate fails on a null value: such records are in neither part."""
-    condition = (F.col("user_id") < 75) | (F.col("cents") > 5000)
+    """The predicate fails on a null value: such records are in neither part, but quarantined."""
+    condition = (F.hour("ts") < 12) | (F.col("cents") > 5000)
     stream = users(spark, folder).to_stream()
     kept, dropped = stream.filter(condition, ["cents"]), stream.filter_not(condition, ["cents"])
-    label = lambda flow, name: flow.rows().select(F.lit(name).alias("part"), "*")
-    return label(kept, "kept").unionByName(label(dropped, "dropped"))
+    label = lambda rows, name: rows.select(F.lit(name).alias("part"), "*")
+    failed = kept.quarantine().select(
+        F.get_json_object("key", "$.user_id").cast("long").alias("user_id"),
+        F.get_json_object("seq", "$.event_id").cast("long").alias("event_id"),
+    )
+    parts = label(kept.rows(), "kept").unionByName(label(dropped.rows(), "dropped"))
+    return parts.unionByName(label(failed, "failed"), allowMissingColumns=True)
 
 
 # -- maps ----------------------------------------------------------------------------------------
 
-@query("map_keys", f"SELECT event_type || '-' || (user_id % 10) AS bucket, cents, ts, event_id FROM ({EVENTS})")
+@query("map_keys", f"SELECT event_type || '-' || hour(ts) AS bucket, cents, ts, event_id FROM ({EVENTS})")
 def map_keys(spark, folder):
     stream = events(spark, folder)
-    bucket = F.concat_ws("-", "event_type", (F.col("user_id") % 10).cast("string"))
+    bucket = F.concat_ws("-", "event_type", F.hour("ts").cast("string"))
     return stream.map_keys({"bucket": bucket}).rows().drop("event_type")
 
 
@@ -174,14 +181,14 @@ def map_values_error(spark, folder):
 
 
 @query("map_error", f"""
-    SELECT CASE WHEN try_cast(substr(raw, 7) AS INTEGER) IS NULL THEN 'map' ELSE 'ok' END AS part,
-           try_cast(substr(raw, 7) AS INTEGER) AS number, event_id
-    FROM (SELECT event_id, CASE WHEN event_type = 'view' THEN '{{"k": x' ELSE '{{"k": ' || (user_id % 7) END AS raw FROM events)""")
+    SELECT CASE WHEN number IS NULL THEN 'map' ELSE 'ok' END AS part, number, event_id
+    FROM (SELECT event_id, try_cast(split_part(raw, ':', 2) AS INTEGER) AS number
+          FROM (SELECT event_id, CASE WHEN event_type = 'view' THEN 'who:?' ELSE 'who:' || user_id END AS raw FROM events))""")
 def map_error(spark, folder):
     df = read(spark, folder, "events")
-    raw = F.when(F.col("event_type") == "view", '{"k": x').otherwise(F.concat(F.lit('{"k": '), (F.col("user_id") % 7).cast("string")))
+    raw = F.when(F.col("event_type") == "view", "who:?").otherwise(F.concat(F.lit("who:"), F.col("user_id").cast("string")))
     stream = RecordStream(df.select("user_id", raw.alias("raw"), "ts", "event_id"), "user_id", "raw", "ts", "event_id")
-    number = F.substring("raw", 7, 100).try_cast("int")
+    number = F.split_part("raw", F.lit(":"), F.lit(2)).try_cast("int")
     return _kept_and_rejected(stream.map({"number": number}, {"raw": F.col("raw")}), "number")
 
 
@@ -209,11 +216,11 @@ def flat_map_error(spark, folder):
 # -- flow ----------------------------------------------------------------------------------------
 
 @query("branch", f"""
-    SELECT CASE WHEN cents IS NOT NULL AND cents > 5000 THEN 0 WHEN user_id < 50 THEN 1 ELSE 2 END AS branch, *
-    FROM ({VERSIONS}) WHERE coalesce(cents > 5000, FALSE) OR user_id < 50 OR event_type = 'view'""")
+    SELECT CASE WHEN cents IS NOT NULL AND cents > 5000 THEN 0 WHEN hour(ts) < 12 THEN 1 ELSE 2 END AS branch, *
+    FROM ({VERSIONS}) WHERE coalesce(cents > 5000, FALSE) OR hour(ts) < 12 OR event_type = 'view'""")
 def branch(spark, folder):
     stream = users(spark, folder).to_stream()
-    parts = stream.branch((F.col("cents") > 5000, ("cents",)), F.col("user_id") < 50, F.col("event_type") == "view")
+    parts = stream.branch((F.col("cents") > 5000, ("cents",)), F.hour("ts") < 12, F.col("event_type") == "view")
     first, *others = [p.rows().select(F.lit(i).alias("branch"), "*") for i, p in enumerate(parts)]
     for other in others:
         first = first.unionByName(other)
@@ -221,9 +228,9 @@ def branch(spark, folder):
 
 
 @query("split", f"""
-    SELECT cents > 2000 AND user_id < 50 AS matches, * FROM ({VERSIONS}) WHERE cents IS NOT NULL""")
+    SELECT cents > 2000 AND hour(ts) < 12 AS matches, * FROM ({VERSIONS}) WHERE cents IS NOT NULL""")
 def split(spark, folder):
-    yes, no = users(spark, folder).to_stream().split((F.col("cents") > 2000) & (F.col("user_id") < 50), ("cents",))
+    yes, no = users(spark, folder).to_stream().split((F.col("cents") > 2000) & (F.hour("ts") < 12), ("cents",))
     return yes.rows().select(F.lit(True).alias("matches"), "*").unionByName(no.rows().select(F.lit(False).alias("matches"), "*"))
 
 

@@ -80,15 +80,20 @@ def table_filter_changelog(spark, folder):
     return users(spark, folder).filter(F.col("cents") > 1000).rows()
 
 
-@query("table_filter_not", filtered("cents IS NOT NULL AND NOT (cents > 1000 AND user_id < 100)"))
+@query("table_filter_not", filtered("cents IS NOT NULL AND NOT (cents > 1000 AND hour(ts) < 12)"))
 def table_filter_not(spark, folder):
-    condition = (F.col("cents") > 1000) & (F.col("user_id") < 100)
+    condition = (F.col("cents") > 1000) & (F.hour("ts") < 12)
     return users(spark, folder).filter_not(condition, requires=["cents"]).rows()
 
 
-@query("table_filter_keys", live(filtered("user_id < 75")))
+@query("table_filter_keys", f"""
+    SELECT event_type, user_id, cents, ts, event_id FROM ({EVENTS}) WHERE event_type <> 'view'
+    QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def table_filter_keys(spark, folder):
-    return users(spark, folder).filter_keys(F.col("user_id") < 75).latest()
+    """The last event of each type as a table."""
+    value = {"user_id": F.col("user_id"), "cents": F.col("cents")}
+    by_type = UpsertTable.of(events(spark, folder).map({"event_type": F.col("event_type")}, value))
+    return by_type.filter_keys(F.col("event_type") != "view").latest()
 
 
 @query("table_filter_values", live(filtered("event_type = 'click'")))
@@ -106,19 +111,19 @@ def table_map_values(spark, folder):
 
 
 REKEYED = f"""
-    SELECT * FROM (SELECT *, user_id % 10 || '-' || event_type AS slot FROM ({CHANGES}))
+    SELECT * FROM (SELECT *, event_type || '-' || (cents // 1000) AS slot FROM ({CHANGES}))
     QUALIFY row_number() OVER (PARTITION BY slot ORDER BY ts DESC, event_id DESC, op DESC) = 1"""
 
 
 @query("table_map_keys", f"SELECT slot, event_type, cents, ts, event_id FROM ({REKEYED}) WHERE op = 1")
 def table_map_keys(spark, folder):
-    slot = F.concat_ws("-", F.col("user_id") % 10, "event_type")
+    slot = F.concat_ws("-", "event_type", F.floor(F.col("cents") / 1000))
     return users(spark, folder).map_keys({"slot": slot}).latest().drop("op")
 
 
 @query("table_map", f"SELECT slot, -cents AS owed, user_id AS who, ts, event_id FROM ({REKEYED}) WHERE op = 1")
 def table_map(spark, folder):
-    slot = F.concat_ws("-", F.col("user_id") % 10, "event_type")
+    slot = F.concat_ws("-", "event_type", F.floor(F.col("cents") / 1000))
     owed = {"owed": -F.col("cents"), "who": F.col("user_id")}
     return users(spark, folder).map({"slot": slot}, owed).latest().drop("op")
 

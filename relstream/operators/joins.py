@@ -132,10 +132,10 @@ class StreamJoinOps:
             raise ValueError("both streams need equally many key and seq columns")
         names = [f"__k{i}" for i in range(len(self.key))]
         sides = [_side(self, names, "__lt", "__ls", LEFT, late), _side(other, names, "__rt", "__rs", RIGHT, late)]
-        if self.df.isStreaming or other.df.isStreaming:
-            joined = _interval_streaming(*sides, names, before, after, how)
+        if how == "full" and (self.df.isStreaming or other.df.isStreaming):
+            joined = _interval_full_streaming(*sides, names, before, after)
         else:
-            joined = _interval_batch(*sides, names, before, after, how)
+            joined = _interval(*sides, names, before, after, how)
         order = [
             F.coalesce("__lt", "__rt").alias(self.ts),
             *[F.coalesce(f"__ls{i}", f"__rs{i}").alias(s) for i, s in enumerate(self.seq)],
@@ -165,13 +165,14 @@ def _near(before: timedelta, after: timedelta) -> Column:
     return (F.col("__rt") >= F.col("__lt") - F.lit(before)) & (F.col("__rt") <= F.col("__lt") + F.lit(after))
 
 
-def _interval_batch(left: DataFrame, right: DataFrame, names: list[str], before: timedelta,
-                    after: timedelta, how: str) -> DataFrame:
+def _interval(left: DataFrame, right: DataFrame, names: list[str], before: timedelta,
+              after: timedelta, how: str) -> DataFrame:
     """Equi-join on key and time bucket, so that a key's records meet only their neighbours.
 
     A bucket is twice as long as the window: a right record belongs to one or two buckets, a left one to
     exactly one, so left and inner joins need nothing more. The right records that a full join adds
-    come from an anti join with the roles swapped.
+    come from an anti join with the roles swapped. On streams the time condition lets Spark drop rows
+    from state once the watermarks have passed them.
     """
     width = 2 * math.ceil((before + after) / timedelta(seconds=1)) + 1
 
@@ -208,10 +209,10 @@ def _same(on: list[str]) -> Column:
     return condition
 
 
-def _interval_streaming(left: DataFrame, right: DataFrame, names: list[str], before: timedelta,
-                        after: timedelta, how: str) -> DataFrame:
-    """The time condition lets Spark drop rows from state once the watermarks have passed them."""
+def _interval_full_streaming(left: DataFrame, right: DataFrame, names: list[str], before: timedelta,
+                             after: timedelta) -> DataFrame:
+    """By key alone: streams have no anti join to find the unmatched records of several buckets."""
     aside = right.withColumnsRenamed({n: f"__r{n}" for n in names})
-    joined = left.join(aside, _near(before, after) & _same(names), {"full": "full_outer"}.get(how, how))
+    joined = left.join(aside, _near(before, after) & _same(names), "full_outer")
     keys = [F.coalesce(n, f"__r{n}").alias(n) for n in names]
     return joined.select(*keys, *[c for c in joined.columns if c not in names and not c.startswith("__r__k")])

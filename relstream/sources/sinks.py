@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relstream.sources.topics import TopicSpec, encode_json
+from relstream.plans.scratch import scratch_path
+from relstream.sources.topics import JSON_TIMES, TopicSpec, encode_json
 
 
 def _write(df: DataFrame, topic: TopicSpec, mode: str) -> None:
@@ -18,22 +19,23 @@ def _write(df: DataFrame, topic: TopicSpec, mode: str) -> None:
     writer.save(topic.location)
 
 
-def _encoded(records, topic: TopicSpec) -> DataFrame:
+def encoded(records, topic: TopicSpec) -> DataFrame:
     """Rows as the topic's format wants them; a connector for bytes gets JSON key and value."""
     if topic.format != "kafka":
         return records.rows()
-    return records.rows().select(F.to_json(F.struct(*records.key)).alias("key"), encode_json(records.value).alias("value"))
+    return records.rows().select(F.to_json(F.struct(*records.key), JSON_TIMES).alias("key"), encode_json(records.value).alias("value"))
 
 
 class StreamSinkOps:
 
     def to(self, topic: TopicSpec, checkpoint: str | None = None, mode: str = "append"):
         """Writes the records to a topic. On a stream, returns the started query."""
-        rows = _encoded(self, topic)
+        rows = encoded(self, topic)
         if not self.df.isStreaming:
             return _write(rows, topic, mode)
         writer = rows.writeStream.format(topic.format).options(**topic.options)
-        writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
+        writer = writer.option("checkpointLocation", checkpoint or scratch_path(self.spark, "checkpoint"))
+        writer = writer.outputMode("append")
         if topic.format == "kafka":
             return writer.option("topic", topic.location).start()
         if topic.partition_by:

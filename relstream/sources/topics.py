@@ -82,3 +82,23 @@ def read_json_records(df: DataFrame, key: Iterable[str], raw: str, schema: T.Str
     rejects = (source.reject("deserialize", parsed.where(corrupt), "malformed value"),)
     good = parsed.where(~F.coalesce(corrupt, F.lit(False))).select(*key, *[F.col(f"__p.{n}").alias(n) for n in names], *order)
     return RecordStream(good, key, tuple(names), ts, seq, rejects)
+
+
+def read_kafka_records(df: DataFrame, key_schema: T.StructType | str, value_schema: T.StructType | str):
+    """A record stream from the Kafka source's columns: JSON key and value, `timestamp`, `offset`.
+
+    A key lives in one partition, so offsets order its records. Records whose key or value cannot be
+    decoded are quarantined; a null value stays a delete.
+    """
+    from relstream.model import RecordStream
+    kinds = [s if isinstance(s, T.StructType) else T._parse_datatype_string(s) for s in (key_schema, value_schema)]
+    text = df.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
+        F.col("timestamp").alias("ts"), F.col("offset").alias("seq"),
+    )
+    parsed = text.withColumns({"__k": decode_json(F.col("key"), kinds[0]), "__v": decode_json(F.col("value"), kinds[1])})
+    corrupt = F.col(f"__k.{CORRUPT}").isNotNull() | F.col(f"__v.{CORRUPT}").isNotNull()
+    raw = RecordStream(text, "key", "value", "ts", "seq")
+    good = parsed.where(~corrupt | corrupt.isNull()).select("__k.*", "__v.*", "ts", "seq").drop(CORRUPT)
+    rejects = (raw.reject("deserialize", parsed.where(corrupt), "malformed key or value"),)
+    return RecordStream(good, kinds[0].names, kinds[1].names, "ts", "seq", rejects)

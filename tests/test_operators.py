@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from relstream import (
     Joiner, LookupTable, RecordStream, TopicSpec, UpsertTable, hopping, read_json_records, safe_udf, tumbling, unlimited,
 )
+from relstream.sources.sinks import encoded
+from relstream.sources.topics import read_kafka_records
 from relstream.plans.scratch import scratch_path, written
 
 START = datetime(2024, 1, 1)
@@ -234,3 +236,18 @@ def test_scratch_follows_the_session(spark):
     path = scratch_path(spark, "x")
     assert path.startswith(before) if before else "relstream" in path
     assert written(spark.range(3), "numbers").count() == 3
+
+
+def test_kafka_records_round_trip(spark):
+    """The columns of the Kafka source and sink, without a broker."""
+    flow = numbers(spark, [("a", 1, 0), ("b", None, 1)])
+    sent = encoded(flow, TopicSpec("t", flow.rows().schema, "kafka"))
+    assert sorted(map(tuple, sent.collect())) == [('{"key":"a"}', '{"value":1}'), ('{"key":"b"}', None)]
+    bad = spark.createDataFrame([('{"key":"c"}', "{"), ("[", '{"value":2}')], "key string, value string")
+    received = sent.unionByName(bad).select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+        F.lit(START).cast("timestamp").alias("timestamp"), F.monotonically_increasing_id().alias("offset"),
+    )
+    back = read_kafka_records(received, "key string", "value int")
+    assert shown(back.df, "key", "value") == [("a", 1), ("b", None)]
+    assert back.quarantine().count() == 2
