@@ -27,10 +27,11 @@ def stream_session(spark: SparkSession) -> SparkSession:
     session.conf.set("spark.sql.streaming.stateStore.providerClass",
                      "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    session.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
     return session
 
 
-def replay(stream, slices: int = 4, late: DataFrame | None = None, flush: bool = True,
+def replay(stream, slices: int = 3, late: DataFrame | None = None, flush: bool = True,
            session: SparkSession | None = None):
     """A batch record stream as a real stream: `slices` micro-batches in time order.
 

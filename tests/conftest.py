@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 # Started here because test modules build columns while they are imported.
 SESSION = (
     SparkSession.builder.master("local[8]").appName("relstream-tests")
-    .config("spark.sql.shuffle.partitions", "8")
+    .config("spark.sql.shuffle.partitions", "4")
     .config("spark.sql.session.timeZone", "UTC")
     .config("spark.ui.enabled", "false")
     .config("spark.driver.memory", "8g")
