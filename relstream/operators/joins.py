@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from relstream.functions.predicates import all_of, all_present
 from relstream.functions.times import above_watermark, complete, seconds
 from relstream.operators.joiners import LEFT, RIGHT, Joiner
-from relstream.plans.ordered import Carried, carry_forward
-from relstream.plans.skew import lookup_join
+from relstream.plans.ordered import Carried, carry_forward, last_known
+from relstream.plans.skew import SplitPolicy, fits_broadcast, lookup_join
 
 _SIDE = "__side"
 _VERSION = "__version"
@@ -70,8 +70,9 @@ class StreamJoinOps:
         """Joins each record with the table's version at the record's time (batch).
 
         Only records produce output. A version with the record's own time counts as already there.
-        The two logs are united and each record takes the last version before it, see `carry_forward`.
-        Streams use `streaming.joins.join_table`.
+        Versions that fit into a broadcast are searched in place; otherwise the two logs are united
+        and each record takes the last version before it, see `carry_forward`. Streams use
+        `streaming.keyed.join_table`.
         """
         _check(how, "inner", "left")
         keys = self._join_keys(on, table.key)
@@ -107,9 +108,15 @@ class StreamJoinOps:
             else:
                 keyless = records.where(~all_present(names)).select(*back, "__record")
             records = records.where(all_present(names))
-        united = records.unionByName(versions, allowMissingColumns=True)
-        states = carry_forward(united, names, order, {"__state": Carried(F.col(_VERSION))})
-        seen = states.where(F.col(_SIDE) == 1).select(*back, "__record", F.col("__state")[RIGHT].alias(RIGHT))
+        if fits_broadcast(versions, SplitPolicy.of(self.spark)):
+            times = [_AT] if self.ts else seqs
+            ties = seqs if self.ts else []
+            states = last_known(records, versions, names, times, ties, _VERSION, "__state", how)
+        else:
+            united = records.unionByName(versions, allowMissingColumns=True)
+            states = carry_forward(united, names, order, {"__state": Carried(F.col(_VERSION))})
+            states = states.where(F.col(_SIDE) == 1)
+        seen = states.select(*back, "__record", F.col("__state")[RIGHT].alias(RIGHT))
         if how == "inner":
             seen = seen.where(F.col(RIGHT).isNotNull())
         elif keyless is not None:

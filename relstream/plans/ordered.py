@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from relstream.functions.search import leading
 from relstream.plans.skew import CHUNK, Chunks, SplitPolicy, find_chunks
 
 # Rows that one collected block of an ordered fold may hold.
@@ -78,6 +79,25 @@ def _chunk_starts(df: DataFrame, keys: list[str], order: list[str], carried: dic
     )
 
 
+def last_known(rows: DataFrame, versions: DataFrame, keys: Sequence[str], times: Sequence[str],
+               ties: Sequence[str], version: str, state: str, how: str) -> DataFrame:
+    """Adds to each row the key's last `version` at or before its `times`; `how` is inner or left.
+
+    Among versions of one time the last by `ties` counts.
+
+    For versions small enough to broadcast: each key's history is one sorted array, searched per row,
+    and the rows are not shuffled at all.
+    """
+    keys = list(keys)
+    history = versions.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct(*times, *ties, version))).alias("__history")
+    )
+    here = F.struct(*[F.col(c) for c in times])
+    seen = leading(F.col("__history"), lambda v: F.struct(*[v[c].alias(c) for c in times]) <= here)
+    joined = rows.join(F.broadcast(history), keys, how)
+    return joined.withColumn(state, F.get("__history", seen - 1)[version]).drop("__history")
+
+
 def ordered_fold(df: DataFrame, group: Sequence[str], order: Sequence[str], row: Column, state: str,
                  start: Callable[[Column], Column], step: Callable[[Column, Column], Column],
                  merge: Callable[[Column, Column], Column], policy: SplitPolicy | None = None,

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relstream.functions.predicates import all_present
+from relstream.functions.search import leading
 
 CHUNK = "__chunk"
 _HASH = "__key_hash"
@@ -43,7 +44,7 @@ class SplitPolicy:
     hot_factor: int = 2
     max_splits: int = 512
     sample_per_split: int = 32
-    broadcast_bytes: int = 64 << 20
+    broadcast_bytes: int = 32 << 20
 
     @staticmethod
     def of(spark: SparkSession) -> SplitPolicy:
@@ -60,6 +61,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < _UNKNOWN_BYTES else None
 
 
+def fits_broadcast(df: DataFrame, policy: SplitPolicy) -> bool:
+    size = None if df.isStreaming else estimated_bytes(df)
+    return size is not None and size <= policy.broadcast_bytes
+
+
 def _parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
@@ -114,7 +120,6 @@ class Chunks:
     table: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    most: int
 
     def assign(self, df: DataFrame) -> DataFrame:
         """Adds the chunk number: how many cut points of its key the row has passed (0 if none).
@@ -134,15 +139,8 @@ class Chunks:
         return df.withColumn(_HASH, key_hash(self.keys)).join(F.broadcast(self.table), _HASH, how)
 
     def _passed(self) -> Column:
-        """Binary search: tries ever smaller steps and takes those that stay below the row."""
-        steps = [1 << i for i in reversed(range(self.most.bit_length()))]
         probe = F.struct(*[F.col(c) for c in self.order])
-
-        def advance(position: Column, step: Column) -> Column:
-            passed = F.coalesce(F.get(F.col(_CUTS), position + step - 1) <= probe, F.lit(False))
-            return F.when(passed, position + step).otherwise(position)
-
-        return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
+        return leading(F.col(_CUTS), lambda cut: cut <= probe)
 
 
 def find_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -176,8 +174,7 @@ def find_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 cuts[row[_HASH]].append(point)
     point_type = T.StructType([df.schema[c] for c in order])
     schema = T.StructType([T.StructField(_HASH, T.LongType()), T.StructField(_CUTS, T.ArrayType(point_type))])
-    most = max(map(len, cuts.values()), default=1)
-    return Chunks(spark.createDataFrame(list(cuts.items()), schema), tuple(keys), tuple(order), most)
+    return Chunks(spark.createDataFrame(list(cuts.items()), schema), tuple(keys), tuple(order))
 
 
 def lookup_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
@@ -191,8 +188,7 @@ def lookup_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right
     spark = left.sparkSession
     policy = policy or SplitPolicy.of(spark)
     matches = [F.col(a) == F.col(b) for a, b in zip(left_on, right_on)]
-    size = estimated_bytes(right)
-    if size is not None and size <= policy.broadcast_bytes:
+    if fits_broadcast(right, policy):
         return left.join(F.broadcast(right), matches, how)
     hot = hot_keys(left, left_on, policy)
     if not hot:
