@@ -110,6 +110,10 @@ class UpsertTable(TableOps, TableJoinOps, TableGroupOps, TableSinkOps, _Keyed):
 
     is_snapshot: bool = False
 
+    def rows(self) -> DataFrame:
+        """As for streams, but rows without a key are no rows of a table."""
+        return super().rows().where(self.has_key)
+
     @staticmethod
     def of(stream: RecordStream, deleted: Column | None = None, on_null: str = "delete") -> UpsertTable:
         """Reads a stream as a table. Records without a key are ignored.
@@ -119,7 +123,7 @@ class UpsertTable(TableOps, TableJoinOps, TableGroupOps, TableSinkOps, _Keyed):
         """
         if on_null not in ("delete", "ignore"):
             raise ValueError("on_null is 'delete' or 'ignore'")
-        rows = stream.rows().where(stream.has_key)
+        rows = stream.rows()
         if deleted is not None:
             kept = F.coalesce(~deleted, F.lit(True))
             # One projection: `deleted` may read a value column that it also clears.

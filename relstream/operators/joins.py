@@ -93,7 +93,7 @@ class StreamJoinOps:
         usable = complete(self)
         records = usable.select(*[c.alias(n) for n, c in keys.items()], *placed(self, 1), record.alias("__record"))
         # The wrapping struct is never null, which tells a deleted version from no version.
-        versions = table.rows().where(table.has_key).select(
+        versions = table.rows().select(
             *[F.col(k).alias(n) for k, n in zip(table.key, names)], *placed(table, 0),
             F.struct(table.value_struct().alias(RIGHT)).alias(_VERSION),
         )

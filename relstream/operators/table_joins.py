@@ -52,7 +52,7 @@ class TableJoinOps:
         order = [f"__o{i}" for i in range(len(self.order))]
 
         def log(table, value: str) -> DataFrame:
-            return table.rows().where(table.has_key).select(
+            return table.rows().select(
                 *[F.col(k).alias(n) for k, n in zip(table.key, names)],
                 *[F.col(c).alias(o) for c, o in zip(table.order, order)],
                 F.struct(table.value_struct().alias("v")).alias(f"{value}_version"),

@@ -84,7 +84,7 @@ def _output(df: DataFrame, keys: list[str], *fields: str) -> T.StructType:
 def changes(table) -> DataFrame:
     """The streaming form of `table.changes()`: -1 takes the replaced value back, +1 adds the new."""
     keys, order = list(table.key), [_AT, *[f"__seq{i}" for i in range(len(table.seq))]]
-    rows = table.rows().where(table.has_key).select(*keys, *_numbers(table), encode_json(table.value).alias(_TEXT))
+    rows = table.rows().select(*keys, *_numbers(table), encode_json(table.value).alias(_TEXT))
 
     def handle(key, frames, state: GroupState):
         at, old = state.get if state.exists else (None, None)
@@ -136,7 +136,7 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
     )
     if how == "inner":
         records = records.where(all_present(names))
-    versions = table.rows().where(table.has_key).select(
+    versions = table.rows().select(
         *[F.col(k).alias(n) for k, n in zip(table.key, names)],
         F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("__salt"),
         F.lit(0).alias(_SIDE), *_numbers(table), encode_json(table.value).alias(_TEXT),
@@ -176,7 +176,7 @@ def join_changelog(left, right, joiner=None, how: str = "inner"):
     order = _order(left, side_first=False)
 
     def log(table, side: int) -> DataFrame:
-        return table.rows().where(table.has_key).select(
+        return table.rows().select(
             *[F.col(k).alias(n) for k, n in zip(table.key, names)], F.lit(side).alias(_SIDE), *_numbers(table),
             encode_json(table.value).alias(_TEXT),
         )
