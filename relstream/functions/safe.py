@@ -35,4 +35,5 @@ def safe_udf(fn: Callable, return_type: T.DataType | str) -> Callable[..., Colum
         })
 
     call.__annotations__ = {"columns": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(call, schema)
+    # Otherwise a filter on `error` would be moved below the call and make a second one.
+    return F.pandas_udf(call, schema).asNondeterministic()

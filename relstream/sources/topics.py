@@ -66,6 +66,15 @@ def encode_json(columns: Iterable[str]) -> Column:
     return F.when(present, F.to_json(F.struct(*columns), JSON_TIMES))
 
 
+def _once(column: Column) -> Column:
+    """`column` computed once per row.
+
+    A filter on a projected column is moved below the projection and computes it again; it is not
+    moved below a generator.
+    """
+    return F.explode(F.array(column))
+
+
 def read_json_records(df: DataFrame, key: Iterable[str], raw: str, schema: T.StructType | str,
                       ts: str | None = "ts", seq: Iterable[str] = ("seq",)):
     """A record stream whose value is the JSON text column `raw`, decoded once per record.
@@ -76,11 +85,11 @@ def read_json_records(df: DataFrame, key: Iterable[str], raw: str, schema: T.Str
     names = T._parse_datatype_string(schema).names if isinstance(schema, str) else schema.names
     key, seq = tuple(key), tuple(seq)
     order = seq if ts is None else (ts, *seq)
-    parsed = df.select(*key, raw, decode_json(F.col(raw), schema).alias("__p"), *order)
+    parsed = df.select(*key, raw, _once(decode_json(F.col(raw), schema)).alias("__p"), *order)
     corrupt = F.col(f"__p.{CORRUPT}").isNotNull()
     source = RecordStream(parsed, key, (raw,), ts, seq)
     rejects = (source.reject("deserialize", parsed.where(corrupt), "malformed value"),)
-    good = parsed.where(~F.coalesce(corrupt, F.lit(False))).select(*key, *[F.col(f"__p.{n}").alias(n) for n in names], *order)
+    good = parsed.where(~corrupt).select(*key, *[F.col(f"__p.{n}").alias(n) for n in names], *order)
     return RecordStream(good, key, tuple(names), ts, seq, rejects)
 
 
@@ -96,9 +105,13 @@ def read_kafka_records(df: DataFrame, key_schema: T.StructType | str, value_sche
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         F.col("timestamp").alias("ts"), F.col("offset").alias("seq"),
     )
-    parsed = text.withColumns({"__k": decode_json(F.col("key"), kinds[0]), "__v": decode_json(F.col("value"), kinds[1])})
-    corrupt = F.col(f"__k.{CORRUPT}").isNotNull() | F.col(f"__v.{CORRUPT}").isNotNull()
+    both = F.struct(decode_json(F.col("key"), kinds[0]).alias("k"), decode_json(F.col("value"), kinds[1]).alias("v"))
+    parsed = text.select("*", _once(both).alias("__p"))
+    corrupt = F.col(f"__p.k.{CORRUPT}").isNotNull() | F.col(f"__p.v.{CORRUPT}").isNotNull()
     raw = RecordStream(text, "key", "value", "ts", "seq")
-    good = parsed.where(~corrupt | corrupt.isNull()).select("__k.*", "__v.*", "ts", "seq").drop(CORRUPT)
+    good = parsed.where(~corrupt).select(
+        *[F.col(f"__p.k.{n}").alias(n) for n in kinds[0].names],
+        *[F.col(f"__p.v.{n}").alias(n) for n in kinds[1].names], "ts", "seq",
+    )
     rejects = (raw.reject("deserialize", parsed.where(corrupt), "malformed key or value"),)
     return RecordStream(good, kinds[0].names, kinds[1].names, "ts", "seq", rejects)
