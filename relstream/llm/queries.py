@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relstream.llm import hilbert, packing, repetition
+from relstream.llm import compression, hilbert, packing, repetition, tagpaths, toxicity
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_tag_path_text")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return tagpaths.extract(read(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+@query("op2_compression_quality")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return compression.rate(read(spark, folder, "documents"), read(spark, folder, "labels"), threshold=0.3)
+
+
+@query("op4_toxic_clauses")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.rate(read(spark, folder, "documents"), read(spark, folder, "labels"), threshold=0.5)
+
+
 @query("op7_hilbert_shards")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
