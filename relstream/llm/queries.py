@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relstream.llm import compression, hilbert, packing, repetition, tagpaths, toxicity
+from relstream.llm import chunks, compression, decontamination, hilbert, minhash, packing, repetition, tagpaths, toxicity
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -52,11 +52,22 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return compression.rate(read(spark, folder, "documents"), read(spark, folder, "labels"), threshold=0.3)
 
 
+@query("op3_benchmark_matches")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.with_matches(read(spark, folder, "documents").select("doc_id", "text"), read(spark, folder, "benchmark"))
+    return found.select("doc_id", F.inline("matches"))
+
+
 @query("op4_toxic_clauses")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.rate(read(spark, folder, "documents"), read(spark, folder, "labels"), threshold=0.5)
 
 
+@query("op6_minhash_classes")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op7_hilbert_shards")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
@@ -108,6 +119,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return rated.drop("text")
 
 
+@query("op9_repeated_passages")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.repeated_passages(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op10_packed_sequences")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer_path(), length=1024, end=0).drop("ids")
