@@ -246,3 +246,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = rows.where(F.col("doc_id").isNull() | F.col("d1").isNull()).select("doc_id", "n_shingles", F.col("doc_id").cast("bigint").alias("component_id"))
     return merged.unionByName(rest).select("doc_id", "n_shingles", "component_id",
                                            F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The documents that `near_duplicates` keeps, with the columns they came with.
+
+    What goes is looked up in a bitmap of fixed size first, so that only documents that may go are shuffled.
+    """
+    gone = stored(near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    rows = maybe_in(docs, F.col("doc_id"), bitmap_of(gone, "__gone", _BITS), _BITS)
+    stay = rows.where(~F.col("__maybe"))
+    checked = rows.where("__maybe").join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return stay.unionByName(checked).select(docs.columns)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relstream.llm import chunks, compression, decontamination, hilbert, minhash, packing, repetition, tagpaths, toxicity
+from relstream.llm import chunks, compression, decontamination, fuzzylines, hilbert, minhash, packing, repetition, tagpaths, toxicity
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +63,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.rate(read(spark, folder, "documents"), read(spark, folder, "labels"), threshold=0.5)
 
 
+@query("op5_fuzzy_lines")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzylines.dedup_lines(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query("op6_minhash_classes")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))

@@ -224,15 +224,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", bound: SampleB
     return ToxicityModel(*learn_lexicon(texts[1], texts[0]), curve)
 
 
-def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """`docs` with `score` between 0 and 1: how likely a text is toxic. A column of that name is replaced.
+def score(docs: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
+    """`docs` with a score between 0 and 1: how likely a text is toxic. A column of its name is replaced.
 
     Whole texts are read. Null and empty texts, and texts without a matched clause, get the curve's value for none. Equal
     texts get equal scores. An empty table gives an empty one. Broadcast is the model, some 6,000 words at most.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    carried = [f for f in docs.schema if f.name.lower() != "score" and f.name != text]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried), f"`{text}` string, score double"])
+    carried = [f for f in docs.schema if f.name.lower() != name and f.name != text]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in carried), f"`{text}` string, {name} double"])
 
     def each(_):
         fitted = shared.value
