@@ -33,6 +33,18 @@ for _how in ("inner", "left", "full"):
     interval(_how)
 
 
+@query("join_lookup_mixed_types", """
+    SELECT e.user_id, e.event_type, c.c_name AS name, e.event_id
+    FROM events e JOIN customer c ON CAST(e.user_id AS DECIMAL(12, 2)) = c.c_custkey""")
+def join_lookup_mixed_types(spark, folder):
+    """A key with a scale finds a whole-number key."""
+    stream = events(spark, folder).map_keys({"user": F.col("user_id").cast("decimal(12,2)")})
+    customers = read(spark, folder, "customer").select("c_custkey", "c_name")
+    joined = stream.join_lookup(LookupTable(customers, "c_custkey", "c_name"),
+                                lambda l, r: {"event_type": l["event_type"], "name": r["c_name"]})
+    return joined.df.select(F.col("user").cast("long").alias("user_id"), "event_type", "name", "event_id")
+
+
 SEEN = lambda l, r: {"bought": l["cents"], "viewed": r["cents"]}
 
 

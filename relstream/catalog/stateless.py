@@ -272,3 +272,40 @@ def foreach_audit(spark, folder):
 @query("table_foreach", REFUSED)
 def table_foreach(spark, folder):
     return _refused(spark, users(spark, folder))
+
+
+BLANKED = "CASE WHEN event_id % 11 = 0 THEN '' WHEN event_id % 13 = 0 THEN '  ' WHEN event_id % 17 = 0 THEN 'null' ELSE props END"
+
+
+@query("source_decode_blank", f"""
+    SELECT 'quarantined' AS fate, count(*) AS n FROM (SELECT {BLANKED} AS raw FROM events) WHERE trim(raw) = ''
+    UNION ALL SELECT 'null', count(*) FROM (SELECT {BLANKED} AS raw FROM events) WHERE raw = 'null'
+    UNION ALL SELECT 'decoded', count(*) FROM (SELECT {BLANKED} AS raw FROM events) WHERE trim(raw) <> '' AND raw <> 'null'""")
+def source_decode_blank(spark, folder):
+    """An empty payload is malformed; only JSON null is a null value."""
+    raw = F.when(F.col("event_id") % 11 == 0, "").when(F.col("event_id") % 13 == 0, "  ").when(F.col("event_id") % 17 == 0, "null")
+    df = read(spark, folder, "events").withColumn("raw", raw.otherwise(F.col("props")))
+    flow = read_json_records(df, ["user_id"], "raw", "k int", "ts", ["event_id"])
+    fates = [("quarantined", flow.quarantine()), ("null", flow.rows().where("k IS NULL")), ("decoded", flow.rows().where("k IS NOT NULL"))]
+    counts = [rows.agg(F.count("*").alias("n")).select(F.lit(fate).alias("fate"), "n") for fate, rows in fates]
+    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+
+
+@query("map_values_udf_bigint", """
+    SELECT user_id, CASE WHEN event_id % 3 <> 0 THEN 9007199254740993 + event_id END AS big, event_id FROM events""")
+def map_values_udf_bigint(spark, folder):
+    """Whole numbers beyond a double's precision pass a Python function beside nulls."""
+    same = safe_udf(lambda x: x, "long")
+    big = F.when(F.col("event_id") % 3 != 0, F.col("event_id") + F.lit(9007199254740993))
+    mapped = events(spark, folder).map_values({"big": same(big)["value"]})
+    return mapped.df.select("user_id", "big", "event_id")
+
+
+@query("merge_quarantine_once", f"""
+    SELECT operator, count(*) AS n FROM (SELECT 'deserialize' AS operator FROM (SELECT {RAW} AS raw FROM events)
+    WHERE NOT json_valid(raw)) GROUP BY operator""")
+def merge_quarantine_once(spark, folder):
+    """Two branches of one decoded stream share its failures; merged, each is there once."""
+    flow = decoded(spark, folder)
+    both = flow.filter(F.col("k") < 50).merge(flow.filter(F.col("k") >= 50))
+    return both.quarantine().groupBy("operator").agg(F.count("*").alias("n"))

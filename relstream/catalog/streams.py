@@ -170,10 +170,37 @@ def stream_table_changes(spark, folder):
 @query("stream_table_count", QUERIES["table_reduce_sum"].sql.replace("SELECT kind,", "SELECT kind, count(user_id) AS count,", 1))
 def stream_table_count(spark, folder):
     """Retraction in one query: change rows from keyed state, summed per group."""
-    changes = keyed.changes(users(spark, folder))
-    sums = changes.groupBy(F.col("event_type").alias("kind")).agg(
-        F.sum("op").alias("count"), F.sum(F.col("op") * F.col("cents")).alias("cents"))
-    return updated(sums, ["kind"], spark)
+    grouped = users(spark, folder).group_by({"kind": F.col("event_type")})
+    return updated(grouped.totals(cents=F.col("cents")).df, ["kind"], spark)
+
+
+@twin("stream_table_map_keys", "table_map_keys")
+def stream_table_map_keys(spark, folder):
+    """A re-keyed table on a stream: its log, of which the last version of each new key counts."""
+    slot = F.concat_ws("-", "event_type", F.floor(F.col("cents") / 1000))
+    table = users(spark, folder).map_keys({"slot": slot})
+    last = updated(table.latest_versions(), table.key, spark)
+    return local_time(last.where(F.col("event_type").isNotNull()).drop("op"))
+
+
+@twin("stream_changelog_late", "table_changes")
+def stream_changelog_late(spark, folder):
+    """Every tenth event comes once more, after all others: nothing changes, and the late ones are marked."""
+    stream = events(spark, folder)
+    late = stream.rows().where("event_id % 10 = 0")
+    table = UpsertTable.of(replay(stream, late=late, flush=False), deleted=F.col("event_type") == "error")
+    found = appended(keyed.changes(table, with_late=True), spark)
+    return local_time(found.where("op <> 0"))
+
+
+@twin("stream_asof_late", "join_asof_left")
+def stream_asof_late(spark, folder):
+    """Views that come once more after all others replace no later view."""
+    stream = events(spark, folder, "purchase", "view")
+    replayed = replay(stream, late=stream.rows().where("event_type = 'view' AND event_id % 10 = 0"), flush=False)
+    views = UpsertTable.of(replayed.filter(F.col("event_type") == "view"))
+    flow = keyed.join_table(replayed.filter(F.col("event_type") == "purchase"), views, joins.SEEN, "left", spread=2)
+    return local_time(appended(flow.rows(), spark))
 
 
 @query("stream_fold", f"""

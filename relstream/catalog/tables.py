@@ -213,3 +213,65 @@ def table_fk_join(how: str):
 
 for _how in ("inner", "left"):
     table_fk_join(_how)
+
+
+@query("table_fk_join_mixed_types", """
+    SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, c_name AS customer
+    FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING') ON o_custkey = c_custkey""")
+def table_fk_join_mixed_types(spark, folder):
+    """A foreign key of a narrower type than the key it points at."""
+    joined = orders(spark, folder).join_foreign(
+        builders(spark, folder), {"customer": F.col("o_custkey").cast("int")},
+        lambda l, r: {"cents": l["cents"], "customer": r["c_name"]}, "left")
+    return joined.df.select("o_orderkey", "cents", "customer")
+
+
+# -- groups of nulls, texts and emptied groups ----------------------------------------------------
+
+@query("table_group_max_string", f"""
+    WITH seen AS (SELECT DISTINCT event_type FROM ({VERSIONS}) WHERE event_type IS NOT NULL)
+    SELECT event_type AS kind, max(user_id || ':' || cents) AS top
+    FROM seen LEFT JOIN ({LATEST}) USING (event_type) GROUP BY event_type""")
+def table_group_max_string(spark, folder):
+    top = F.max(F.concat_ws(":", "user_id", "cents"))
+    return users(spark, folder).group_by({"kind": F.col("event_type")}).aggregate(top=top).df
+
+
+@query("table_group_min_null", f"""
+    WITH seen AS (SELECT DISTINCT event_type FROM ({VERSIONS}) WHERE event_type IS NOT NULL)
+    SELECT event_type AS kind, min(CASE WHEN cents > 100000000 THEN cents END) AS low, count(user_id) AS n
+    FROM seen LEFT JOIN ({LATEST}) USING (event_type) GROUP BY event_type""")
+def table_group_min_null(spark, folder):
+    """A live group without values has no least value, not 0."""
+    low = F.min(F.when(F.col("cents") > 100_000_000, F.col("cents")))
+    return users(spark, folder).group_by({"kind": F.col("event_type")}).aggregate(low=low, n=F.count(F.lit(1))).df
+
+
+@query("table_latest_map", f"""
+    SELECT user_id, event_type AS kind, cents FROM (SELECT * FROM ({LATEST})) WHERE event_type IS NOT NULL""")
+def table_latest_map(spark, folder):
+    """Values that cannot be compared: the latest is chosen by the order alone."""
+    table = users(spark, folder)
+    rows = table.rows().withColumn("both", F.when(F.col("event_type").isNotNull(), F.create_map("event_type", "cents"))) \
+        .drop("event_type", "cents")
+    latest = UpsertTable(rows, "user_id", "both", "ts", "event_id").latest()
+    return latest.select("user_id", F.explode("both").alias("kind", "cents"))
+
+
+@query("table_aggregate_reinit", f"""
+    WITH runs AS (
+      SELECT *, sum(op) OVER w AS alive, sum(op * cents) OVER w AS total
+      FROM ({CHANGES}) WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id, op ROWS UNBOUNDED PRECEDING)),
+    last_empty AS (SELECT event_type, max(CASE WHEN alive = 0 THEN (ts, event_id, op) END) AS edge FROM runs GROUP BY event_type)
+    SELECT event_type AS kind, CAST(100 + sum(op * cents) AS BIGINT) AS total, CAST(sum(op) AS BIGINT) AS n
+    FROM runs JOIN last_empty USING (event_type)
+    WHERE edge IS NULL OR (ts, event_id, op) > edge GROUP BY event_type""")
+def table_aggregate_reinit(spark, folder):
+    """A group that empties is deleted; its next row starts from 100 again."""
+    def step(state, op, value):
+        n = state["n"] + op
+        return F.when(n != 0, F.struct((state["total"] + op * value["cents"]).alias("total"), n.alias("n")))
+
+    merge = lambda a, b: F.struct((a["total"] + b["total"] - 100).alias("total"), (a["n"] + b["n"]).alias("n"))
+    init = F.struct(F.lit(100).cast("long").alias("total"), F.lit(0).cast("long").alias("n"))
+    return users(spark, folder).group_by({"kind": F.col("event_type")}).fold(init, step, merge).df

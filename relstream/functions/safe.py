@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def safe_udf(fn: Callable, return_type: T.DataType | str) -> Callable[..., Column]:
@@ -25,15 +26,27 @@ def safe_udf(fn: Callable, return_type: T.DataType | str) -> Callable[..., Colum
         except Exception as error:  # the record's failure, kept as data
             return None, f"{type(error).__name__}: {error}"
 
-    def call(*columns: pd.Series) -> pd.DataFrame:
-        # Spark hands integers with nulls over as floats with NaN: give the function None instead.
-        plain = [c.astype(object).where(c.notna(), None) for c in columns]
-        results = [attempt(*args) for args in zip(*plain)]
-        return pd.DataFrame({
-            "value": pd.Series([r[0] for r in results], dtype=object),
-            "error": pd.Series([r[1] for r in results], dtype=object),
-        })
+    kind = to_arrow_type(value_type)
 
-    call.__annotations__ = {"columns": pd.Series, "return": pd.DataFrame}
+    def fit(value):
+        """A value that the declared type cannot hold is its record's failure, not the batch's."""
+        try:
+            pa.array([value], kind)
+        except Exception as error:
+            return None, f"{type(error).__name__}: {error}"
+        return value, None
+
+    def call(*columns: pa.Array) -> pa.Array:
+        # Arrow to Python and back: whole numbers stay whole, also beside a null.
+        results = [attempt(*args) for args in zip(*[c.to_pylist() for c in columns])]
+        errors = [r[1] for r in results]
+        try:
+            values = pa.array([r[0] for r in results], kind)
+        except (pa.ArrowInvalid, pa.ArrowTypeError, OverflowError):
+            checked = [fit(value) if error is None else (None, error) for value, error in results]
+            values, errors = pa.array([c[0] for c in checked], kind), [c[1] for c in checked]
+        return pa.StructArray.from_arrays([values, pa.array(errors, pa.string())], ["value", "error"])
+
+    call.__annotations__ = {"columns": pa.Array, "return": pa.Array}
     # Otherwise a filter on `error` would be moved below the call and make a second one.
-    return F.pandas_udf(call, schema).asNondeterministic()
+    return F.arrow_udf(call, schema).asNondeterministic()

@@ -19,6 +19,7 @@ from relstream.operators.stateless import StreamMapOps
 from relstream.operators.table_joins import TableJoinOps
 from relstream.operators.tables import TableOps
 from relstream.sources.sinks import StreamSinkOps, TableSinkOps
+from relstream.sources.topics import JSON_TIMES
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,13 @@ class _Keyed:
     def with_(self, **changes):
         return replace(self, **changes)
 
+    def all_rejects(self, *others) -> tuple[DataFrame, ...]:
+        """The quarantine of this flow and of others, what they share only once: flows of one source share its failures."""
+        found = list(self.rejects)
+        for other in others:
+            found += [r for r in other.rejects if not any(r is known for known in found)]
+        return tuple(found)
+
     def quarantine(self) -> DataFrame:
         """Records given up by this flow so far: `operator, key, value, error, ts, seq`."""
         if not self.rejects:
@@ -88,11 +96,11 @@ class _Keyed:
         text = F.lit(error) if isinstance(error, str) else error
         return rows.select(
             F.lit(operator).alias("operator"),
-            F.to_json(F.struct(*self.key)).alias("key"),
-            F.to_json(F.struct(*self.value)).alias("value"),
+            F.to_json(F.struct(*self.key), JSON_TIMES).alias("key"),
+            F.to_json(F.struct(*self.value), JSON_TIMES).alias("value"),
             text.alias("error"),
             (F.col(self.ts) if self.ts else F.lit(None).cast("timestamp")).cast("timestamp").alias("ts"),
-            F.to_json(F.struct(*self.seq)).alias("seq"),
+            F.to_json(F.struct(*self.seq), JSON_TIMES).alias("seq"),
         )
 
 

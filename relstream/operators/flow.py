@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -28,14 +28,14 @@ def run_action(rows: DataFrame, columns: tuple[str, ...], action: Callable[[dict
             return f"{type(problem).__name__}: {problem}"
         return None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Arrow to Python: whole numbers stay whole, also beside a null.
         for batch in batches:
-            plain = batch.astype(object).where(batch.notna(), None)
-            errors = [attempt(dict(zip(names, row))) for row in plain.itertuples(index=False, name=None)]
-            yield batch.assign(**{error: errors})[[e is not None for e in errors]]
+            errors = pa.array([attempt(dict(zip(names, row))) for row in zip(*[c.to_pylist() for c in batch.columns])], pa.string())
+            yield batch.append_column(error, errors).filter(errors.is_valid())
 
     schema = rows.select(*names).schema.add(error, "string")
-    return rows.select(*names).mapInPandas(run, schema)
+    return rows.select(*names).mapInArrow(run, schema)
 
 
 class FlowOps:
@@ -64,7 +64,7 @@ class FlowOps:
         """All records of both streams, in no particular order."""
         if (self.key, self.value, self.order) != (other.key, other.value, other.order):
             raise ValueError("merged streams need the same key, value and order columns")
-        return self.with_(df=self.rows().unionByName(other.rows()), rejects=self.rejects + other.rejects)
+        return self.with_(df=self.rows().unionByName(other.rows()), rejects=self.all_rejects(other))
 
     def peek(self, observation: Observation | str, **metrics: Column):
         """Computes the aggregate `metrics` while records pass by unchanged, once per execution.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -162,6 +163,11 @@ def _as_column(agg: Column | Mergeable) -> Column:
     return agg
 
 
+def _starts_at_zero(agg: Column) -> bool:
+    """Whether the aggregate of no rows is 0: a count or a sum."""
+    return re.match(r"Column<'(count|count_if|sum|try_sum|approx_count_distinct)\(", str(agg), re.I) is not None
+
+
 class TableGroupOps:
 
     def group_by(self, key: dict[str, Column], valid: Column | None = None) -> GroupedTable:
@@ -185,7 +191,7 @@ class GroupedTable:
 
     def _grouped(self, rows: DataFrame) -> DataFrame:
         """Adds the group key as `__g0…`, apart from the row's own columns."""
-        keyed = rows.where(self.valid)
+        keyed = rows.where(self.valid & all_of(c.isNotNull() for c in self.key.values()))
         return keyed.select("*", *[c.alias(f"__g{i}") for i, c in enumerate(self.key.values())])
 
     @property
@@ -198,24 +204,40 @@ class GroupedTable:
 
     def count(self, name: str = "count"):
         """Live rows per group; a group that has emptied stays with 0."""
-        return self.aggregate(**{name: F.count(F.lit(1))})
+        return self.totals(name)
+
+    def totals(self, count: str = "count", **sums: Column):
+        """Live rows and sums over them per group, also on a stream: each change takes back what it replaces.
+
+        On a stream the result is in update mode, one row per group that changed. Sums over no values are 0.
+        """
+        if not self.table.df.isStreaming:
+            plain = {n: F.coalesce(F.sum(c), F.lit(0)) for n, c in sums.items()}
+            zero = {n: F.lit(0) for n in sums}
+            return self.aggregate(zero, **{count: F.count(F.lit(1))}, **plain)
+        changes = self.changes()
+        found = changes.groupBy(*self._names).agg(
+            F.sum(OP).alias(count), *[F.coalesce(F.sum(F.col(OP) * c), F.lit(0)).alias(n) for n, c in sums.items()])
+        return self._snapshot(found)
 
     def aggregate(self, empty: dict[str, Column] | None = None, drop_empty: bool = False, **aggs: Column):
         """Aggregates of the live rows per group.
 
-        For an aggregate whose subtractor undoes its adder, retracting each replaced row gives the
+        Rows without a group key are in no group. For an aggregate whose subtractor undoes its adder, retracting each replaced row gives the
         aggregate over the rows alive now, so no change rows are built: one pre-aggregated pass finds
-        the live rows and another the groups ever seen. A group that has emptied stays with 0, or
-        with the column given in `empty`; `drop_empty` removes it instead.
+        the live rows and another the groups ever seen. In a group that has emptied counts and sums
+        are 0 and other aggregates null, or the column given in `empty`; `drop_empty` removes it
+        instead. A group with live rows keeps its aggregates as they are, null ones too.
         """
         names = self._names
         live = self._grouped(self.table.latest()).groupBy(*names).agg(*[c.alias(n) for n, c in aggs.items()])
         if not drop_empty:
             seen = self._grouped(self.table.rows().where(self.table.has_value)).select(*names).distinct()
-            spare = empty or {}
-            live = seen.join(live, names, "left").select(
-                *names, *[F.coalesce(n, spare.get(n, F.lit(0))).alias(n) for n in aggs]
-            )
+            spare = {n: F.lit(0) for n, c in aggs.items() if _starts_at_zero(c)} | (empty or {})
+            found = seen.join(live.withColumn("__live", F.lit(True)), names, "left")
+            live = found.select(*names, *[
+                F.when(F.col("__live"), F.col(n)).otherwise(spare.get(n, F.lit(None))).alias(n) for n in aggs
+            ])
         return self._snapshot(live)
 
     def reduce(self, empty: dict[str, Column] | None = None, **aggs: Column):
@@ -226,18 +248,36 @@ class GroupedTable:
              merge: Callable[[Column, Column], Column], deleted: Callable[[Column], Column] | None = None):
         """Ordered fold over the change rows: `step(state, op, value)` with `op` -1 or +1.
 
-        Retractions come before additions at one time. `merge(earlier, later)` joins consecutive
-        runs; a group whose final state satisfies `deleted` is absent.
+        Retractions come before additions at one time. Where `step` gives null the group is deleted,
+        and its next change starts from `init` again. `merge(earlier, later)` joins the states of
+        consecutive runs, each from `init`; a failed (null) merge keeps the earlier. A group that is
+        deleted, or whose final state satisfies `deleted`, is absent.
         """
         value = F.struct(F.col(OP).alias("op"), F.struct(*self.table.value).alias("value"))
-        take = _keep_old(lambda state, row: step(state, row["op"], row["value"]))
+
+        # A run's state with a mark whether the group was deleted in it: what came before such a run does not matter.
+        def taken(since, state, row):
+            after = step(F.coalesce(state, init), row["op"], row["value"])
+            return F.struct((since | after.isNull()).alias("anew"), after.alias("state"))
+
+        def start(row):
+            return taken(F.lit(False), F.lit(None).cast(kind), row)
+
+        def take(run, row):
+            return taken(run["anew"], run["state"], row)
+
+        def joined(a, b):
+            both = F.coalesce(merge(a["state"], b["state"]), a["state"], b["state"])
+            state = F.when(b["anew"] | a["state"].isNull(), b["state"]).otherwise(both)
+            return F.struct((a["anew"] | b["anew"]).alias("anew"), state.alias("state"))
+
+        kind = self.table.spark.range(0).select(init.alias("s")).schema["s"].dataType
         # Every version adds one change to its group and later takes one back, so the versions show
         # how large the groups are without building the changes.
         versions = self._grouped(self.table.rows().where(self.table.has_value)).withColumn(OP, F.lit(1))
         folded = ordered_fold(
-            self.changes(), self._names, (*self.table.order, OP), value, "__state",
-            lambda row: take(init, row), take, _either(merge), sizing=versions,
-        )
+            self.changes(), self._names, (*self.table.order, OP), value, "__run", start, take, joined, sizing=versions,
+        ).select(*self._names, F.col("__run.state").alias("__state")).where(F.col("__state").isNotNull())
         if deleted is not None:
             folded = folded.where(~F.coalesce(deleted(F.col("__state")), F.lit(False)))
         return self._snapshot(folded.select(*self._names, "__state.*"))

@@ -152,7 +152,7 @@ class StreamJoinOps:
             *[F.col(n).alias(k) for n, k in zip(names, self.key)],
             *[c.alias(n) for n, c in columns.items()], *order,
         )
-        return self.with_(df=df, value=tuple(columns), rejects=self.rejects + other.rejects)
+        return self.with_(df=df, value=tuple(columns), rejects=self.all_rejects(other))
 
 
 def _side(stream, names: list[str], ts: str, seq: str, value: str, late: timedelta | None) -> DataFrame:

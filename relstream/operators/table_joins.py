@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from relstream.functions.predicates import all_of
 from relstream.operators.joiners import LEFT, RIGHT, Joiner
-from relstream.operators.joins import _check
+from relstream.operators.joins import _SIDE, _check
 from relstream.plans.ordered import Carried, carry_forward
 from relstream.plans.skew import lookup_join
 
@@ -55,12 +55,14 @@ class TableJoinOps:
             return table.rows().select(
                 *[F.col(k).alias(n) for k, n in zip(table.key, names)],
                 *[F.col(c).alias(o) for c, o in zip(table.order, order)],
+                F.lit(int(value == RIGHT)).alias(_SIDE),
                 F.struct(table.value_struct().alias("v")).alias(f"{value}_version"),
             )
 
         united = log(self, LEFT).unionByName(log(other, RIGHT), allowMissingColumns=True)
         sides = {LEFT: F.col(f"{LEFT}_version"), RIGHT: F.col(f"{RIGHT}_version")}
-        states = carry_forward(united, names, order, {
+        # Numbers of two topics may tie: the left update then comes first.
+        states = carry_forward(united, names, [*order, _SIDE], {
             **{f"{s}_now": Carried(c) for s, c in sides.items()},
             **{f"{s}_was": Carried(c, inclusive=False) for s, c in sides.items()},
         })
@@ -79,7 +81,7 @@ class TableJoinOps:
         )
         columns = Joiner.of(joiner, self.value, other.value).columns(emit=F.col("__exists"))
         df = rows.select(*self.key, *[c.alias(n) for n, c in columns.items()], *self.order)
-        return self.with_(df=df, value=tuple(columns), rejects=self.rejects + other.rejects)
+        return self.with_(df=df, value=tuple(columns), rejects=self.all_rejects(other))
 
     def join_foreign(self, other, on: dict[str, Column], joiner=None, how: str = "inner"):
         """Joins each current row with the row of `other` whose primary key is computed by `on`.
@@ -106,7 +108,7 @@ class TableJoinOps:
         joined = lookup_join(left, right, foreign, [f"__pk{i}" for i in range(len(other.key))], how,
                              spread_by=self.key)
         result = self._result(joined, {k: k for k in self.key}, Joiner.of(joiner, self.value, other.value), other)
-        return result.with_(rejects=rejects + other.rejects)
+        return result.with_(rejects=self.with_(rejects=rejects).all_rejects(other))
 
     def _result(self, joined: DataFrame, keys: dict[str, str], joiner: Joiner, other):
         """A snapshot with the left row's order columns, or the right row's where there is no left."""
@@ -122,6 +124,6 @@ class TableJoinOps:
         df = joined.select(
             *[F.col(n).alias(k) for n, k in keys.items()], *[c.alias(n) for n, c in columns.items()], *order
         )
-        result = self.with_(df=df, value=tuple(columns), rejects=self.rejects + other.rejects, is_snapshot=True)
+        result = self.with_(df=df, value=tuple(columns), rejects=self.all_rejects(other), is_snapshot=True)
         return result.with_(df=df.where(result.has_value))
 

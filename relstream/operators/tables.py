@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relstream.functions.predicates import all_of, strict
 from relstream.plans.ordered import Carried, carry_forward
@@ -17,6 +18,15 @@ from relstream.plans.ordered import Carried, carry_forward
 OP = "op"
 
 
+def _orderable(kind: T.DataType) -> bool:
+    """Whether values of the type can be compared: anything without a map or a variant in it."""
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 class TableOps:
 
     # -- state and changes -----------------------------------------------------------------------
@@ -28,9 +38,13 @@ class TableOps:
         """
         if self.is_snapshot:
             return self.rows()
-        # The order columns lead the struct; values are compared only between versions that tie.
-        last = F.max(F.struct(*self.order, *self.value)).alias("__last")
-        return self.rows().groupBy(*self.key).agg(last).select(
+        rows = self.rows()
+        if _orderable(rows.select(*self.value).schema):
+            # The order columns lead the struct; values are compared only between versions that tie.
+            last = F.max(F.struct(*self.order, *self.value))
+        else:  # maps have no order: their text decides between versions that tie
+            last = F.max_by(F.struct(*self.value, *self.order), F.struct(*self.order, F.to_json(F.struct(*self.value))))
+        return rows.groupBy(*self.key).agg(last.alias("__last")).select(
             *self.key, *[F.col("__last")[c].alias(c) for c in (*self.value, *self.order)]
         )
 
@@ -53,6 +67,9 @@ class TableOps:
 
         Per key the values of `op` add up to 1 while the key lives and to 0 once it is deleted.
         """
+        if self.df.isStreaming:
+            from relstream.streaming import keyed
+            return keyed.changes(self)
         if self.is_snapshot:
             return self.rows().where(self.has_value).withColumn(OP, F.lit(1))
         new, old = F.struct(*self.value), F.col("__old")

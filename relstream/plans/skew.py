@@ -8,6 +8,7 @@ same boundaries; results never depend on them.
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -23,10 +24,17 @@ CHUNK = "__chunk"
 _HASH = "__key_hash"
 _CUTS = "__cuts"
 
-# One key above this share of the rows is always reported by the sketch below (its error is ~0.02 %).
-_SKETCH_ITEMS = 10_000
-_MAX_HOT_KEYS = 1_000
+# The sketch keeps this many candidates; its counts are off by less than 1 / _SURE of the rows, so no key above that is missed.
+_SKETCH_ITEMS = 16_384
+_SURE = 10_000
 _MERGE_GROUPS = 256
+# All cut points together travel as one small table; pieces grow beyond this many of them.
+_MAX_PIECES = 100_000
+# Plan nodes whose output is no larger than what Spark estimates from the files below them.
+_PLAIN = {"Project", "Filter", "Relation", "LogicalRelation", "RelationV2", "LocalRelation", "Aggregate", "Deduplicate", "Distinct",
+          "SubqueryAlias", "GlobalLimit", "LocalLimit", "Range", "Sample", "Sort", "Repartition", "RepartitionByExpression", "OneRowRelation"}
+# Files are compressed: a row in memory takes this many times its bytes.
+_EXPANSION = 4
 
 # Spark counts an input of unknown size as the largest long; more than an exabyte is no estimate.
 _UNKNOWN_BYTES = 1 << 60
@@ -36,13 +44,12 @@ _UNKNOWN_BYTES = 1 << 60
 class SplitPolicy:
     """When and how finely to split hot keys; settable per session as `relstream.split.<name>`.
 
-    A key is hot when it has more rows than `min_rows` and than `hot_factor` average partitions.
+    A key is hot when it has more rows than one task should take, `min_rows`, whatever the number of partitions; its
+    pieces are of that size.
     """
 
     min_bytes: int = 1 << 30
     min_rows: int = 1_000_000
-    hot_factor: int = 2
-    max_splits: int = 512
     sample_per_split: int = 32
     broadcast_bytes: int = 32 << 20
 
@@ -61,13 +68,19 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < _UNKNOWN_BYTES else None
 
 
-def fits_broadcast(df: DataFrame, policy: SplitPolicy) -> bool:
-    size = None if df.isStreaming else estimated_bytes(df)
-    return size is not None and size <= policy.broadcast_bytes
+def _is_plain(df: DataFrame) -> bool:
+    """Whether nothing in the plan can make more, or larger, rows than its files hold."""
+    nodes = re.findall(r"^[\s:+|-]*([A-Za-z0-9]+)", df._jdf.queryExecution().optimizedPlan().toString(), re.M)
+    return all(node in _PLAIN for node in nodes)
 
 
-def _parallelism(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+def fits_broadcast(df: DataFrame, policy: SplitPolicy) -> bool:
+    """Whether a broadcast is safe to ask for. Where the size is a guess, as above a generator or a join, it is left to
+    adaptive execution, which broadcasts by measured sizes."""
+    if df.isStreaming or policy.broadcast_bytes < 0 or not _is_plain(df):
+        return False
+    size = estimated_bytes(df)
+    return size is not None and size * _EXPANSION <= policy.broadcast_bytes
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -84,7 +97,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SplitPolicy) -> dict[in
     """Estimated rows and number of pieces, by key hash, for keys that would overload one task; empty for small inputs.
 
     One pass over the key columns. Each task keeps a fixed-size frequent-items sketch, the sketches
-    are merged in two steps, and at most `_MAX_HOT_KEYS` entries reach the driver.
+    are merged in two steps, and at most `_SURE` entries reach the driver.
     """
     if df.isStreaming:
         return {}
@@ -98,16 +111,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], policy: SplitPolicy) -> dict[in
         .agg(F.expr(f"approx_top_k_accumulate(h, {_SKETCH_ITEMS})").alias("s"), F.count("h").alias("n"))
     )
     found = sketches.agg(
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s), {_MAX_HOT_KEYS})").alias("top"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s), {_SURE})").alias("top"),
         F.sum("n").alias("total"),
     ).first()
     if not found.total:
         return {}
-    average = found.total / _parallelism(df.sparkSession)
-    limit = max(policy.min_rows, policy.hot_factor * average, found.total / _MAX_HOT_KEYS)
-    piece = max(policy.min_rows, average)
+    limit = max(policy.min_rows, found.total / _SURE)
+    piece = max(policy.min_rows, found.total / _MAX_PIECES)
     return {
-        entry["item"]: HotKey(entry["count"], min(policy.max_splits, math.ceil(entry["count"] / piece) + 1))
+        entry["item"]: HotKey(entry["count"], math.ceil(entry["count"] / piece) + 1)
         for entry in found.top
         if entry["count"] > limit
     }
@@ -125,7 +137,7 @@ class Chunks:
         """Adds the chunk number: how many cut points of its key the row has passed (0 if none).
 
         Chunk numbers never decrease along the key's order, and the binary search costs a hot row
-        log2(cuts) comparisons. The cut table has at most a thousand rows, so it is broadcast.
+        log2(cuts) comparisons. The cut table has at most `_MAX_PIECES` cut points, so it is broadcast.
         """
         number = F.when(F.col(_CUTS).isNull(), F.lit(0)).otherwise(self._passed())
         return self._with_cuts(df, "left").withColumn(CHUNK, number).drop(_HASH, _CUTS)
@@ -177,16 +189,28 @@ def find_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return Chunks(spark.createDataFrame(list(cuts.items()), schema), tuple(keys), tuple(order))
 
 
+def _one_type(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their join columns in a common type, so that equal keys are equal values and have equal hashes."""
+    for a, b in zip(left_on, right_on):
+        kinds = [left.schema[a].dataType, right.schema[b].dataType]
+        if kinds[0] != kinds[1]:
+            nulls = [F.lit(None).cast(kind) for kind in kinds]
+            common = left.sparkSession.range(0).select(F.coalesce(*nulls).alias("c")).schema["c"].dataType
+            left, right = left.withColumn(a, F.col(a).try_cast(common)), right.withColumn(b, F.col(b).try_cast(common))
+    return left, right
+
+
 def lookup_join(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
                 how: str, spread_by: Sequence[str], policy: SplitPolicy | None = None) -> DataFrame:
     """Equi-join of `left` to a `right` that has one row per key; `how` is inner or left.
 
-    A right side whose estimated size is within the bound is broadcast. Beyond it the join shuffles,
+    Join columns of different types are compared in their common type. A right side whose estimated size is within the bound is broadcast. Beyond it the join shuffles,
     and a hot left key is spread over several tasks by the hash of its `spread_by` columns while its
     single right row is repeated for each of them.
     """
     spark = left.sparkSession
     policy = policy or SplitPolicy.of(spark)
+    left, right = _one_type(left, right, left_on, right_on)
     matches = [F.col(a) == F.col(b) for a, b in zip(left_on, right_on)]
     if fits_broadcast(right, policy):
         return left.join(F.broadcast(right), matches, how)

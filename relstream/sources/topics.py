@@ -48,13 +48,14 @@ class TopicSpec:
 def decode_json(raw: Column, schema: T.StructType | str) -> Column:
     """Parses JSON text to a struct with an extra `_corrupt_record` field; unknown fields are ignored.
 
-    JSON null and SQL NULL stay null and are not corrupt.
+    JSON null and SQL NULL stay null and are not corrupt; text that holds no JSON at all, as the empty one, is.
     """
-    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    parsed = F.from_json(raw, f"{ddl}, {CORRUPT} string", {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIMES,
-    })
-    return F.when(F.trim(raw) != "null", parsed)
+    fields = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    whole = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json(raw, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIMES})
+    bare = F.regexp_replace(raw, r"^[ \t\r\n]+|[ \t\r\n]+$", "")
+    blank = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields], raw.alias(CORRUPT))
+    return F.when(bare == "", blank).when(bare != "null", parsed)
 
 
 def encode_json(columns: Iterable[str]) -> Column:

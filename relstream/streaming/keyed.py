@@ -6,7 +6,8 @@ The size of a micro-batch is set at the source (`maxFilesPerTrigger`, `maxBytesP
 group is larger than that.
 
 Seq columns must be whole numbers here. Rows of one key have to reach the stream in order as far as
-micro-batches go; an update older than the version in state is ignored.
+micro-batches go. An update that is not after the version in state, by the whole order (time, then
+seq), changes nothing and goes to the quarantine; `changes` marks it with `op = 0` where asked.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from relstream.functions.predicates import all_present
+from relstream.functions.predicates import all_of, all_present
 from relstream.operators.joiners import LEFT, RIGHT, Joiner
 from relstream.operators.joins import _check
 from relstream.operators.tables import OP
@@ -66,6 +67,24 @@ def _carried(mask: np.ndarray, texts: np.ndarray, before: str | None) -> np.ndar
     return np.where(index >= 0, texts[np.maximum(index, 0)], before)
 
 
+def _after(batch: pd.DataFrame, order: list[str], point: list[int] | None) -> np.ndarray:
+    """Which rows lie after a point of the order; all do where there is none yet."""
+    if point is None:
+        return np.ones(len(batch), dtype=bool)
+    return np.array([list(p) > list(point) for p in batch[order].itertuples(index=False, name=None)], dtype=bool)
+
+
+def _too_late(found: DataFrame, operator: str, flow, names: list[str], order: list[str]) -> DataFrame:
+    """Quarantine rows for updates that came after a later one of their key."""
+    return found.select(
+        F.lit(operator).alias("operator"),
+        F.to_json(F.struct(*[F.col(n).alias(k) for n, k in zip(names, flow.key)]), JSON_TIMES).alias("key"),
+        F.col(_TEXT).alias("value"), F.lit("older than the version in state").alias("error"),
+        (F.timestamp_micros(_AT) if flow.ts else F.lit(None).cast("timestamp")).alias("ts"),
+        F.to_json(F.struct(*[F.col(o).alias(s) for o, s in zip(order, flow.seq)])).alias("seq"),
+    )
+
+
 def _stateful(df: DataFrame, keys: list[str], handle: Callable, output: T.StructType, state: str,
               mode: str = "append") -> DataFrame:
     return df.groupBy(*keys).applyInPandasWithState(handle, output, state, mode, GroupStateTimeout.NoTimeout)
@@ -81,24 +100,29 @@ def _output(df: DataFrame, keys: list[str], *fields: str) -> T.StructType:
 
 # -- change rows ---------------------------------------------------------------------------------
 
-def changes(table) -> DataFrame:
-    """The streaming form of `table.changes()`: -1 takes the replaced value back, +1 adds the new."""
+def changes(table, with_late: bool = False) -> DataFrame:
+    """The streaming form of `table.changes()`: -1 takes the replaced value back, +1 adds the new.
+
+    `with_late` adds the updates that came too late to change anything, as rows with `op = 0`.
+    """
     keys, order = list(table.key), [_AT, *[f"__seq{i}" for i in range(len(table.seq))]]
     rows = table.rows().select(*keys, *_numbers(table), encode_json(table.value).alias(_TEXT))
 
     def handle(key, frames, state: GroupState):
         at, old = state.get if state.exists else (None, None)
         batch = _batch(frames, order)
-        points = list(map(list, batch[order].itertuples(index=False, name=None)))
-        if at is not None:
-            fresh = np.array([p > list(at) for p in points])
-            batch = batch[fresh].reset_index(drop=True)
-            points = [p for p, f in zip(points, fresh) if f]
+        fresh = _after(batch, order, at)
+        if with_late and not fresh.all():
+            late = batch[~fresh].assign(**{OP: 0})
+            for name, value in zip(keys, key):
+                late[name] = value
+            yield late[[*keys, OP, _TEXT, *order]]
+        batch = batch[fresh].reset_index(drop=True)
         if batch.empty:
             return
         new = batch[_TEXT].to_numpy(object)
         replaced = np.concatenate([[old], new[:-1]])
-        state.update((points[-1], new[-1]))
+        state.update(([int(p) for p in batch[order].iloc[-1]], new[-1]))
         both = pd.concat([batch.assign(**{OP: -1, _TEXT: replaced}), batch.assign(**{OP: 1})])
         both = both[both[_TEXT].notna()].sort_values([*order, OP], kind="stable")
         for name, value in zip(keys, key):
@@ -134,7 +158,10 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
         *[c.alias(n) for n, c in zip(names, sources)], salt.alias("__salt"), F.lit(1).alias(_SIDE), *_numbers(stream),
         F.to_json(F.struct(*carried), JSON_TIMES).alias(_TEXT),
     )
+    rejects = stream.all_rejects(table)
     if how == "inner":
+        failed = complete.where(~all_of(c.isNotNull() for c in sources))
+        rejects = (*rejects, stream.reject("join_table", failed, "no join key")) if on else rejects
         records = records.where(all_present(names))
     versions = table.rows().select(
         *[F.col(k).alias(n) for k, n in zip(table.key, names)],
@@ -143,22 +170,30 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
     )
     united = records.unionByName(versions)
     order, keys = _order(stream), [*names, "__salt"]
+    points = [_AT, *[f"__seq{i}" for i in range(len(table.seq))]]
 
     def handle(key, frames, state: GroupState):
-        at, version = state.get if state.exists else (-(2 ** 62), None)
+        at, version = state.get if state.exists else (None, None)
         batch = _batch(frames, order)
-        is_version = ((batch[_SIDE] == 0) & (batch[_AT] >= at)).to_numpy()
+        is_update = (batch[_SIDE] == 0).to_numpy()
+        is_version = is_update & _after(batch, points, at)
         texts = batch[_TEXT].to_numpy(object)
         seen = _carried(is_version, texts, version)
-        if None in key[:-1]:  # a missing join key matches nothing
+        if any(pd.isna(k) for k in key[:-1]):  # a missing join key matches nothing
             seen = np.full(len(batch), None, object)
         elif is_version.any():
             last = _last_index(is_version)[-1]
-            state.update((int(batch[_AT].iloc[last]), texts[last]))
-        found = pd.DataFrame({_TEXT: texts, "__version": seen})[(batch[_SIDE] == 1).to_numpy()]
-        yield found
+            state.update(([int(p) for p in batch[points].iloc[last]], texts[last]))
+        late = is_update & ~is_version & (key[-1] == 0)
+        found = batch[points].assign(**{_TEXT: texts, "__version": seen, "__late": late})
+        for name, value in zip(names, key):
+            found[name] = value
+        yield found.loc[~is_update | late, out.names]
 
-    joined = _stateful(united, keys, handle, T.StructType().add(_TEXT, "string").add("__version", "string"), "at long, text string")
+    out = _output(united, names, *[f"{p} long" for p in points], f"{_TEXT} string", "__version string", "__late boolean")
+    found = _stateful(united, keys, handle, out, "at array<long>, text string")
+    rejects = (*rejects, _too_late(found.where("__late"), "join_table", table, names, points[1:]))
+    joined = found.where("NOT __late")
     if how == "inner":
         joined = joined.where(F.col("__version").isNotNull())
     record = _parsed(_TEXT, _schema(stream.df, carried))
@@ -166,7 +201,7 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
     rows = rows.select("__record.*", RIGHT).withColumn(LEFT, F.struct(*stream.value))
     columns = Joiner.of(joiner, stream.value, table.value).columns()
     df = rows.select(*stream.key, *[c.alias(n) for n, c in columns.items()], *stream.order)
-    return stream.with_(df=df, value=tuple(columns), rejects=())
+    return stream.with_(df=df, value=tuple(columns), rejects=rejects)
 
 
 def join_changelog(left, right, joiner=None, how: str = "inner"):
@@ -183,27 +218,47 @@ def join_changelog(left, right, joiner=None, how: str = "inner"):
 
     united = log(left, 0).unionByName(log(right, 1))
 
+    numbers = [o for o in order if o != _SIDE]
+
     def handle(key, frames, state: GroupState):
-        was = list(state.get) if state.exists else [None, None]
+        *points, left_was, right_was = state.get if state.exists else (None, None, None, None)
+        was = [left_was, right_was]
         batch = _batch(frames, order)
+        fresh = np.zeros(len(batch), dtype=bool)
+        for side in (0, 1):
+            own = (batch[_SIDE] == side).to_numpy()
+            fresh |= own & _after(batch, numbers, points[side])
+            if (own & fresh).any():
+                points[side] = [int(p) for p in batch[own & fresh][numbers].iloc[-1]]
+        if not fresh.all():
+            late = batch[~fresh].assign(__left=None, __right=None, __exists=None)
+            for name, value in zip(names, key):
+                late[name] = value
+            yield late[out.names]
+        batch = batch[fresh].reset_index(drop=True)
+        if batch.empty:
+            return
         texts = batch[_TEXT].to_numpy(object)
         now, before = [], []
         for side in (0, 1):
             current = _carried((batch[_SIDE] == side).to_numpy(), texts, was[side])
             now.append(current)
             before.append(np.concatenate([[was[side]], current[:-1]]))
-        state.update((now[0][-1], now[1][-1]))
+        state.update((*points, now[0][-1], now[1][-1]))
         there = lambda sides: [pd.notna(s) for s in sides]
         exists = {"inner": lambda s: s[0] & s[1], "left": lambda s: s[0], "full": lambda s: s[0] | s[1]}[how]
         is_now, was_before = exists(there(now)), exists(there(before))
-        found = batch[order].assign(__left=now[0], __right=now[1], __exists=is_now)
+        found = batch[order].assign(**{_TEXT: None}, __left=now[0], __right=now[1], __exists=is_now)
         for name, value in zip(names, key):
             found[name] = value
         yield found.loc[is_now | was_before, out.names]
 
-    numbers = [o for o in order if o != _SIDE]
-    out = _output(united, names, *[f"{o} long" for o in numbers], "__left string", "__right string", "__exists boolean")
-    found = _stateful(united, names, handle, out, "l string, r string")
+    out = _output(united, names, *[f"{o} long" for o in numbers], f"{_SIDE} int", f"{_TEXT} string", "__left string",
+                  "__right string", "__exists boolean")
+    every = _stateful(united, names, handle, out, "l_at array<long>, r_at array<long>, l string, r string")
+    late, found = every.where("__exists IS NULL"), every.where("__exists IS NOT NULL")
+    rejects = (*left.all_rejects(right), *[
+        _too_late(late.where(F.col(_SIDE) == side), "join_changelog", table, names, numbers[1:]) for side, table in ((0, left), (1, right))])
     time = [F.timestamp_micros(_AT).alias(left.ts)] if left.ts else []
     rows = found.select(
         *[F.col(n).alias(k) for n, k in zip(names, left.key)],
@@ -213,7 +268,7 @@ def join_changelog(left, right, joiner=None, how: str = "inner"):
     )
     columns = Joiner.of(joiner, left.value, right.value).columns(emit=F.col("__exists"))
     df = rows.select(*left.key, *[c.alias(n) for n, c in columns.items()], *left.order)
-    return left.with_(df=df, value=tuple(columns), rejects=())
+    return left.with_(df=df, value=tuple(columns), rejects=rejects)
 
 
 # -- folds ---------------------------------------------------------------------------------------
