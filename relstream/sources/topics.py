@@ -84,7 +84,7 @@ def read_json_records(df: DataFrame, key: Iterable[str], raw: str, schema: T.Str
     """
     from relstream.model import RecordStream
     names = T._parse_datatype_string(schema).names if isinstance(schema, str) else schema.names
-    key, seq = tuple(key), tuple(seq)
+    key, seq = ((given,) if isinstance(given, str) else tuple(given) for given in (key, seq))
     order = seq if ts is None else (ts, *seq)
     parsed = df.select(*key, raw, _once(decode_json(F.col(raw), schema)).alias("__p"), *order)
     corrupt = F.col(f"__p.{CORRUPT}").isNotNull()

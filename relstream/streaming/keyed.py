@@ -257,8 +257,8 @@ def join_changelog(left, right, joiner=None, how: str = "inner"):
                   "__right string", "__exists boolean")
     every = _stateful(united, names, handle, out, "l_at array<long>, r_at array<long>, l string, r string")
     late, found = every.where("__exists IS NULL"), every.where("__exists IS NOT NULL")
-    rejects = (*left.all_rejects(right), *[
-        _too_late(late.where(F.col(_SIDE) == side), "join_changelog", table, names, numbers[1:]) for side, table in ((0, left), (1, right))])
+    # One frame for both sides, under the left one's names: a stream takes no two such operators in one query.
+    rejects = (*left.all_rejects(right), _too_late(late, "join_changelog", left, names, numbers[1:]))
     time = [F.timestamp_micros(_AT).alias(left.ts)] if left.ts else []
     rows = found.select(
         *[F.col(n).alias(k) for n, k in zip(names, left.key)],

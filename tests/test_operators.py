@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relstream import (
     Joiner, LookupTable, RecordStream, TopicSpec, UpsertTable, hopping, read_json_records, safe_udf, tumbling, unlimited,
@@ -251,3 +252,84 @@ def test_kafka_records_round_trip(spark):
     back = read_kafka_records(received, "key string", "value int")
     assert shown(back.df, "key", "value") == [("a", 1), ("b", None)]
     assert back.quarantine().count() == 2
+
+
+# -- cases that failed once ----------------------------------------------------------------------
+
+BIG = 2 ** 53 + 1
+
+
+def test_whole_numbers_pass_python_functions_beside_nulls(spark, tmp_path):
+    df = spark.createDataFrame([("a", BIG, 0), ("b", None, 1)], "key string, value long, seq long").coalesce(1)
+    same = safe_udf(lambda x: x, "long")
+    assert shown(df.select(same("value")["value"].alias("v")), "v") == [(BIG,), (None,)]
+    assert df.select(same("value")["value"].alias("v")).schema["v"].dataType.typeName() == "long"
+
+    def refuse(record):
+        raise ValueError(type(record["value"]).__name__)
+
+    RecordStream(df, "key", "value", None, "seq").foreach(refuse, str(tmp_path / "bad"))
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    assert shown(bad, "value", "error") == [('{"value":%d}' % BIG, "ValueError: int"), ("{}", "ValueError: NoneType")]
+
+
+def test_a_result_of_the_wrong_type_is_its_records_failure(spark):
+    df = spark.createDataFrame([(1,), (2,)], "x int").coalesce(1)
+    odd = safe_udf(lambda x: "text" if x == 2 else x, "int")
+    got = df.select(odd("x").alias("r")).select("r.value", F.col("r.error").isNull().alias("ok"))
+    assert shown(got, "value", "ok") == [(1, True), (None, False)]
+
+
+def test_emptied_and_null_groups(spark):
+    df = spark.createDataFrame([("a", "x", None, 0), ("b", "y", "t", 1), ("b", None, None, 2), ("c", None, "z", 3)],
+                               "key string, g string, s string, seq long")
+    table = UpsertTable(df, "key", ("g", "s"), None, "seq")
+    got = table.group_by({"g": F.col("g")}, valid=F.lit(True)).aggregate(top=F.max("s"), n=F.count("s")).df
+    assert shown(got, "g", "top", "n") == [("x", None, 0), ("y", None, 0)]
+
+
+def test_a_step_to_null_deletes_the_group_and_the_next_change_starts_anew(spark):
+    df = spark.createDataFrame([("a", "g", 1, 0), ("a", None, None, 1), ("b", "g", 5, 2)], "key string, g string, v int, seq long")
+
+    def step(state, op, row):
+        total = state["t"] + op * row["v"]
+        return F.when(total != 100, F.struct(total.alias("t")))
+
+    merge = lambda a, b: F.struct((a["t"] + b["t"] - 100).alias("t"))
+    folded = UpsertTable(df, "key", ("g", "v"), None, "seq").group_by({"g": F.col("g")}).fold(
+        F.struct(F.lit(100).alias("t")), step, merge)
+    assert shown(folded.df, "g", "t") == [("g", 105)]
+
+
+@pytest.mark.parametrize("raw", ["", "  ", "\t", "\n \t"])
+def test_blank_payloads_are_malformed(spark, raw):
+    df = spark.createDataFrame([("a", raw, 0), ("b", "\tnull ", 1), ("c", None, 2), ("d", '{"a-b": {"x-y": 1}}', 3)],
+                               "key string, raw string, seq long")
+    flow = read_json_records(df, "key", "raw", T.StructType().add("a-b", T.StructType().add("x-y", T.IntegerType())), None, "seq")
+    assert [r["key"] for r in flow.quarantine().collect()] == ['{"key":"a"}']
+    assert sorted(r["key"] for r in flow.df.collect()) == ["b", "c", "d"]
+
+
+def test_latest_of_values_that_have_no_order(spark):
+    df = spark.createDataFrame([("a", {"x": 1}, 0), ("a", {"x": 2}, 1), ("b", {"y": 1}, 0), ("b", None, 1)],
+                               "key string, m map<string,int>, seq long")
+    latest = UpsertTable(df, "key", "m", None, "seq").latest()
+    assert [(r["key"], r["m"]) for r in latest.collect()] == [("a", {"x": 2})]
+
+
+def test_a_shared_failure_is_quarantined_once_and_to_the_microsecond(spark):
+    at = datetime(2024, 1, 1, 1, 2, 3, 456789)
+    df = spark.createDataFrame([("a", "{", at, 0), ("b", '{"k": 1}', at, 1)], "key string, raw string, ts timestamp, seq long")
+    flow = read_json_records(df, "key", "raw", "k int", "ts", "seq")
+    both = flow.filter(F.col("k") > 0).merge(flow.filter(F.col("k") <= 0))
+    assert both.quarantine().count() == 1
+    bad = RecordStream(df.select("key", F.col("ts").alias("when"), "ts", "seq"), "key", "when").map_values(
+        {"x": F.col("when")}, valid=F.lit(False)).quarantine()
+    assert all("456789" in r["value"] for r in bad.collect())
+
+
+def test_updates_of_both_sides_may_tie(spark):
+    left = UpsertTable(spark.createDataFrame([("k", "l", 0)], "key string, v string, seq long"), "key", "v", None, "seq")
+    right = UpsertTable(spark.createDataFrame([("k", "r", 0)], "key string, w string, seq long"), "key", "w", None, "seq")
+    log = left.join_changelog(right, lambda l, r: {"l": l["v"], "r": r["w"]}, "full").df
+    assert shown(log, "l", "r") == [("l", "r"), ("l", None)]

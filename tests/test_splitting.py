@@ -168,3 +168,55 @@ def test_interval_join_against_brute_force(spark, how):
         met = {r["seq"] for _, r in pairs}
         expected += [(r["key"], None, r["value"], r["ts"], r["seq"]) for r in rs if r["seq"] not in met]
     assert rows(got.df) == sorted(expected, key=repr)
+
+
+KINDS = [("int", "bigint"), ("bigint", "int"), ("decimal(10,0)", "decimal(10,2)"), ("decimal(10,2)", "bigint"),
+         ("date", "timestamp"), ("string", "int"), ("bigint", "double")]
+
+
+def keyed_as(column, kind):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), column.cast("int"))
+    return (day if kind in ("date", "timestamp") else column).cast(kind)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("left,right", KINDS)
+def test_lookups_find_keys_of_another_type_split_or_not(spark, request, left, right, how):
+    records = frame(spark, 11, 300)
+    stream_ = RecordStream(records.withColumn("key", keyed_as(F.col("key"), left)), "key", "value")
+    names = spark.range(20).select(keyed_as(F.col("id"), right).alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+
+    def found():
+        table = LookupTable(names, "k", "name")
+        looked = stream_.join_lookup(table, lambda l, r: {"v": l["value"], "name": r["name"]}, how).df.select("seq", "name")
+        rows_ = UpsertTable(records.select("seq", "key", "ts", F.lit(1).alias("one")), "seq", ("key",), "ts", ())
+        foreign = rows_.join_foreign(UpsertTable(names, "k", "name", None, (), is_snapshot=True),
+                                     {"k": keyed_as(F.col("key"), left)}, lambda l, r: {"name": r["name"]}, how)
+        return rows(looked), rows(foreign.df.select("seq", "name"))
+
+    plain = found()
+    request.getfixturevalue("split_hard")
+    assert found() == plain
+    usable = records.where("value IS NOT NULL" + (" AND key < 20" if how == "inner" else ""))
+    expected = [(r["seq"], f"n{r['key']}" if r["key"] < 20 else None) for r in usable.collect()]
+    assert plain[0] == sorted(expected, key=repr)
+
+
+def test_no_broadcast_is_asked_for_above_a_generator(spark):
+    policy = skew.SplitPolicy()
+    small = written(spark.range(1000), "small")
+    assert skew.fits_broadcast(small.where("id > 3").select("id"), policy)
+    exploded = small.select("id", F.explode(F.sequence(F.lit(0), F.lit(2000))).alias("n"))
+    assert not skew.fits_broadcast(exploded, policy)
+    assert not skew.fits_broadcast(small.join(small.withColumnRenamed("id", "b"), F.col("id") < F.col("b")), policy)
+
+
+def test_pieces_are_of_absolute_size(spark, monkeypatch):
+    spark.conf.set("relstream.split.min_bytes", "0")
+    try:
+        df = written(spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key")), "keys")
+        hot = skew.hot_keys(df, ["key"], skew.SplitPolicy(min_bytes=0, min_rows=100))
+        (only,) = hot.values()
+        assert 20_000 <= only.rows <= 20_010 and only.pieces >= 200
+    finally:
+        spark.conf.unset("relstream.split.min_bytes")

@@ -146,3 +146,45 @@ def test_streams_refuse_what_only_batches_can_do(spark):
         live.group_by_key().reduce(lambda a, b: a)
     with pytest.raises(ValueError, match="late"):
         live.join_stream(live, timedelta(1), timedelta(1))
+
+
+def logged(rows_, spark, key="k"):
+    """A batch stream of (value, minute, seq) for one key."""
+    data = [(key, v, START + timedelta(minutes=m), q) for v, m, q in rows_]
+    return RecordStream(spark.createDataFrame(data, "key string, value string, ts timestamp, seq long"), "key", "value")
+
+
+def test_late_updates_change_nothing_and_are_quarantined(spark):
+    """The whole order counts: an older number at the same time is late as well."""
+    on_time = logged([("l1", 0, 0), ("r1", 1, 1), ("l2", 5, 10)], spark)
+    late = logged([("l-old", 5, 9), ("l-older", 1, 3)], spark).rows()
+    live = replay(on_time, late=late, flush=False)
+    left = UpsertTable.of(live.filter(F.col("value").startswith("l")))
+    right = UpsertTable.of(live.filter(F.col("value").startswith("r")))
+    joined = keyed.join_changelog(left, right, SIDES, "left")
+    batch = UpsertTable.of(on_time.filter(F.col("value").startswith("l"))).join_changelog(
+        UpsertTable.of(on_time.filter(F.col("value").startswith("r"))), SIDES, "left")
+    assert rows(appended(joined.rows(), spark)) == rows(batch.rows())
+    bad = appended(joined.quarantine().where("operator = 'join_changelog'"), spark)
+    assert sorted((r["operator"], r["value"], r["seq"]) for r in bad.collect()) == [
+        ("join_changelog", '{"value":"l-old"}', '{"seq":9}'), ("join_changelog", '{"value":"l-older"}', '{"seq":3}')]
+
+
+def test_late_versions_are_not_seen_by_later_records(spark):
+    on_time = logged([("v-new", 5, 10)], spark)
+    late = logged([("v-old", 5, 9), ("s", 6, 11)], spark).rows()
+    live = replay(on_time, late=late, flush=False)
+    table = UpsertTable.of(live.filter(F.col("value").startswith("v")))
+    joined = keyed.join_table(live.filter(F.col("value") == "s"), table, SIDES, "left", spread=2)
+    assert [(r["l"], r["r"]) for r in appended(joined.df, spark).collect()] == [("s", "v-new")]
+    assert [r["value"] for r in appended(joined.quarantine().where("operator = 'join_table'"), spark).collect()] == ['{"value":"v-old"}']
+
+
+def test_table_counts_and_rekeying_through_the_api(spark):
+    batch = stream(spark, 1)
+    grouped = lambda flow: UpsertTable.of(flow).group_by({"odd": F.col("value") % 2}).totals(total=F.col("value"))
+    got = updated(grouped(replay(batch, flush=False)).df, ["odd"], spark)
+    assert rows(got) == rows(grouped(batch).df)
+    rekeyed = lambda flow: UpsertTable.of(flow).map_keys({"tens": F.floor(F.col("value") / 10)})
+    last = updated(rekeyed(replay(batch, flush=False)).latest_versions(), ["tens"], spark)
+    assert rows(last.where("value IS NOT NULL")) == rows(rekeyed(batch).latest())
