@@ -140,7 +140,41 @@ def tumbling_fold(spark, folder):
     FROM ({HOPPED}) GROUP BY ALL""")
 def hopping_aggregate(spark, folder):
     grouped = events(spark, folder).windowed_by_key(hopping(DAY, SIX_HOURS))
-    return grouped.aggregate(total=F.sum("cents"), n=F.count("*"), low=F.min("cents")).df
+    return grouped.aggregate(total=M.sum_(F.col("cents")), n=M.count(), low=M.min_(F.col("cents"))).df
+
+
+@query("hopping_fold", digest_sql("user_id, window_start, window_end", HOPPED))
+def hopping_fold(spark, folder):
+    """An ordered fold in overlapping windows, from the states of their panes."""
+    return events(spark, folder).windowed_by_key(hopping(DAY, SIX_HOURS)).fold(empty(), extend, append).df.drop("factor")
+
+
+def square(state: dict, value: dict) -> dict:
+    """A step that no merge can undo: the state is squared."""
+    return {"n": state["n"] + 1, "digest": (state["digest"] ** 2 + value["cents"]) % PRIME}
+
+
+def squared_sql(group: str, source: str) -> str:
+    return f"""SELECT {group}, count(*) AS n, list_reduce(list_prepend(CAST(0 AS BIGINT), list(cents ORDER BY ts, event_id)),
+               lambda a, x: (a * a + x) % {PRIME}) AS digest FROM ({source}) GROUP BY ALL"""
+
+
+ZERO = {"n": 0, "digest": 0}
+
+
+@query("aggregate_any", squared_sql("user_id", EVENTS))
+def aggregate_any(spark, folder):
+    return events(spark, folder).group_by_key().fold_any(lambda: ZERO, square, "n long, digest long").df
+
+
+@query("hopping_any", squared_sql("user_id, window_start, window_end", HOPPED))
+def hopping_any(spark, folder):
+    return events(spark, folder).windowed_by_key(hopping(DAY, SIX_HOURS)).fold_any(lambda: ZERO, square, "n long, digest long").df
+
+
+@query("tumbling_any", squared_sql(f"user_id, {TUMBLING}", EVENTS))
+def tumbling_any(spark, folder):
+    return events(spark, folder).windowed_by_key(tumbling(DAY)).fold_any(lambda: ZERO, square, "n long, digest long").df
 
 
 # -- sessions ------------------------------------------------------------------------------------

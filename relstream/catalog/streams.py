@@ -86,7 +86,7 @@ def stream_tumbling_count(spark, folder):
 @twin("stream_hopping_aggregate", "hopping_aggregate")
 def stream_hopping_aggregate(spark, folder):
     grouped = replay(events(spark, folder)).windowed_by_key(hopping(DAY, SIX_HOURS, LATE))
-    found = grouped.aggregate(total=F.sum("cents"), n=F.count("*"), low=F.min("cents"))
+    found = grouped.aggregate(total=M.sum_(F.col("cents")), n=M.count(), low=M.min_(F.col("cents")))
     return local_time(appended(found.df, spark))
 
 
@@ -234,3 +234,29 @@ def stream_table_fold(spark, folder):
 
     folded = keyed.fold(replay(log, flush=False), lambda: {"n": 0, "total": 0}, step, "n long, total long")
     return updated(folded, ["kind"], spark).where("live").drop("live")
+
+
+@twin("stream_tumbling_fold", "tumbling_any")
+def stream_tumbling_fold(spark, folder):
+    """Any step inside day windows, with state that goes once a window is out."""
+    stream = replay(events(spark, folder))
+    found = keyed.window_fold(stream, tumbling(DAY, LATE), lambda: aggregates.ZERO, aggregates.square, "n long, digest long")
+    return local_time(appended(found, spark))
+
+
+@query("stream_session_fold", aggregates.session_sql("user_id", """
+    count(*) AS n, list_reduce(list_prepend(CAST(0 AS BIGINT), list(cents ORDER BY ts, event_id)),
+    lambda a, x: (a * 31 + x) % 1000003) AS digest"""))
+def stream_session_fold(spark, folder):
+    """A step and a merger inside sessions."""
+    prime = aggregates.PRIME
+
+    def step(state, value):
+        return {"n": state["n"] + 1, "digest": (state["digest"] * 31 + value["cents"]) % prime}
+
+    def merge(a, b):
+        return {"n": a["n"] + b["n"], "digest": (a["digest"] * pow(31, b["n"], prime) + b["digest"]) % prime}
+
+    found = keyed.session_fold(replay(events(spark, folder)), sessions(SIX_HOURS, LATE), lambda: aggregates.ZERO, step, merge,
+                               "n long, digest long")
+    return local_time(appended(found, spark))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relstream.functions.mergeable import Mergeable, count
 from relstream.functions.predicates import all_of
@@ -15,7 +16,8 @@ from relstream.functions.times import complete, interval_text
 from relstream.operators.sessions import END, START, aggregate_sessions, fold_sessions
 from relstream.operators.tables import OP
 from relstream.operators.windows import WINDOW, SessionWindows, TimeWindows, UnlimitedWindows
-from relstream.plans.ordered import ordered_fold
+from relstream.plans.ordered import merge_runs, ordered_fold
+from relstream.plans.sequential import sequential_fold
 
 
 def _keep_old(step: Callable) -> Callable:
@@ -74,15 +76,21 @@ class GroupedRecords(_Grouped):
     """
 
     def count(self, name: str = "count"):
-        return self.aggregate(**{name: F.count(F.lit(1))})
+        return self.aggregate(**{name: count()})
 
     def aggregate(self, **aggs: Column | Mergeable):
-        """Built-in aggregates, combined on the map side before the shuffle."""
+        """Built-in aggregates, combined on the map side before the shuffle.
+
+        Overlapping windows of a batch are put together from panes if all aggregates are `Mergeable`:
+        records are aggregated once per pane, and only the panes are repeated per window.
+        """
         columns = [_as_column(a).alias(n) for n, a in aggs.items()]
         rows = self._rows()
         keys = list(self.stream.key)
         if self.windows is None:
             return self._table(rows.groupBy(*keys).agg(*columns), ())
+        if self._in_panes and all(isinstance(a, Mergeable) for a in aggs.values()):
+            return self._flat(_from_panes(self.windows, rows, keys, self.stream.ts, aggs))
         windowed = self.windows.assign(rows, self.stream.ts)
         return self._flat(windowed.groupBy(*keys, WINDOW).agg(*columns))
 
@@ -109,12 +117,38 @@ class GroupedRecords(_Grouped):
         if rows.isStreaming:
             raise ValueError("an ordered fold over a stream is streaming.keyed.fold")
         group = list(self.stream.key)
+        windows = self.windows.panes() if self._in_panes else self.windows
+        if windows is not None:
+            rows = windows.assign(rows, self.stream.ts)
+            group.append(WINDOW)
+        folded = ordered_fold(rows, group, self.stream.order, F.struct(*self.stream.value), "__state", start, step, merge)
+        if self._in_panes:
+            # A window's state is that of its panes, merged in their order.
+            panes = self.windows.over(folded.withColumnRenamed(WINDOW, "__pane"), "__pane")
+            folded = merge_runs(panes, group, "__pane", "__state", merge)
+        folded = folded.select(*group, "__state.*")
+        return self._table(folded, ()) if self.windows is None else self._flat(folded)
+
+    @property
+    def _in_panes(self) -> bool:
+        return isinstance(self.windows, TimeWindows) and self.windows.overlap and not self.stream.df.isStreaming
+
+    def fold_any(self, init: Callable[[], dict], step: Callable[[dict, dict], dict | None],
+                 state_schema: T.StructType | str):
+        """Ordered fold with a Python `step(state, value)` that no `merge` can split (batch).
+
+        The records are sorted within their partition and one state is carried along, so no group is
+        held; a key's records are one task's work, as such a step allows no other way. A step that
+        raises leaves the state alone, and None deletes the group, which starts from `init()` again.
+        """
+        rows = self._rows()
+        if rows.isStreaming:
+            raise ValueError("on a stream this is streaming.keyed.fold")
+        group = list(self.stream.key)
         if self.windows is not None:
             rows = self.windows.assign(rows, self.stream.ts)
             group.append(WINDOW)
-        folded = ordered_fold(
-            rows, group, self.stream.order, F.struct(*self.stream.value), "__state", start, step, merge
-        ).select(*group, "__state.*")
+        folded = sequential_fold(rows, group, self.stream.order, self.stream.value, init, step, state_schema)
         return self._table(folded, ()) if self.windows is None else self._flat(folded)
 
     def _flat(self, df: DataFrame):
@@ -156,6 +190,17 @@ class GroupedSessions(_Grouped):
         return self._table(folded.select(*self.stream.key, START, END, "__state.*"), (START, END))
 
 
+def _from_panes(windows: TimeWindows, rows: DataFrame, keys: list[str], ts: str, aggs: dict[str, Mergeable]) -> DataFrame:
+    name = lambda n, part: f"__{n}_{part}"
+    panes = windows.panes().assign(rows, ts).groupBy(*keys, WINDOW).agg(
+        *[column.alias(name(n, part)) for n, agg in aggs.items() for part, column in agg.partial.items()])
+    spread = windows.over(panes.withColumnRenamed(WINDOW, "__pane"), "__pane")
+    merged = spread.groupBy(*keys, WINDOW).agg(*[
+        column.alias(name(n, part)) for n, agg in aggs.items()
+        for part, column in agg.merge(lambda p, n=n: F.col(name(n, p))).items()])
+    return merged.select(*keys, WINDOW, *[agg.finish(lambda p, n=n: F.col(name(n, p))).alias(n) for n, agg in aggs.items()])
+
+
 def _as_column(agg: Column | Mergeable) -> Column:
     """A Mergeable as one plain aggregate column: its finish over its partial aggregates."""
     if isinstance(agg, Mergeable):

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from relstream.functions.times import interval_text
+from relstream.functions.times import interval_text, length_micros
 
 WINDOW = "window"
 
@@ -24,6 +25,19 @@ class TimeWindows:
     slide: timedelta | None = None
     retention: timedelta | None = None
 
+    @property
+    def overlap(self) -> bool:
+        return self.slide is not None and self.slide < self.size
+
+    def panes(self) -> TimeWindows:
+        """The longest windows that do not overlap and of which each of these is made up."""
+        pane = math.gcd(length_micros(self.size), length_micros(self.slide or self.size))
+        return TimeWindows(timedelta(microseconds=pane))
+
+    def over(self, panes: DataFrame, pane: str) -> DataFrame:
+        """Adds the window column to rows of panes; a pane is in every window that its start is in."""
+        return TimeWindows(self.size, self.slide).assign(panes.withColumn("__at", F.col(f"{pane}.start")), "__at").drop("__at")
+
     def assign(self, df: DataFrame, ts: str) -> DataFrame:
         """Adds the window column; a record in several windows becomes several rows."""
         slide = interval_text(self.slide) if self.slide else None

@@ -115,7 +115,7 @@ def ordered_fold(df: DataFrame, group: Sequence[str], order: Sequence[str], row:
     if chunks is None:
         return fold_groups(rows, group, order, F.col("__row"), state, start, step, merge)
     parts = fold_groups(chunks.assign(rows), [*group, CHUNK], order, F.col("__row"), "__state", start, step, merge)
-    return _merge_runs(parts, group, CHUNK, state, merge)
+    return merge_runs(parts, group, CHUNK, state, merge)
 
 
 def fold_groups(df: DataFrame, group: Sequence[str], order: Sequence[str], row: Column, state: str,
@@ -136,11 +136,11 @@ def fold_groups(df: DataFrame, group: Sequence[str], order: Sequence[str], row:
         .select(*group, "__block", _fold("__rows", start, step).alias("__state"))
     )
     wider = blocks.withColumn("__outer", F.floor(F.col("__block") / BLOCK_ROWS))
-    return _merge_runs(_merge_runs(wider, [*group, "__outer"], "__block", "__state", merge),
+    return merge_runs(merge_runs(wider, [*group, "__outer"], "__block", "__state", merge),
                        group, "__outer", state, merge)
 
 
-def _merge_runs(runs: DataFrame, group: list[str], position: str, state: str, merge: Callable) -> DataFrame:
+def merge_runs(runs: DataFrame, group: list[str], position: str, state: str, merge: Callable) -> DataFrame:
     """Merges the `__state` of each group's runs in the order of `position`."""
     collected = runs.groupBy(*group).agg(
         F.array_sort(F.collect_list(F.struct(position, "__state"))).alias("__sorted")

@@ -23,9 +23,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from relstream.functions.predicates import all_of, all_present
+from relstream.functions.times import complete, length_micros
 from relstream.operators.joiners import LEFT, RIGHT, Joiner
 from relstream.operators.joins import _check
+from relstream.operators.sessions import END, START
 from relstream.operators.tables import OP
+from relstream.operators.windows import WINDOW
 from relstream.sources.topics import JSON_TIMES, encode_json
 
 _TEXT = "__text"
@@ -152,15 +155,15 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
     if len(sources) != len(names):
         raise ValueError(f"join key has {len(sources)} columns, the table's key has {len(names)}")
     carried = [*stream.key, *stream.value, *stream.order]
-    complete = stream.rows().where(stream.has_key & stream.has_value)
+    usable = stream.rows().where(stream.has_key & stream.has_value)
     salt = F.pmod(F.xxhash64(*stream.seq), F.lit(spread)).cast("int")
-    records = complete.select(
+    records = usable.select(
         *[c.alias(n) for n, c in zip(names, sources)], salt.alias("__salt"), F.lit(1).alias(_SIDE), *_numbers(stream),
         F.to_json(F.struct(*carried), JSON_TIMES).alias(_TEXT),
     )
     rejects = stream.all_rejects(table)
     if how == "inner":
-        failed = complete.where(~all_of(c.isNotNull() for c in sources))
+        failed = usable.where(~all_of(c.isNotNull() for c in sources))
         rejects = (*rejects, stream.reject("join_table", failed, "no join key")) if on else rejects
         records = records.where(all_present(names))
     versions = table.rows().select(
@@ -301,3 +304,112 @@ def fold(stream, init: Callable[[], object], step: Callable[[object, dict], obje
     out = _output(rows, keys, "live boolean", f"{_TEXT} string")
     folded = _stateful(rows, keys, handle, out, "text string", "update")
     return folded.select(*keys, "live", _parsed(_TEXT, schema).alias("__s")).select(*keys, "live", "__s.*")
+
+
+def window_fold(stream, windows, init: Callable[[], object], step: Callable[[object, dict], object],
+                state_schema: T.StructType | str) -> DataFrame:
+    """`fold` inside each key and time window; a window's row is final and appears once the watermark has passed its end.
+
+    `windows` needs a retention, the watermark delay. State is kept per key and window and dropped with the row. Records
+    of a window that is already out are ignored, as Spark's own windows do.
+    """
+    keys, order = [*stream.key, "window_start", "window_end"], [_AT, *[f"__seq{i}" for i in range(len(stream.seq))]]
+    rows = windows.assign(complete(stream, _delay(windows)), stream.ts)
+    rows = rows.select(*stream.key, F.col(f"{WINDOW}.start").alias("window_start"), F.col(f"{WINDOW}.end").alias("window_end"),
+                       *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT), F.col(stream.ts).alias("__time"))
+    schema = T._parse_datatype_string(state_schema) if isinstance(state_schema, str) else state_schema
+
+    def handle(key, frames, state: GroupState):
+        end = int(pd.Timestamp(key[-1]).timestamp() * 1000)
+        if state.hasTimedOut:
+            (packed,) = state.get
+            state.remove()
+            if packed is not None:
+                yield pd.DataFrame({**{n: [v] for n, v in zip(keys, key)}, _TEXT: [packed]})
+            return
+        if end <= state.getCurrentWatermarkMs():
+            return
+        current = json.loads(state.get[0]) if state.exists and state.get[0] is not None else None
+        for text in _batch(frames, order)[_TEXT]:
+            current = _stepped(current, init, step, json.loads(text))
+        state.update((None if current is None else json.dumps(current),))
+        state.setTimeoutTimestamp(end)
+
+    out = _output(rows, keys, f"{_TEXT} string")
+    folded = rows.groupBy(*keys).applyInPandasWithState(handle, out, "text string", "append", GroupStateTimeout.EventTimeTimeout)
+    return folded.select(*keys, _parsed(_TEXT, schema).alias("__s")).select(*keys, "__s.*")
+
+
+def session_fold(stream, windows, init: Callable[[], object], step: Callable[[object, dict], object],
+                 merge: Callable[[object, object], object], state_schema: T.StructType | str) -> DataFrame:
+    """`fold` inside each key's sessions; a session's row is final and appears once the watermark is a gap past its end.
+
+    Records of a micro-batch are taken in order and extend the session that they follow; one that connects two sessions
+    `merge`s the earlier's state with the later's. `windows` needs a retention. A key's open sessions are its state.
+    """
+    keys, order = list(stream.key), [_AT, *[f"__seq{i}" for i in range(len(stream.seq))]]
+    rows = complete(stream, _delay(windows)).select(
+        *keys, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT), F.col(stream.ts).alias("__time"))
+    schema = T._parse_datatype_string(state_schema) if isinstance(state_schema, str) else state_schema
+    gap = length_micros(windows.gap)
+
+    def handle(key, frames, state: GroupState):
+        watermark = state.getCurrentWatermarkMs() * 1000
+        found = json.loads(state.get[0]) if state.exists else []
+        if not state.hasTimedOut:
+            batch = _batch(frames, order)
+            for at, text in zip(batch[_AT].tolist(), batch[_TEXT]):
+                if at + gap > watermark:
+                    found = _with_record(found, at, json.loads(text), gap, init, step, merge)
+        closed = [s for s in found if s[1] + gap < watermark]
+        waiting = [s for s in found if s[1] + gap >= watermark]
+        if waiting:
+            state.update((json.dumps(waiting),))
+            state.setTimeoutTimestamp(max((min(s[1] for s in waiting) + gap) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        closed = [s for s in closed if s[2] is not None]
+        if closed:
+            yield pd.DataFrame({**{n: [v] * len(closed) for n, v in zip(keys, key)}, "__from": [s[0] for s in closed],
+                                "__to": [s[1] for s in closed], _TEXT: [json.dumps(s[2]) for s in closed]})
+
+    out = _output(rows, keys, "__from long", "__to long", f"{_TEXT} string")
+    folded = rows.groupBy(*keys).applyInPandasWithState(handle, out, "text string", "append", GroupStateTimeout.EventTimeTimeout)
+    bounds = [F.timestamp_micros("__from").alias(START), F.timestamp_micros("__to").alias(END)]
+    return folded.select(*keys, *bounds, _parsed(_TEXT, schema).alias("__s")).select(*keys, START, END, "__s.*")
+
+
+def _delay(windows):
+    if windows.retention is None:
+        raise ValueError("windows on a stream need a retention, the watermark delay")
+    return windows.retention
+
+
+def _stepped(current, init: Callable, step: Callable, value: dict):
+    try:
+        return step(init() if current is None else current, value)
+    except Exception:  # a failing step leaves the state alone
+        return current
+
+
+def _with_record(found: list, at: int, value: dict, gap: int, init: Callable, step: Callable, merge: Callable) -> list:
+    """The sessions, [first, last, state] in order of time, with one more record."""
+    before = [s for s in found if s[1] < at - gap]
+    after = [s for s in found if s[0] > at + gap]
+    near = [s for s in found if s[1] >= at - gap and s[0] <= at + gap]
+    earlier = [s for s in near if s[0] <= at]
+    if earlier:
+        first, last, state = earlier[0]
+        joined = [first, max(last, at), _stepped(state, init, step, value)]
+    else:
+        joined = [at, at, _stepped(None, init, step, value)]
+    for first, last, state in near[len(earlier[:1]):]:
+        if state is None or joined[2] is None:
+            both = state if joined[2] is None else joined[2]
+        else:
+            try:
+                both = merge(joined[2], state)
+            except Exception:  # a failing merge keeps the earlier state
+                both = joined[2]
+        joined = [min(joined[0], first), max(joined[1], last), both]
+    return [*before, joined, *after]
