@@ -47,6 +47,29 @@ def stream_filter_to_topic(spark, folder):
     return local_time(topic.read(spark)).select("user_id", "event_type", "cents", "ts", "event_id")
 
 
+@query("stream_through", f"SELECT * FROM ({EVENTS}) WHERE cents > 2000 AND event_type <> 'view'")
+def stream_through(spark, folder):
+    """One query writes to a topic, a second one goes on from there."""
+    flow = replay(events(spark, folder), flush=False).filter(F.col("cents") > 2000)
+    topic = TopicSpec(scratch_path(spark, "topic"), flow.rows().schema)
+    spark.createDataFrame([], topic.schema).write.parquet(topic.location)  # the reader needs the folder
+    onward, writing = flow.through(topic)
+    writing.processAllAvailable()
+    writing.stop()
+    return local_time(appended(onward.filter(F.col("event_type") != "view").rows(), spark))
+
+
+@twin("stream_table_snapshot", "table_latest")
+def stream_table_snapshot(spark, folder):
+    """The state of a running table, kept up to date by its query."""
+    table = users(spark, folder)
+    topic = TopicSpec(scratch_path(spark, "state"), table.rows().schema)
+    keeping = table.save_snapshot(topic)
+    keeping.processAllAvailable()
+    keeping.stop()
+    return local_time(table.read_state(topic, spark).rows())
+
+
 @twin("stream_decode", "source_decode")
 def stream_decode(spark, folder):
     raw = RecordStream(stateless.raw_events(spark, folder), "user_id", "raw", "ts", "event_id")

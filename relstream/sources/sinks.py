@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relstream.plans.scratch import scratch_path
-from relstream.sources.topics import JSON_TIMES, TopicSpec, encode_json
+from relstream.sources.topics import JSON_TIMES, TopicSpec, encode_json, read_kafka_records
 
 
 def _write(df: DataFrame, topic: TopicSpec, mode: str) -> None:
@@ -23,7 +24,21 @@ def encoded(records, topic: TopicSpec) -> DataFrame:
     """Rows as the topic's format wants them; a connector for bytes gets JSON key and value."""
     if topic.format != "kafka":
         return records.rows()
-    return records.rows().select(F.to_json(F.struct(*records.key), JSON_TIMES).alias("key"), encode_json(records.value).alias("value"))
+    partition = [topic.partition.cast("int").alias("partition")] if topic.partition is not None else []
+    return records.rows().select(
+        F.to_json(F.struct(*records.key), JSON_TIMES).alias("key"), encode_json(records.value).alias("value"), *partition)
+
+
+def reread(records, topic: TopicSpec):
+    """The records as the topic has them, as a stream if `records` is one."""
+    reader = records.spark.readStream if records.df.isStreaming else records.spark.read
+    if topic.format != "kafka":
+        schema = records.rows().schema
+        return records.with_(df=reader.format(topic.format).options(**topic.options).schema(schema).load(topic.location))
+    schema = records.rows().schema
+    kinds = [T.StructType([schema[c] for c in names]) for names in (records.key, records.value)]
+    found = read_kafka_records(reader.format("kafka").options(**topic.options).option("subscribe", topic.location).load(), *kinds)
+    return found.with_(rejects=(*records.rejects, *found.rejects))
 
 
 class StreamSinkOps:
@@ -42,16 +57,15 @@ class StreamSinkOps:
             writer = writer.partitionBy(*topic.partition_by)
         return writer.start(topic.location)
 
-    def through(self, topic: TopicSpec, mode: str = "append"):
-        """Writes to a topic and continues from what was written (batch).
+    def through(self, topic: TopicSpec, mode: str = "append", checkpoint: str | None = None):
+        """Writes to a topic and continues from what was written.
 
-        On a stream use `to`, and read the topic in a second query.
+        On a stream the writing query is started and the result reads the topic as a stream of its own, for a second
+        query: `(records, writing)`. What passes through Kafka has its time and offset as order columns.
         """
-        if self.df.isStreaming:
-            raise ValueError("write the stream with to() and read the topic in a second query")
-        self.to(topic, mode=mode)
-        schema = self.rows().schema
-        return self.with_(df=self.spark.read.format(topic.format).options(**topic.options).schema(schema).load(topic.location))
+        writing = self.to(topic, checkpoint, mode)
+        found = reread(self, topic)
+        return (found, writing) if self.df.isStreaming else found
 
 
 class TableSinkOps:
@@ -60,6 +74,32 @@ class TableSinkOps:
         """Writes the log, deletes included."""
         return self.to_stream().to(topic, checkpoint, mode)
 
-    def save_snapshot(self, topic: TopicSpec) -> None:
-        """Replaces the topic's content with the live rows."""
-        _write(self.latest(), topic, "overwrite")
+    def save_snapshot(self, topic: TopicSpec, checkpoint: str | None = None):
+        """Replaces the topic's content with the live rows.
+
+        On a stream, returns the started query that keeps the state of the running table below `topic.location` (files
+        only): every micro-batch adds the last versions of the keys that it changed, under its number, so a repeated one
+        replaces itself. `read_state` gives the live rows.
+        """
+        if not self.df.isStreaming:
+            current = self.with_(df=self.latest())
+            return _write(encoded(current, topic), topic, "overwrite")
+        if topic.format == "kafka":
+            raise ValueError("the state of a running table is kept in files")
+
+        def keep(batch: DataFrame, epoch: int) -> None:
+            batch.write.format(topic.format).options(**topic.options).mode("overwrite").save(f"{topic.location}/epoch={epoch}")
+
+        return (
+            self.latest_versions().writeStream.foreachBatch(keep).outputMode("update")
+            .option("checkpointLocation", checkpoint or scratch_path(self.spark, "checkpoint")).start()
+        )
+
+    def read_state(self, topic: TopicSpec, spark=None):
+        """The live rows that `save_snapshot` of this running table has kept so far, as a batch table."""
+        columns = self.rows().columns
+        schema = T.StructType([*self.rows().schema.fields, T.StructField("epoch", T.LongType())])
+        rows = (spark or self.spark).read.format(topic.format).options(**topic.options).schema(schema).load(topic.location)
+        rest = [c for c in columns if c not in self.key]
+        last = rows.groupBy(*self.key).agg(F.max_by(F.struct(*rest), "epoch").alias("__last")).select(*self.key, "__last.*")
+        return self.with_(df=last.where(self.has_value), is_snapshot=True, rejects=())

@@ -23,7 +23,8 @@ class TopicSpec:
     """Where a topic is and what its records look like.
 
     `location` is a folder for file formats and the topic name for `format="kafka"`, whose connector
-    has to be on the class path. `options` go to the reader and the writer.
+    has to be on the class path. `options` go to the reader and the writer. `partition_by` names columns
+    that part files into folders; `partition` computes the Kafka partition of a record from its columns.
     """
 
     location: str
@@ -31,6 +32,7 @@ class TopicSpec:
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    partition: Column | None = field(default=None, compare=False)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._reader(spark.read)

@@ -333,3 +333,36 @@ def test_updates_of_both_sides_may_tie(spark):
     right = UpsertTable(spark.createDataFrame([("k", "r", 0)], "key string, w string, seq long"), "key", "w", None, "seq")
     log = left.join_changelog(right, lambda l, r: {"l": l["v"], "r": r["w"]}, "full").df
     assert shown(log, "l", "r") == [("l", "r"), ("l", None)]
+
+
+def test_records_for_kafka_may_name_their_partition(spark):
+    stream = numbers(spark, [("a", 1, 0), ("b", None, 1)])
+    topic = TopicSpec("t", stream.rows().schema, "kafka", partition=F.length("key") % 4)
+    assert shown(encoded(stream, topic), "key", "value", "partition") == [('{"key":"a"}', '{"value":1}', 1), ('{"key":"b"}', None, 1)]
+    back = read_kafka_records(encoded(stream, topic).select("key", "value", F.lit(START).cast("timestamp").alias("timestamp"), F.lit(1).alias("offset")),
+                              "key string", "value int")
+    assert shown(back.df, "key", "value") == [("a", 1), ("b", None)]
+
+
+def test_overlapping_windows_of_many_panes(spark):
+    """A day sliding by a minute: records are aggregated per minute, not repeated 1,440 times."""
+    from relstream.functions import mergeable as M
+    stream = numbers(spark, [("k", 1, 0), ("k", 2, 0), ("k", 4, 700)])
+    got = stream.windowed_by_key(hopping(timedelta(days=1), timedelta(minutes=1))).aggregate(n=M.count(), s=M.sum_(value))
+    counts = {(r["n"], r["s"]): r["count"] for r in got.df.groupBy("n", "s").count().collect()}
+    assert counts == {(2, 3): 700, (3, 7): 740, (1, 4): 700}
+    odd = stream.windowed_by_key(hopping(timedelta(minutes=10), timedelta(minutes=4)))
+    plain = odd.aggregate(n=F.count("value"), s=F.sum("value")).df
+    assert shown(odd.aggregate(n=M.count(), s=M.sum_(value)).df, *plain.columns) == shown(plain, *plain.columns)
+
+
+def test_folds_with_any_step(spark):
+    stream = numbers(spark, [("a", 3, 0), ("a", 5, 1), ("a", 0, 2), ("a", 2, 3), ("b", 7, 0), ("c", -1, 0), (None, 1, 0)])
+
+    def step(state, record):
+        if record["value"] == 0:
+            raise ValueError("left alone")
+        return {"t": state["t"] ** 2 + record["value"]} if record["value"] > 0 else None
+
+    got = stream.group_by_key().fold_any(lambda: {"t": 1}, step, "t long")
+    assert shown(got.df, "key", "t") == [("a", (16 + 5) ** 2 + 2), ("b", 8)]
