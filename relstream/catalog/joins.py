@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from relstream import LookupTable, UpsertTable
+from relstream import Joiner, LookupTable, UpsertTable
 from relstream.catalog.registry import EVENTS, events, query, read
 
 HALF_HOUR = timedelta(minutes=30)
@@ -134,3 +134,24 @@ def join_key_error(spark, folder):
         F.get_json_object("seq", "$.event_id").cast("long").alias("event_id"),
     )
     return parts[0].unionByName(parts[1]).unionByName(bad)
+
+
+@query("join_error_quarantine", f"""
+    SELECT 'join_lookup' AS operator, 'join function failed' AS error, '{{"user_id":' || user_id || '}}' AS key, event_id
+    FROM ({EVENTS}) JOIN customer ON user_id = c_custkey WHERE cents = 0 OR cents % 7 = 0""")
+def join_error_quarantine(spark, folder):
+    """A join function that refuses some pairs."""
+    customers = LookupTable(read(spark, folder, "customer").select("c_custkey", "c_name"), "c_custkey", "c_name")
+    joiner = Joiner(lambda l, r: {"name": r["c_name"]}, valid=lambda l, r: l["cents"] % 7 != 0)
+    bad = events(spark, folder).join_lookup(customers, joiner).quarantine()
+    return bad.select("operator", "error", "key", F.get_json_object("seq", "$.event_id").cast("long").alias("event_id"))
+
+
+@query("branch_error_quarantine", f"""
+    SELECT 'branch' AS operator, event_id FROM ({EVENTS}) WHERE cents % 5 <> 0 AND event_type = 'error'""")
+def branch_error_quarantine(spark, folder):
+    """The second condition cannot be evaluated for errors; records of the first branch never reach it."""
+    known = F.when(F.col("event_type") != "error", F.col("cents") > 100)
+    branches = events(spark, folder).branch(F.col("cents") % 5 == 0, known)
+    bad = branches[0].merge(branches[1]).quarantine()
+    return bad.select("operator", F.get_json_object("seq", "$.event_id").cast("long").alias("event_id"))

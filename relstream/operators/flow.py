@@ -44,15 +44,20 @@ class FlowOps:
         """One stream per condition; a record goes to the first that is true, or nowhere.
 
         A condition may come with its required columns, `(condition, requires)`; a failed one counts
-        as false and the next is tried.
+        as false, the next is tried, and the record is in the quarantine of every branch.
         """
-        tag = F.lit(None).cast("int")
-        for number, given in reversed(list(enumerate(conditions))):
-            condition, requires = given if isinstance(given, tuple) else (given, ())
-            tag = F.when(strict(condition, requires), number).otherwise(tag)
+        given = [c if isinstance(c, tuple) else (c, ()) for c in conditions]
+        met = [strict(condition, requires) for condition, requires in given]
+        tag, failed, tried = F.lit(None).cast("int"), F.lit(False), F.lit(True)
+        for number, condition in reversed(list(enumerate(met))):
+            tag = F.when(condition, number).otherwise(tag)
+        for condition in met:
+            failed = failed | (tried & condition.isNull())
+            tried = tried & ~F.coalesce(condition, F.lit(False))
         tagged = self.rows().withColumn(_TAG, tag)
+        rejects = (*self.rejects, self.reject("branch", self.rows().where(failed), "branch failed"))
         return [
-            self.with_(df=tagged.where(F.col(_TAG) == number).drop(_TAG))
+            self.with_(df=tagged.where(F.col(_TAG) == number).drop(_TAG), rejects=rejects)
             for number in range(len(conditions))
         ]
 

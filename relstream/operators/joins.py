@@ -38,10 +38,11 @@ class StreamJoinOps:
             raise ValueError(f"join key has {len(sources)} columns, the table's key has {len(right_key)}")
         return {f"__jk{i}": c for i, c in enumerate(sources)}
 
-    def _joined(self, df: DataFrame, columns: dict[str, Column], rejects):
+    def _joined(self, operator: str, df: DataFrame, joiner: Joiner, rejects):
+        columns = joiner.columns()
         return self.with_(
             df=df.select(*self.key, *[c.alias(n) for n, c in columns.items()], *self.order),
-            value=tuple(columns), rejects=rejects,
+            value=tuple(columns), rejects=(*rejects, *joiner.rejects(self, operator, df)),
         )
 
     # -- stream with lookup table ----------------------------------------------------------------
@@ -62,7 +63,7 @@ class StreamJoinOps:
             *[F.col(k).alias(r) for k, r in zip(table.key, right_keys)], F.struct(*table.value).alias(RIGHT)
         )
         joined = lookup_join(left, right, list(keys), right_keys, how, spread_by=self.order)
-        return self._joined(joined, Joiner.of(joiner, self.value, table.value).columns(), rejects)
+        return self._joined("join_lookup", joined, Joiner.of(joiner, self.value, table.value), rejects)
 
     # -- stream with table, as of the record -----------------------------------------------------
 
@@ -122,7 +123,7 @@ class StreamJoinOps:
         elif keyless is not None:
             seen = seen.unionByName(keyless, allowMissingColumns=True)
         joined = seen.select(*[c for c in seen.columns if c != "__record"], "__record.*")
-        return self._joined(joined, Joiner.of(joiner, self.value, table.value).columns(), rejects)
+        return self._joined("join_table", joined, Joiner.of(joiner, self.value, table.value), rejects)
 
     # -- stream with stream, within a time distance ----------------------------------------------
 
@@ -147,12 +148,9 @@ class StreamJoinOps:
             F.coalesce("__lt", "__rt").alias(self.ts),
             *[F.coalesce(f"__ls{i}", f"__rs{i}").alias(s) for i, s in enumerate(self.seq)],
         ]
-        columns = Joiner.of(joiner, self.value, other.value).columns()
-        df = joined.select(
-            *[F.col(n).alias(k) for n, k in zip(names, self.key)],
-            *[c.alias(n) for n, c in columns.items()], *order,
-        )
-        return self.with_(df=df, value=tuple(columns), rejects=self.all_rejects(other))
+        pairs = joined.select(*[F.col(n).alias(k) for n, k in zip(names, self.key)], LEFT, RIGHT, *order)
+        found = self._joined("join_stream", pairs, Joiner.of(joiner, self.value, other.value), ())
+        return found.with_(rejects=(*self.all_rejects(other), *found.rejects))
 
 
 def _side(stream, names: list[str], ts: str, seq: str, value: str, late: timedelta | None) -> DataFrame:

@@ -88,12 +88,14 @@ class StreamMapOps:
         df = tested.select(*[c.alias(n) for n, c in new.items()], *kept, *self.order)
         return self.with_(df=df, key=keys, value=values, rejects=rejects)
 
-    def flat_map(self, records: Column, key: Iterable[str], value: Iterable[str]):
+    def flat_map(self, records: Column, key: Iterable[str], value: Iterable[str], fallback: Column | None = None):
         """Each record becomes the structs of the array `records`; an empty one yields none.
 
-        A null array counts as failed: no records, and the input goes to `quarantine()`.
+        A null array counts as failed: no records, and the input goes to `quarantine()`, unless
+        `fallback` gives an array to use instead.
         """
         key, value = tuple(key), tuple(value)
+        records = records if fallback is None else F.coalesce(records, fallback)
         rows, rejects = self._expandable("flat_map", records)
         df = (
             rows.select(F.explode(records).alias("__r"), *self.order)
@@ -101,8 +103,9 @@ class StreamMapOps:
         )
         return self.with_(df=df, key=key, value=value, rejects=rejects)
 
-    def flat_map_values(self, name: str, values: Column):
-        """Each record becomes one record per element of `values`, under the same key."""
+    def flat_map_values(self, name: str, values: Column, fallback: Column | None = None):
+        """Each record becomes one record per element of `values`, under the same key; `fallback` as for `flat_map`."""
+        values = values if fallback is None else F.coalesce(values, fallback)
         rows, rejects = self._expandable("flat_map_values", values)
         df = rows.select(*self.key, F.explode(values).alias(name), *self.order)
         return self.with_(df=df, value=(name,), rejects=rejects)

@@ -79,9 +79,11 @@ class TableJoinOps:
             F.col(f"{LEFT}_now")["v"].alias(LEFT), F.col(f"{RIGHT}_now")["v"].alias(RIGHT),
             exists("now").alias("__exists"),
         )
-        columns = Joiner.of(joiner, self.value, other.value).columns(emit=F.col("__exists"))
+        joiner = Joiner.of(joiner, self.value, other.value)
+        columns = joiner.columns(emit=F.col("__exists"))
         df = rows.select(*self.key, *[c.alias(n) for n, c in columns.items()], *self.order)
-        return self.with_(df=df, value=tuple(columns), rejects=self.all_rejects(other))
+        failed = joiner.rejects(self, "join_changelog", rows, F.col("__exists"))
+        return self.with_(df=df, value=tuple(columns), rejects=(*self.all_rejects(other), *failed))
 
     def join_foreign(self, other, on: dict[str, Column], joiner=None, how: str = "inner"):
         """Joins each current row with the row of `other` whose primary key is computed by `on`.
@@ -108,7 +110,7 @@ class TableJoinOps:
         joined = lookup_join(left, right, foreign, [f"__pk{i}" for i in range(len(other.key))], how,
                              spread_by=self.key)
         result = self._result(joined, {k: k for k in self.key}, Joiner.of(joiner, self.value, other.value), other)
-        return result.with_(rejects=self.with_(rejects=rejects).all_rejects(other))
+        return result.with_(rejects=self.with_(rejects=rejects).all_rejects(result))
 
     def _result(self, joined: DataFrame, keys: dict[str, str], joiner: Joiner, other):
         """A snapshot with the left row's order columns, or the right row's where there is no left."""
@@ -121,9 +123,9 @@ class TableJoinOps:
             ]
         else:
             order = [left_at[ours].alias(ours) for ours in self.order]
-        df = joined.select(
-            *[F.col(n).alias(k) for n, k in keys.items()], *[c.alias(n) for n, c in columns.items()], *order
-        )
-        result = self.with_(df=df, value=tuple(columns), rejects=self.all_rejects(other), is_snapshot=True)
+        pairs = joined.select(*[F.col(n).alias(k) for n, k in keys.items()], LEFT, RIGHT, *order)
+        df = pairs.select(*self.key, *[c.alias(n) for n, c in columns.items()], *self.order)
+        rejects = (*self.all_rejects(other), *joiner.rejects(self, "join", pairs))
+        result = self.with_(df=df, value=tuple(columns), rejects=rejects, is_snapshot=True)
         return result.with_(df=df.where(result.has_value))
 

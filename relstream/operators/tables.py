@@ -99,11 +99,11 @@ class TableOps:
     # -- filters ---------------------------------------------------------------------------------
 
     def filter(self, condition: Column, requires: Iterable[str] = ()):
-        """Rejected rows, and those whose condition failed, become deletes."""
-        return self._keep(strict(condition, requires))
+        """Rejected rows, and those whose condition failed, become deletes; the failed ones are quarantined as well."""
+        return self._keep("filter", strict(condition, requires))
 
     def filter_not(self, condition: Column, requires: Iterable[str] = ()):
-        return self._keep(~strict(condition, requires))
+        return self._keep("filter_not", ~strict(condition, requires))
 
     def filter_keys(self, condition: Column, requires: Iterable[str] = ()):
         self.df.select(*self.key).select(condition)
@@ -113,10 +113,11 @@ class TableOps:
         self.df.select(*self.value).select(condition)
         return self.filter(condition, requires)
 
-    def _keep(self, condition: Column):
+    def _keep(self, operator: str, condition: Column):
         kept = F.coalesce(condition, F.lit(False))
         values = [F.when(kept, F.col(v)).alias(v) for v in self.value]
-        return self.with_(df=self.rows().select(*self.key, *values, *self.order))
+        failed = self.reject(operator, self.rows().where(self.has_value & condition.isNull()), f"{operator} failed")
+        return self.with_(df=self.rows().select(*self.key, *values, *self.order), rejects=(*self.rejects, failed))
 
     # -- maps ------------------------------------------------------------------------------------
 

@@ -202,9 +202,7 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
     record = _parsed(_TEXT, _schema(stream.df, carried))
     rows = joined.select(record.alias("__record"), _parsed("__version", _schema(table.df, list(table.value))).alias(RIGHT))
     rows = rows.select("__record.*", RIGHT).withColumn(LEFT, F.struct(*stream.value))
-    columns = Joiner.of(joiner, stream.value, table.value).columns()
-    df = rows.select(*stream.key, *[c.alias(n) for n, c in columns.items()], *stream.order)
-    return stream.with_(df=df, value=tuple(columns), rejects=rejects)
+    return stream._joined("join_table", rows, Joiner.of(joiner, stream.value, table.value), rejects)
 
 
 def join_changelog(left, right, joiner=None, how: str = "inner"):
@@ -269,9 +267,11 @@ def join_changelog(left, right, joiner=None, how: str = "inner"):
         _parsed("__right", _schema(right.df, list(right.value))).alias(RIGHT), "__exists", *time,
         *[F.col(f"__seq{i}").cast(left.df.schema[s].dataType).alias(s) for i, s in enumerate(left.seq)],
     )
-    columns = Joiner.of(joiner, left.value, right.value).columns(emit=F.col("__exists"))
+    joiner = Joiner.of(joiner, left.value, right.value)
+    columns = joiner.columns(emit=F.col("__exists"))
     df = rows.select(*left.key, *[c.alias(n) for n, c in columns.items()], *left.order)
-    return left.with_(df=df, value=tuple(columns), rejects=rejects)
+    failed = joiner.rejects(left, "join_changelog", rows, F.col("__exists"))
+    return left.with_(df=df, value=tuple(columns), rejects=(*rejects, *failed))
 
 
 # -- folds ---------------------------------------------------------------------------------------
