@@ -1,4 +1,4 @@
-"""Running flows as streams: replaying a table in time order, and keeping what a stream emits."""
+"""Running the catalog's flows as streams: replaying a table in time order, and keeping what a stream emits."""
 
 from __future__ import annotations
 
@@ -15,6 +15,8 @@ from relstream.plans.scratch import scratch_path
 from relstream.plans.skew import estimated_bytes
 
 _FILE_BYTES = 128 << 20
+# What a micro-batch may hold: operators with state take a key's rows of one micro-batch at a time.
+_BATCH_BYTES = 256 << 20
 _CENTURY_MICROS = 100 * 365 * 24 * 3600 * 1_000_000
 
 
@@ -33,7 +35,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
 
 def replay(stream, slices: int = 3, late: DataFrame | None = None, flush: bool = True,
            session: SparkSession | None = None):
-    """A batch record stream as a real stream: `slices` micro-batches in time order.
+    """A batch record stream as a real stream: `slices` micro-batches, or more for large ones, in time order.
 
     The rows are written to the shared scratch folder, slice after slice, since a file source takes
     files by age; each slice has as many files as its size asks for and becomes one micro-batch.
@@ -46,6 +48,10 @@ def replay(stream, slices: int = 3, late: DataFrame | None = None, flush: bool =
     path = scratch_path(spark, "replay")
     rows = stream.rows()
     at = micros(rows, stream.ts)
+    size = estimated_bytes(rows)
+    if size is None:
+        raise ValueError("the size of the rows is not known, so micro-batches cannot be bounded: write them out first")
+    slices = max(slices, math.ceil(size / _BATCH_BYTES))
     edges = rows.agg(
         F.percentile_approx(at, [i / slices for i in range(1, slices)], 1000).alias("cuts"), F.max(at).alias("last")
     ).first()
@@ -54,8 +60,7 @@ def replay(stream, slices: int = 3, late: DataFrame | None = None, flush: bool =
     epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'" if isinstance(kind, T.TimestampNTZType) else "timestamp_micros(0)")
     cuts = [epoch + F.lit(timedelta(microseconds=c)) for c in sorted(set(edges["cuts"] or []))]
     bounds = [None, *cuts, None]
-    size = estimated_bytes(rows)
-    files = math.ceil((size or 1) / slices / _FILE_BYTES) if size is not None else spark.sparkContext.defaultParallelism
+    files = max(1, math.ceil(size / slices / _FILE_BYTES))
     as_instant = F.col(stream.ts).cast("timestamp")
     with_instant = [as_instant.alias(c) if c == stream.ts else F.col(c) for c in stream.columns]
 

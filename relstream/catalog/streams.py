@@ -13,7 +13,7 @@ from relstream.functions import mergeable as M
 from relstream.plans.scratch import scratch_path
 from relstream.sources.topics import read_json_records
 from relstream.streaming import keyed
-from relstream.streaming.runner import appended, replay, updated
+from relstream.catalog.replay import appended, replay, updated
 
 DAY, SIX_HOURS, HALF_HOUR = timedelta(days=1), timedelta(hours=6), timedelta(minutes=30)
 LATE = timedelta(hours=1)

@@ -11,7 +11,8 @@ from relstream import (
 )
 from relstream.sources.sinks import encoded
 from relstream.sources.topics import read_kafka_records
-from relstream.plans.scratch import scratch_path, written
+from frames import written
+from relstream.plans.scratch import scratch_path
 
 START = datetime(2024, 1, 1)
 value = F.col("value")
@@ -366,3 +367,11 @@ def test_folds_with_any_step(spark):
 
     got = stream.group_by_key().fold_any(lambda: {"t": 1}, step, "t long")
     assert shown(got.df, "key", "t") == [("a", (16 + 5) ** 2 + 2), ("b", 8)]
+
+
+def test_old_scratch_is_cleared_and_new_scratch_stays(spark, tmp_path, monkeypatch):
+    from relstream.plans import scratch
+    monkeypatch.setattr(scratch, "_root", lambda spark: f"file://{tmp_path}")
+    written(spark.range(3), "numbers")
+    clear = scratch.clear_scratch
+    assert clear(spark) == 0 and clear(spark, timedelta(seconds=-60)) == 1 and clear(spark) == 0

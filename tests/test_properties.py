@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relstream import RecordStream, UpsertTable
-from relstream.plans.scratch import written
+from frames import written
 
 START = datetime(2024, 1, 1)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from relstream import LookupTable, RecordStream, UpsertTable, sessions, tumbling
 from relstream.functions import mergeable as M
 from relstream.plans import ordered, skew
-from relstream.plans.scratch import written
+from frames import written
 
 START = datetime(2024, 1, 1)
 MOD = 1_000_003

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from relstream import LookupTable, RecordStream, UpsertTable, sessions, tumbling
 from relstream.functions import mergeable as M
-from relstream.plans.scratch import written
+from frames import written
 from relstream.streaming import keyed
-from relstream.streaming.runner import appended, replay, updated
+from relstream.catalog.replay import appended, replay, updated
 
 START = datetime(2024, 1, 1)
 SIDES = lambda l, r: {"l": l["value"], "r": r["value"]}
@@ -151,7 +151,7 @@ def test_streams_refuse_what_only_batches_can_do(spark):
 def logged(rows_, spark, key="k"):
     """A batch stream of (value, minute, seq) for one key."""
     data = [(key, v, START + timedelta(minutes=m), q) for v, m, q in rows_]
-    return RecordStream(spark.createDataFrame(data, "key string, value string, ts timestamp, seq long"), "key", "value")
+    return RecordStream(written(spark.createDataFrame(data, "key string, value string, ts timestamp, seq long"), "log"), "key", "value")
 
 
 def test_late_updates_change_nothing_and_are_quarantined(spark):
