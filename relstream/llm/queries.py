@@ -68,7 +68,26 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return fuzzylines.dedup_lines(read(spark, folder, "documents").select("doc_id", "text"))
 
 
-@query("op6_minhash_classes")
+#: All pairs of documents that share a shingle, exactly, and what links reach.
+CLASSES = """
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [ws]
+                                         ELSE [ws[i:i + 4] FOR i IN range(1, len(ws) - 3)] END) AS shingle FROM w),
+    n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle)
+               WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+    links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+              WHERE 100 * common >= 75 * (x.size + y.size - common)),
+    reach AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION
+              SELECT id, b FROM reach JOIN links ON other = a),
+    least AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+    SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents JOIN least ON id = doc_id LEFT JOIN n USING (doc_id)"""
+
+
+@query("op6_minhash_classes", CLASSES)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, folder, "documents").select("doc_id", "text"))
 
