@@ -216,8 +216,13 @@ def _same(on: list[str]) -> Column:
 
 def _interval_full_streaming(left: DataFrame, right: DataFrame, names: list[str], before: timedelta,
                              after: timedelta) -> DataFrame:
-    """By key alone: streams have no anti join to find the unmatched records of several buckets."""
-    aside = right.withColumnsRenamed({n: f"__r{n}" for n in names})
-    joined = left.join(aside, _near(before, after) & _same(names), "full_outer")
-    keys = [F.coalesce(n, f"__r{n}").alias(n) for n in names]
-    return joined.select(*keys, *[c for c in joined.columns if c not in names and not c.startswith("__r__k")])
+    """The left join, and the unmatched rows of the left join with the roles swapped: streams have no anti join.
+
+    Both are by key and time bucket, so a hot key is many groups here too; the price is that both sides are kept twice.
+    """
+    joined = _interval(left, right, names, before, after, "left")
+    rights = right.withColumnsRenamed({c: c.replace("__r", "__l", 1) for c in right.columns if c.startswith(("__rt", "__rs"))})
+    swapped = _interval(rights, left.select(*names, F.col("__lt").alias("__rt")), names, after, before, "left")
+    alone = swapped.where(F.col("__rt").isNull()).drop("__rt")
+    alone = alone.withColumnsRenamed({c: c.replace("__l", "__r", 1) for c in alone.columns if c.startswith(("__lt", "__ls"))})
+    return joined.unionByName(alone, allowMissingColumns=True)
