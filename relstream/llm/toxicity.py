@@ -36,7 +36,7 @@ _REPORTS = """said says saying wrote writes called calls quoted reported reporte
 _TOKEN = re.compile(r"""\w+|[.!?;:\n"“”„«»]""")
 _QUOTES = set("\"“”„«»")
 #: Clean texts show best which words are harmless, so the sample is larger than the default.
-BOUND = SampleBound(rows=8_000, text_bytes=30_000_000)
+BOUND = SampleBound(rows=8_000, text_bytes=20_000_000)
 #: Lengths of word beginnings that may stand for a family of inflected words.
 _STEMS = (4, 5, 6)
 _REMEMBERED = 300_000
@@ -177,24 +177,26 @@ def learn_lexicon(toxic: list[str], clean: list[str], least: int = 3, most: int
     place), and a smoothed odds ratio above 20; the `most` strongest are kept. A beginning needs three words with
     a ratio above 8 that are no general words, twice as many texts and a ratio above 12.
     """
-    def texts_with(texts: list[str]) -> Counter:
+    def texts_with(texts: list[str], only=None) -> Counter:
         counts: Counter = Counter()
         for text in texts:
-            counts.update({w for w in _TOKEN.findall(text.lower()) if len(w) > 2})
+            words = {w for w in _TOKEN.findall(text.lower()) if len(w) > 2}
+            counts.update(words if only is None else words & only)
         return counts
 
-    places: dict[str, set[str]] = {}
+    bad = {w: n for w, n in texts_with(toxic).items() if n >= least}
+    good = texts_with(clean, bad.keys())
+    places: dict[str, set[str]] = {w: set() for w in bad}
     for text in toxic:
         tokens = _TOKEN.findall(text.lower())
         for before, w in zip(tokens, tokens[1:]):
-            if before != w:
-                places.setdefault(w, set()).add(before)
+            if before != w and w in places:
+                places[w].add(before)
 
     def odds(a: float, b: float) -> float:
         return math.log((a + 0.1) / (len(toxic) + 1)) - math.log((b + 0.1 + 0.2 * len(clean) / (len(toxic) + 1)) / (len(clean) + 1))
 
-    bad, good = texts_with(toxic), texts_with(clean)
-    weight = {w: odds(n, good[w]) for w, n in bad.items() if n >= least and len(places.get(w, ())) >= least}
+    weight = {w: odds(n, good[w]) for w, n in bad.items() if len(places[w]) >= least}
     words = {w: ("I", min(x / 3, 2.0)) for w, x in sorted(weight.items(), key=lambda kv: (-kv[1], kv[0]))[:most] if x > math.log(20)}
     known = general_words()
     family: dict[str, set[str]] = {}
