@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from relstream.llm.common import bitmap_of, map_rows, maybe_in, stored
 
 #: Bytes: the mean distance of cuts, the least and the greatest size of a chunk.
-MEAN, LEAST, MOST = 48, 16, 512
+MEAN, LEAST, MOST = 16, 8, 512
 #: Bytes of consecutive repeated chunks that make a repeated passage.
 PASSAGE = 64
 _BITS = 1 << 26
