@@ -150,8 +150,9 @@ def select(found: list[Block], share: float = 0.1) -> list[str]:
     2. Smoothing: a path's ratio is averaged with those of the paths that share its beginning, each by its length and by
        the square of the share of steps they have in common. Headings so gain from the paragraphs beside them.
     3. Fusing: the smoothed ratio and the path's own are multiplied and rooted; a path of links alone has none.
-    4. Paths reach the text if they have `share` of the best fused ratio. If an article or main element holds a path that
-       does, the paths outside of it do not count, and short blocks inside (headings, list items) stay with it.
+    4. Paths reach the text if they have `share` of the best fused ratio. If article or main elements hold the best path and
+       half of the text that does, the paths outside of them do not count, and short blocks inside (headings, list items)
+       stay. Otherwise ratios alone decide.
     """
     if not found:
         return []
@@ -176,8 +177,11 @@ def select(found: list[Block], share: float = 0.1) -> list[str]:
     fused = {path: math.sqrt(smoothed[path] * own[path]) for path in paths}
     best = max(fused.values())
     kept = {path for path, ratio in fused.items() if ratio and ratio >= share * best}
-    roots = {path[: 1 + max(k for k, name in enumerate(path) if name in ("article", "main"))] for path in kept
-             if "article" in path or "main" in path}
+    inside = {path for path in kept if "article" in path or "main" in path}
+    held = sum(paths[path][0] for path in inside)
+    if 2 * held < sum(paths[path][0] for path in kept) or not any(fused[path] == best for path in inside):
+        inside = set()  # teasers or comments beside the text
+    roots = {path[: 1 + max(k for k, name in enumerate(path) if name in ("article", "main"))] for path in inside}
     if roots:
         # Inside the article only blocks of links are left out.
         kept = {path for path, (n, _, _, linked) in paths.items()
