@@ -35,12 +35,16 @@ _ENDS = {
 _IN_PARAGRAPH = {"option", "optgroup"}
 # Words in class, id and role that name what surrounds an article.
 _AROUND = set("""
-    ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted outbrain taboola
-    nav navbar navigation menu topbar toolbar breadcrumb breadcrumbs pagination pager header masthead footer copyright legal
-    sidebar aside widget widgets rail related recommended recommendations trending popular more-stories
-    cookie cookies consent gdpr notice notices alert popup modal overlay dialog subscribe subscription newsletter signup login
-    paywall search share sharing social follow tags comment comments commentlist disqus respond reply replies discussion
-    skip hidden print-only complementary contentinfo form""".split())
+    ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo outbrain taboola navbar topbar toolbar
+    breadcrumb breadcrumbs pagination masthead copyright cookie cookies consent gdpr popup newsletter disqus commentlist
+    contentinfo""".split())
+#: The same as whole names only; as a part of one they also name layouts and wrappers around the article.
+_AROUND_WHOLE = set("""
+    paywall login signup adv promotion promoted nav navigation menu pager header footer legal sidebar aside widget widgets rail related recommended
+    recommendations trending popular more-stories notice notices alert modal overlay dialog subscribe subscription search share
+    sharing social follow tags comment comments respond reply replies discussion skip hidden print-only complementary form""".split())
+#: What a path's ratio is multiplied with if an element on it has such a word as a part of a name.
+_DOUBTED = 0.3
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _NAMES = re.compile(r"[a-z]+|[0-9]+")
@@ -51,44 +55,77 @@ class Block(NamedTuple):
     path: tuple[str, ...]
     text: str
     linked: int
+    doubted: bool = False
 
 
-def _is_around(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element's name or its class, id, role or state says that it stands around the article."""
+def _is_around(tag: str, attributes: str, in_article: bool) -> str:
+    """Whether an element stands around the article: "never" text by its name or state, "surely" or "named" so by its class, id or
+    role, "doubted" if they only hold an ambiguous word, or ""."""
     if tag in _NOT_TEXT or tag == "header" and not in_article:
-        return True
+        return "never"
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return False
+        return ""
     bare = _ATTRIBUTE.sub(" ", attributes).lower().split()
     if "hidden" in bare:
-        return True
+        return "never"
+    said = ""
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
-            if any(word in _AROUND for token in value.split() for word in (token, *_NAMES.findall(token))):
-                return True
+            for token in value.split():
+                parts = _NAMES.findall(token)
+                if token in _AROUND:
+                    said = "surely"
+                elif token in _AROUND_WHOLE or any(part in _AROUND for part in parts):
+                    said = said if said == "surely" else "named"
+                elif not said and any(part in _AROUND_WHOLE and part != "header" for part in parts):
+                    said = "doubted"
         elif name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return "never"
+    return said
 
 
 def blocks(page: str) -> Iterator[Block]:
     """Text blocks with their root-to-leaf path of block elements, without what is never main text.
 
+    An element that its class, id or role names as surrounding stays, doubted, if it holds the only article or main
+    elements or, unless the name is not ambiguous (a whole word like ad), most of the page's text.
+    """
+    found = list(_marked(page))
+    sizes: dict[int, int] = {}
+    articles: dict[int, int] = {}
+    total = total_articles = 0
+    for block, marks in found:
+        size = max(0, len(block.text) - block.linked)
+        article = size if "article" in block.path or "main" in block.path else 0
+        total, total_articles = total + size, total_articles + article
+        for mark, holds, _ in marks:
+            sizes[mark] = sizes.get(mark, 0) + size
+            articles[mark] = articles.get(mark, 0) + (article if any(n in ("article", "main") for n in block.path[holds:]) else 0)
+    for block, marks in found:
+        if all(not sure and 2 * sizes[mark] > total or 0 < articles[mark] == total_articles for mark, _, sure in marks):
+            yield block._replace(doubted=True) if marks else block
+
+
+def _marked(page: str) -> Iterator[tuple[Block, tuple[tuple[int, int, bool], ...]]]:
+    """Text blocks, each with the elements named as surrounding that it is in (their number, the depth below them, whether
+    the name is not ambiguous).
+
     Markup may be broken: elements that HTML ends by itself are ended, unmatched end tags are skipped, and a page may stop
     anywhere. Inline elements and line breaks are part of their block.
     """
-    open_: list[tuple[str, bool]] = []  # element, and whether its text counts
+    open_: list[tuple[str, bool, bool, tuple]] = []  # element, whether its text counts, is doubted, named elements around it
     pieces: list[str] = []
     linked = links = 0
-    at = 0
+    at = number = 0
 
-    def flush() -> Iterator[Block]:
+    def flush() -> Iterator[tuple[Block, tuple]]:
         nonlocal linked
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                yield Block(tuple(name for name, _ in open_), text, min(linked, len(text)))
+                doubted, marks = open_[-1][2:] if open_ else (False, ())
+                yield Block(tuple(row[0] for row in open_), text, min(linked, len(text)), doubted), marks
         pieces.clear()
         linked = 0
 
@@ -122,7 +159,7 @@ def blocks(page: str) -> Iterator[Block]:
             text_of("\n")
         elif ends and tag in _STOPS:
             yield from flush()
-            if any(name == tag for name, _ in open_):
+            if any(row[0] == tag for row in open_):
                 close({tag}, set())
             links = 0
         elif not ends and tag in _STARTS:
@@ -132,10 +169,13 @@ def blocks(page: str) -> Iterator[Block]:
             if tag in _ENDS:
                 close(*_ENDS[tag])
             if tag not in _VOID:
-                counts = not open_ or open_[-1][1]
-                inside = any(name in ("article", "main") for name, _ in open_)
-                open_.append((tag, counts and not _is_around(tag, attributes, inside)))
-        elif not ends and tag not in _VOID and attributes and _is_around(tag, attributes, True):
+                counts, doubted, marks = open_[-1][1:] if open_ else (True, False, ())
+                said = _is_around(tag, attributes, any(row[0] in ("article", "main") for row in open_))
+                if said in ("surely", "named"):
+                    number += 1
+                    marks = (*marks, (number, len(open_) + 1, said == "surely"))
+                open_.append((tag, counts and said != "never", doubted or said == "doubted", marks))
+        elif not ends and tag not in _VOID and attributes and _is_around(tag, attributes, True) in ("never", "surely", "named"):
             stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)  # an inline element that is not main text
             at = stop.end() if stop else at
     text_of(page[at:])
@@ -157,6 +197,7 @@ def select(found: list[Block], share: float = 0.1) -> list[str]:
     if not found:
         return []
     paths: dict[tuple[str, ...], list[float]] = {}
+    found = [block._replace(path=(*block.path, "doubted")) if block.doubted else block for block in found]
     for block in found:
         row = paths.setdefault(block.path, [0, 0, 0, 0])
         row[0] += len(block.text)
@@ -174,7 +215,7 @@ def select(found: list[Block], share: float = 0.1) -> list[str]:
         weights = [(alike(path, other) * row[0], own[other]) for other, row in paths.items()]
         total = sum(w for w, _ in weights)
         smoothed[path] = sum(w * ratio for w, ratio in weights) / total if total else 0.0
-    fused = {path: math.sqrt(smoothed[path] * own[path]) for path in paths}
+    fused = {path: math.sqrt(smoothed[path] * own[path]) * (_DOUBTED if path[-1:] == ("doubted",) else 1) for path in paths}
     best = max(fused.values())
     kept = {path for path, ratio in fused.items() if ratio and ratio >= share * best}
     inside = {path for path in kept if "article" in path or "main" in path}

@@ -10,3 +10,10 @@ def test_teasers_in_article_elements_do_not_hide_the_story():
     teasers = "".join(f"<article><p>Teaser {k}, in short, here.</p></article>" for k in range(3))
     text = main_text(f"<body><div><div>{STORY}</div></div>{teasers}</body>")
     assert all(f"{k}. {PARAGRAPH}" in text for k in range(6))
+
+
+def test_wrappers_with_ambiguous_names_keep_the_text():
+    for name in ("no-sidebar", "has-sidebar", "elementor-widget-container", "post-header", "legal-article", "comments"):
+        text = main_text(f"<body><div class='{name}'><h2>Head</h2>{STORY}</div><div class='sidebar'>Side, side.</div></body>")
+        assert all(f"{k}. {PARAGRAPH}" in text for k in range(6)) and "Side" not in text, name
+    assert PARAGRAPH in main_text(f"<body><div class='widget'><article><p>{PARAGRAPH}</p></article></div><div>{STORY[:40]}</div></body>")
