@@ -85,6 +85,11 @@ def _is_around(tag: str, attributes: str, in_article: bool) -> str:
     return said
 
 
+def _closes_itself(tag: str, attributes: str) -> bool:
+    """Whether a start tag's last slash ends its element; after an unquoted value the slash belongs to the value."""
+    return attributes.endswith("/") and (tag in ("svg", "math") or re.search(r"=\s*[^\s\"'>]+/$", attributes) is None)
+
+
 def blocks(page: str) -> Iterator[Block]:
     """Text blocks with their root-to-leaf path of block elements, without what is never main text.
 
@@ -150,6 +155,8 @@ def _marked(page: str) -> Iterator[tuple[Block, tuple[tuple[int, int, bool], ...
         if not tag:
             continue
         tag = tag.lower()
+        if tag in _RAW and not ends and _closes_itself(tag, attributes):
+            continue
         if tag in _RAW and not ends:
             stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = stop.end() if stop else len(page)

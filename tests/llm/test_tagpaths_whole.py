@@ -17,3 +17,9 @@ def test_wrappers_with_ambiguous_names_keep_the_text():
         text = main_text(f"<body><div class='{name}'><h2>Head</h2>{STORY}</div><div class='sidebar'>Side, side.</div></body>")
         assert all(f"{k}. {PARAGRAPH}" in text for k in range(6)) and "Side" not in text, name
     assert PARAGRAPH in main_text(f"<body><div class='widget'><article><p>{PARAGRAPH}</p></article></div><div>{STORY[:40]}</div></body>")
+
+
+def test_raw_elements_that_close_themselves_are_empty():
+    for raw in ("<svg a='b'/>", "<svg a=b/>", "<math/>", "<object data='x' />", "<iframe src='x'/>"):
+        assert main_text(f"<article><p>One.</p>{raw}<p>{PARAGRAPH}</p></article>") == f"One.\n\n{PARAGRAPH}", raw
+    assert main_text("<article><p>One.</p><object data=a/>no</object></article>") == "One."
