@@ -49,6 +49,29 @@ def map_rows(df: DataFrame, each: Callable[[int], Callable[..., list]], schema:
     return df.mapInArrow(run, schema)
 
 
+def grouped_rows(df: DataFrame, keys: list[str], apply: Callable, schema: str) -> DataFrame:
+    """Applies a function to each group, a pandas frame in, one out. Groups are small and many: a task sorts its rows and
+    goes through them, so that a group costs no call of its own and only one is held, beside one Arrow batch.
+    """
+    import pandas as pd
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for frame in frames:
+            changed = (frame[keys] != frame[keys].shift()).any(axis=1).to_numpy()
+            changed[0] = bool(held) and (held[-1][keys].iloc[-1] != frame[keys].iloc[0]).any()
+            cuts = [*changed.nonzero()[0].tolist(), len(frame)]
+            held.append(frame.iloc[:cuts[0]])
+            for begin, end in zip(cuts, cuts[1:]):
+                if sum(map(len, held)):
+                    yield apply(pd.concat(held) if len(held) > 1 else held[0])
+                held = [frame.iloc[begin:end]]
+        if sum(map(len, held)):
+            yield apply(pd.concat(held) if len(held) > 1 else held[0])
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
 def numbered(df: DataFrame, part: str, local: str, weight: str, name: str) -> DataFrame:
     """Adds `name`: the running total of `weight` before each row, over all partitions.
 
