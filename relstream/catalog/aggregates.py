@@ -239,6 +239,48 @@ def table_count(spark, folder):
     return by_kind(spark, folder).count().df
 
 
+def picky(state, value):
+    """A step that fails on some records, and leaves them to the quarantine."""
+    if value["cents"] % 97 == 0:
+        raise ValueError("cents")
+    return {"n": state["n"] + 1, "total": state["total"] + value["cents"]}
+
+
+def larger(a, b):
+    """A reduction that fails on some pairs."""
+    if b["cents"] % 97 == 0:
+        raise ValueError("cents")
+    return a if a["cents"] >= b["cents"] else b
+
+
+FOLD_ERRORS = f"""
+    SELECT user_id, CAST(count(*) FILTER (cents % 97 <> 0) AS BIGINT) AS n, CAST(sum(cents) FILTER (cents % 97 <> 0) AS BIGINT) AS total,
+           CAST(count(*) FILTER (cents % 97 = 0) AS BIGINT) AS failed FROM ({EVENTS}) GROUP BY user_id HAVING n > 0"""
+REDUCE_ERRORS = f"""
+    WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1 AS opens FROM ({EVENTS}))
+    SELECT user_id, max(cents) FILTER (opens OR cents % 97 <> 0) AS cents, CAST(count(*) FILTER (NOT opens AND cents % 97 = 0) AS BIGINT) AS failed
+    FROM n GROUP BY user_id"""
+
+
+def with_failures(table, failures):
+    """Each key's result with the number of its quarantined records."""
+    user = F.get_json_object("key", "$.user_id").cast("long").alias("user_id")
+    counted = failures.select(user).groupBy("user_id").agg(F.count("*").alias("failed"))
+    return table.join(counted, "user_id", "left").withColumn("failed", F.coalesce("failed", F.lit(0)))
+
+
+@query("fold_error_quarantine", FOLD_ERRORS)
+def fold_error_quarantine(spark, folder):
+    folded = events(spark, folder).group_by_key().fold_any(lambda: {"n": 0, "total": 0}, picky, "n long, total long")
+    return with_failures(folded.df, folded.quarantine())
+
+
+@query("reduce_error_quarantine", REDUCE_ERRORS)
+def reduce_error_quarantine(spark, folder):
+    reduced = events(spark, folder).group_by_key().reduce_any(larger)
+    return with_failures(reduced.df, reduced.quarantine()).select("user_id", "cents", "failed")
+
+
 @query("table_reduce_sum", table_sql("CAST(coalesce(sum(cents), 0) AS BIGINT) AS cents"))
 def table_reduce_sum(spark, folder):
     return by_kind(spark, folder).reduce(cents=F.sum("cents")).df

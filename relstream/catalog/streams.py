@@ -12,7 +12,7 @@ from relstream.catalog.registry import EVENTS, QUERIES, events, query
 from relstream.functions import mergeable as M
 from relstream.plans.scratch import scratch_path
 from relstream.sources.topics import read_json_records
-from relstream.streaming import keyed
+from relstream.streaming import keyed, running
 from relstream.catalog.replay import appended, replay, updated
 
 DAY, SIX_HOURS, HALF_HOUR = timedelta(days=1), timedelta(hours=6), timedelta(minutes=30)
@@ -283,3 +283,96 @@ def stream_session_fold(spark, folder):
     found = keyed.session_fold(replay(events(spark, folder)), sessions(SIX_HOURS, LATE), lambda: aggregates.ZERO, step, merge,
                                "n long, digest long")
     return local_time(appended(found, spark))
+
+
+def stream_table_fk_join(how: str):
+    def build(spark, folder):
+        """Users' last events against the last purchase of the user that they point at; both sides change all the time."""
+        stream = replay(events(spark, folder), flush=False)
+        left = UpsertTable.of(stream.filter(F.col("event_type") != "purchase"), deleted=F.col("cents") > 9000)
+        right = UpsertTable.of(stream.filter(F.col("event_type") == "purchase"), deleted=F.col("cents") > 8000)
+        joiner = lambda l, r: {"cents": l["cents"], "bought": r["cents"]}
+        joined = running.join_foreign(left, right, {"u": F.col("cents") % 150}, joiner, how, spread=2)
+        log = appended(joined.rows(), spark)
+        return joined.with_(df=log, rejects=()).latest().select("user_id", "cents", "bought")
+    query(f"stream_table_fk_join_{how}", f"""
+        WITH l AS (SELECT user_id, arg_max(cents, (ts, event_id)) AS cents FROM ({EVENTS}) WHERE event_type <> 'purchase' GROUP BY user_id),
+        r AS (SELECT user_id AS u, arg_max(cents, (ts, event_id)) AS bought FROM ({EVENTS}) WHERE event_type = 'purchase' GROUP BY user_id)
+        SELECT user_id, cents, bought FROM (SELECT * FROM l WHERE cents <= 9000) {how} JOIN (SELECT * FROM r WHERE bought <= 8000)
+        ON u = cents % 150""")(build)
+
+
+for _how in ("inner", "left"):
+    stream_table_fk_join(_how)
+
+
+def _last_versions(table, spark):
+    """The current rows of a running table, by its log."""
+    return local_time(table.with_(df=appended(table.rows(), spark), rejects=()).latest())
+
+
+@twin("stream_table_reduce", "table_reduce_sum")
+def stream_table_reduce(spark, folder):
+    """Adder and subtractor over the rows' own column, in one query; groups that empty keep 0."""
+    grouped = users(spark, folder).map_values({"cents": F.col("cents"), "event_type": F.col("event_type")}).group_by({"kind": F.col("event_type")})
+    reduced = running.reduce(grouped, lambda a, b: {**a, "cents": a["cents"] + b["cents"]}, lambda a, b: {**a, "cents": a["cents"] - b["cents"]})
+    return _last_versions(reduced, spark).select("kind", "cents")
+
+
+@twin("stream_table_aggregate", "table_aggregate")
+def stream_table_aggregate(spark, folder):
+    """Any state with an adder and a subtractor, which deletes an emptied group; its next row starts it again."""
+    def add(state, value):
+        return {"n": state["n"] + 1, "total": state["total"] + value["cents"]}
+
+    def subtract(state, value):
+        return {"n": state["n"] - 1, "total": state["total"] - value["cents"]} if state["n"] > 1 else None
+
+    grouped = users(spark, folder).group_by({"band": F.floor(F.col("cents") / 1000)})
+    found = running.aggregate(grouped, lambda: {"n": 0, "total": 0}, add, subtract, "n long, total long")
+    return _last_versions(found, spark).select("band", "n", "total")
+
+
+def of_kind(stream, kind: str):
+    """Records of one kind, and the one without a value that ends a replay."""
+    return stream.with_(df=stream.df.where((F.col("event_type") == kind) | F.col("event_type").isNull()))
+
+
+def stream_asof_out_of_order(how: str):
+    def build(spark, folder):
+        """Rows arrive up to three hours late, in an order of their own; every purchase still sees the view of its time."""
+        given = events(spark, folder, "purchase", "view")
+        delay = F.expr("make_dt_interval(0, 0, 0, cast(pmod(xxhash64(event_id), 10800) as decimal(8, 0)))")
+        arriving = RecordStream(given.rows().withColumn("arrival", F.col("ts") + delay), given.key, (*given.value, "ts"), "arrival", given.seq)
+        live = replay(arriving, slices=5)
+        # The record that ends the replay has no time but its arrival.
+        df = live.df.withColumn("ts", F.coalesce(F.col("ts").cast("timestamp"), F.col("arrival")))
+        stream = RecordStream(df, given.key, given.value, "ts", given.seq)
+        views = UpsertTable.of(of_kind(stream, "view"))
+        flow = running.join_versions(of_kind(stream, "purchase"), views, joins.SEEN, how, late=timedelta(hours=4), spread=2)
+        return local_time(appended(flow.rows(), spark))
+    twin(f"stream_asof_out_of_order_{how}", f"join_asof_{how}")(build)
+
+
+for _how in ("inner", "left"):
+    stream_asof_out_of_order(_how)
+
+
+def _with_stream_failures(table, spark, *columns):
+    """A running fold's last states with its failures, written by two queries of one flow."""
+    bad = appended(table.quarantine(), spark)
+    last = table.with_(df=appended(table.rows(), spark), rejects=()).latest()
+    return aggregates.with_failures(last, bad).select(*columns, "failed")
+
+
+@twin("stream_fold_error_quarantine", "fold_error_quarantine")
+def stream_fold_error_quarantine(spark, folder):
+    stream = replay(events(spark, folder), flush=False)
+    folded = running.fold(stream, lambda: {"n": 0, "total": 0}, aggregates.picky, "n long, total long")
+    return _with_stream_failures(folded, spark, "user_id", "n", "total")
+
+
+@twin("stream_reduce_error_quarantine", "reduce_error_quarantine")
+def stream_reduce_error_quarantine(spark, folder):
+    reduced = running.reduce_records(replay(events(spark, folder), flush=False), aggregates.larger)
+    return _with_stream_failures(reduced, spark, "user_id", "cents")

@@ -17,7 +17,8 @@ from relstream.operators.sessions import END, START, aggregate_sessions, fold_se
 from relstream.operators.tables import OP
 from relstream.operators.windows import WINDOW, SessionWindows, TimeWindows, UnlimitedWindows
 from relstream.plans.ordered import merge_runs, ordered_fold
-from relstream.plans.sequential import sequential_fold
+from relstream.plans.sequential import ERROR, FAILED, sequential_fold
+from relstream.sources.topics import JSON_TIMES
 
 
 def _keep_old(step: Callable) -> Callable:
@@ -139,17 +140,35 @@ class GroupedRecords(_Grouped):
 
         The records are sorted within their partition and one state is carried along, so no group is
         held; a key's records are one task's work, as such a step allows no other way. A step that
-        raises leaves the state alone, and None deletes the group, which starts from `init()` again.
+        raises leaves the state alone and the record goes to the quarantine; None deletes the group, which
+        starts from `init()` again.
         """
+        return self._sequential("fold_any", init, step, state_schema)
+
+    def reduce_any(self, combine: Callable[[dict, dict], dict | None]):
+        """`fold_any` over values of the stream's own columns: a group starts with its first value (batch)."""
+        schema = T.StructType([self.stream.df.schema[v] for v in self.stream.value])
+        return self._sequential("reduce_any", None, combine, schema)
+
+    def _sequential(self, operator: str, init: Callable | None, step: Callable, state_schema: T.StructType | str):
         rows = self._rows()
         if rows.isStreaming:
-            raise ValueError("on a stream this is streaming.keyed.fold")
+            raise ValueError("on a stream this is streaming.keyed.fold, streaming.running.fold or reduce_records")
         group = list(self.stream.key)
         if self.windows is not None:
             rows = self.windows.assign(rows, self.stream.ts)
             group.append(WINDOW)
-        folded = sequential_fold(rows, group, self.stream.order, self.stream.value, init, step, state_schema)
-        return self._table(folded, ()) if self.windows is None else self._flat(folded)
+        tagged = sequential_fold(rows, group, self.stream.order, self.stream.value, init, step, state_schema)
+        folded = tagged.where(F.col(ERROR).isNull()).drop(ERROR, FAILED)
+        table = self._table(folded, ()) if self.windows is None else self._flat(folded)
+        return table.with_(rejects=(*table.rejects, self._refused(operator, tagged.where(F.col(ERROR).isNotNull()))))
+
+    def _refused(self, operator: str, tagged: DataFrame) -> DataFrame:
+        """Quarantine rows of a fold, from what it gave out beside its states."""
+        at = F.col(FAILED)[self.stream.ts].cast("timestamp") if self.stream.ts else F.lit(None).cast("timestamp")
+        return tagged.select(
+            F.lit(operator).alias("operator"), F.to_json(F.struct(*self.stream.key), JSON_TIMES).alias("key"), F.col(FAILED)["value"].alias("value"),
+            F.col(ERROR).alias("error"), at.alias("ts"), F.to_json(F.struct(*[F.col(FAILED)[s].alias(s) for s in self.stream.seq]), JSON_TIMES).alias("seq"))
 
     def _flat(self, df: DataFrame):
         rest = [c for c in df.columns if c not in (*self.stream.key, WINDOW)]
@@ -274,6 +293,7 @@ class GroupedTable:
         are 0 and other aggregates null, or the column given in `empty`; `drop_empty` removes it
         instead. A group with live rows keeps its aggregates as they are, null ones too.
         """
+        self._batch_only("aggregate", "totals, or running.aggregate with an adder and a subtractor")
         names = self._names
         live = self._grouped(self.table.latest()).groupBy(*names).agg(*[c.alias(n) for n, c in aggs.items()])
         if not drop_empty:
@@ -298,6 +318,7 @@ class GroupedTable:
         consecutive runs, each from `init`; a failed (null) merge keeps the earlier. A group that is
         deleted, or whose final state satisfies `deleted`, is absent.
         """
+        self._batch_only("fold", "running.aggregate")
         value = F.struct(F.col(OP).alias("op"), F.struct(*self.table.value).alias("value"))
 
         # A run's state with a mark whether the group was deleted in it: what came before such a run does not matter.
@@ -327,6 +348,10 @@ class GroupedTable:
             folded = folded.where(~F.coalesce(deleted(F.col("__state")), F.lit(False)))
         return self._snapshot(folded.select(*self._names, "__state.*"))
 
+    def _batch_only(self, operator: str, instead: str) -> None:
+        if self.table.df.isStreaming:
+            raise ValueError(f"{operator} on a running table cannot take rows back: use {instead} (relstream.streaming)")
+
     def _snapshot(self, df: DataFrame):
         from relstream.model import UpsertTable
         named = df.withColumnsRenamed(dict(zip(self._names, self.key)))

@@ -89,13 +89,17 @@ class TableJoinOps:
         """Joins each current row with the row of `other` whose primary key is computed by `on`.
 
         Many rows may point at one. A foreign key shared by very many rows is spread over tasks,
-        see `lookup_join`. The reverse direction has no key to go by, so there is no full join.
+        see `lookup_join`. The reverse direction has no key to go by, so there is no full join. On a
+        stream the result is a log, see `streaming.running.join_foreign`.
         """
         if how == "full":
             raise NotImplementedError("a foreign-key join is inner or left: unmatched right rows have no left key")
         _check(how, "inner", "left")
         if len(on) != len(other.key):
             raise ValueError(f"foreign key has {len(on)} columns, the table's key has {len(other.key)}")
+        if self.df.isStreaming or other.df.isStreaming:
+            from relstream.streaming import running
+            return running.join_foreign(self, other, on, joiner, how)
         foreign = [f"__fk{i}" for i in range(len(on))]
         current = self.latest()
         left = current.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -9,20 +10,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+ERROR, FAILED = "__error", "__failed"
+
 
 def sequential_fold(rows: DataFrame, group: Sequence[str], order: Sequence[str], value: Sequence[str],
-                    init: Callable[[], dict], step: Callable[[dict, dict], dict | None],
+                    init: Callable[[], dict] | None, step: Callable[[dict, dict], dict | None],
                     state_schema: T.StructType | str) -> DataFrame:
     """Folds each group's rows in order with a Python function; one row per group that is not deleted.
 
     One shuffle by group and a sort that spills; a task keeps one state and a batch of rows. A step
-    that raises leaves the state alone; one that gives None deletes the group for now.
+    that raises leaves the state alone, and the row that it failed on comes out beside the states: with
+    `ERROR`, its value and its order columns as `FAILED`. One that gives None deletes the group for now.
+    `init` gives the state to start from; where it is None, a group's first value is its first state.
     """
     group, order, value = list(group), list(order), list(value)
     fields = T._parse_datatype_string(state_schema) if isinstance(state_schema, str) else state_schema
     kept = rows.select(*group, *value, *[c for c in order if c not in group and c not in value])
     sorted_rows = kept.repartition(*group).sortWithinPartitions(*group, *order)
-    schema = T.StructType([*kept.select(*group).schema.fields, *fields.fields])
+    failed = T.StructType([T.StructField("value", T.StringType()), *kept.select(*order).schema.fields])
+    schema = T.StructType([*kept.select(*group).schema.fields, *[T.StructField(f.name, f.dataType) for f in fields],
+                           T.StructField(ERROR, T.StringType()), T.StructField(FAILED, failed)])
     target, names = to_arrow_schema(schema), fields.names
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,19 +44,22 @@ def sequential_fold(rows: DataFrame, group: Sequence[str], order: Sequence[str],
 
         def close() -> None:
             if current is not None and state is not None:
-                done.append((*key, *[state.get(n) for n in names]))
+                done.append((*key, *[state.get(n) for n in names], None, None))
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in (*group, *value)]
-            for row in zip(*columns):
+            places = [batch.column(c).to_pylist() for c in order]
+            for k, row in enumerate(zip(*columns)):
                 own = row[: len(group)]
                 if (found := repr(own)) != current:
                     close()
                     current, key, state = found, own, None
+                given = dict(zip(value, row[len(group):]))
                 try:
-                    state = step(init() if state is None else state, dict(zip(value, row[len(group):])))
-                except Exception:  # a failing step leaves the state alone
-                    continue
+                    state = given if state is None and init is None else step(init() if state is None else state, given)
+                except Exception as error:
+                    told = {"value": json.dumps(given, default=str), **{c: place[k] for c, place in zip(order, places)}}
+                    done.append((*own, *[None] * len(names), f"{type(error).__name__}: {error}", told))
             yield flush()
         close()
         yield flush()

@@ -315,12 +315,13 @@ def window_fold(stream, windows, init: Callable[[], object], step: Callable[[obj
     """
     keys, order = [*stream.key, "window_start", "window_end"], [_AT, *[f"__seq{i}" for i in range(len(stream.seq))]]
     rows = windows.assign(complete(stream, _delay(windows)), stream.ts)
-    rows = rows.select(*stream.key, F.col(f"{WINDOW}.start").alias("window_start"), F.col(f"{WINDOW}.end").alias("window_end"),
-                       *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT), F.col(stream.ts).alias("__time"))
+    # Bounds are keys as instants in microseconds: as times they would reach Python in the session's zone.
+    bounds = [F.unix_micros(F.col(f"{WINDOW}.{side}").cast("timestamp")).alias(f"window_{side}") for side in ("start", "end")]
+    rows = rows.select(*stream.key, *bounds, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT), F.col(stream.ts).alias("__time"))
     schema = T._parse_datatype_string(state_schema) if isinstance(state_schema, str) else state_schema
 
     def handle(key, frames, state: GroupState):
-        end = int(pd.Timestamp(key[-1]).timestamp() * 1000)
+        end = -(-int(key[-1]) // 1000)
         if state.hasTimedOut:
             (packed,) = state.get
             state.remove()
@@ -337,7 +338,8 @@ def window_fold(stream, windows, init: Callable[[], object], step: Callable[[obj
 
     out = _output(rows, keys, f"{_TEXT} string")
     folded = rows.groupBy(*keys).applyInPandasWithState(handle, out, "text string", "append", GroupStateTimeout.EventTimeTimeout)
-    return folded.select(*keys, _parsed(_TEXT, schema).alias("__s")).select(*keys, "__s.*")
+    times = [F.timestamp_micros(k).alias(k) for k in keys[-2:]]
+    return folded.select(*stream.key, *times, _parsed(_TEXT, schema).alias("__s")).select(*keys, "__s.*")
 
 
 def session_fold(stream, windows, init: Callable[[], object], step: Callable[[object, dict], object],
