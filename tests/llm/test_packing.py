@@ -10,14 +10,13 @@ from relstream.llm.packing import Words, encode, pack, sequences
 from relstream.llm.queries import tokenizer_path
 
 ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n\n", "\t x", "it's we'll I'd", "x y", "a  b", "é è́", "日本 語", "🙂 🙂🙂",
-       "<|endoftext|> a <|endoftext|>", "\0", "a\0b c", "1 23 4567", "a" * 500, "   lead", "trail   ", "a.b,c;d", "##$$ %%", "\x1c x \x1c", "a \x85b"]
+       "<|endoftext|> a <|endoftext|>", "<|endoftext|>", "a <|endoftext|> b", "<|endoftext", "\0", "a\0b c", "1 23 4567", "a" * 500, "   lead", "trail   ", "a.b,c;d", "##$$ %%", "\x1c x \x1c", "a \x85b"]
 
 
 @pytest.fixture(scope="module")
 def reference():
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
