@@ -68,7 +68,7 @@ def best_match(pattern: str, text: str) -> tuple[int, int]:
 class Matcher:
     """Finds items in normalised texts."""
 
-    def __init__(self, items: tuple[tuple[int, str], ...], rate: float):
+    def __init__(self, items: tuple[tuple[int, str], ...], rate: float = ERROR_RATE):
         import ahocorasick
         self.items = {k: (item_id, text, budget(text, rate)) for k, (item_id, text) in enumerate(items) if text}
         places: dict[str, list[tuple[int, int]]] = {}
@@ -82,7 +82,10 @@ class Matcher:
             self.automaton.make_automaton()
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
-        """item_id, begin, end and edits of matches in a normalised text; the best of each stretch of piece hits."""
+        """item_id, begin, end and edits of all matches in a normalised text; those of one item do not overlap.
+
+        An item too short for an edit is found as whole words only.
+        """
         starts: dict[int, set[int]] = {}
         if self.items and text:
             for end, (length, where) in self.automaton.iter(text):
@@ -91,20 +94,42 @@ class Matcher:
         found = []
         for k, guesses in starts.items():
             item_id, item, errors = self.items[k]
+            if not errors:
+                free = 0
+                for guess in sorted(guesses):
+                    end = guess + len(item)
+                    if guess >= free and text[guess - 1:guess] in ("", " ") and text[end:end + 1] in ("", " "):
+                        found.append((item_id, guess, end, 0))
+                        free = end
+                continue
             stretch: list[int] = []
             for guess in [*sorted(guesses), math.inf]:
                 if stretch and guess - stretch[-1] > len(item):
                     low = max(stretch[0] - errors, 0)
-                    window = text[low: stretch[-1] + len(item) + errors]
-                    edits, end = best_match(item, window)
-                    if edits <= errors:
-                        # The same search backwards from the end gives the beginning.
-                        _, back = best_match(item[::-1], window[:end][::-1])
-                        found.append((item_id, low + end - back, low + end, edits))
+                    found += self._within(text, low, stretch[-1] + len(item) + errors, stretch, *self.items[k])
                     stretch = []
                 stretch.append(guess)
         return sorted(found, key=lambda m: (m[1], m[2], m[0]))
 
+    @staticmethod
+    def _within(text: str, low: int, high: int, guesses: list[int], item_id: int, item: str, errors: int) -> list[tuple[int, int, int, int]]:
+        """The best match between two places, and those before and after it where pieces were hit too."""
+        found, todo = [], [(low, min(high, len(text)), guesses)]
+        while todo:
+            low, high, guesses = todo.pop()
+            if not guesses or high - low < len(item) - errors:
+                continue
+            edits, end = best_match(item, text[low:high])
+            if edits > errors:
+                continue
+            # The same search backwards from the end gives the beginning.
+            _, back = best_match(item[::-1], text[low:low + end][::-1])
+            begin, end = low + end - back, low + end
+            found.append((item_id, begin, end, edits))
+            todo.append((low, begin, [g for g in guesses if g + len(item) <= begin + errors]))
+            todo.append((end, high, [g for g in guesses if g >= end - errors]))
+        return found
+
 
 @lru_cache(maxsize=1)
 def _matcher(items: tuple[tuple[int, str], ...], rate: float) -> Matcher:
@@ -140,7 +165,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
     """`docs` with `matches`: an array of item_id, begin, end, edits. A column of that name is replaced.
 
     An item is found where some stretch of the document is at most one edit per twenty characters away from it, both
-    normalised; overlapping finds of one item count once. Items are dealt out by a hash to as many blocks as their size asks
+    normalised; all such stretches that do not overlap count, of items below 20 characters whole words only. Items are dealt out by a hash to as many blocks as their size asks
     for; each block is broadcast and meets every document, whole and in place: nothing is shuffled. Null and empty texts
     have no matches, null and empty items (or such without a word) match nothing, equal items are found each. An empty
     table on either side is no error.
@@ -162,7 +187,7 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
                 return *columns[:-1], [[*before, *spans(value, matcher)] for value, before in zip(columns[-2], columns[-1])]
             return apply
 
-        out = map_rows(out, each, schema)
+        out = map_rows(out, each, schema, _matcher.cache_clear)
     return out
 
 

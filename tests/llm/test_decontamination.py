@@ -86,3 +86,29 @@ def test_all_planted_items_of_the_test_table(spark, sf):
     planted = {(d["doc_id"], i) for d in docs.collect() for i, t in items if t in normal(d["text"])}
     got = {(r["doc_id"], m["item_id"]) for r in with_matches(docs, bench).collect() for m in r["matches"]}
     assert planted and planted <= got
+
+
+def test_short_items_are_whole_words_and_every_match_counts():
+    matcher = Matcher(((1, "no"), (2, "a"), (3, "short item"), (4, "this item is long enough for one edit")))
+    assert spans("I know nothing about a shortitem", matcher) == [{"item_id": 2, "begin": 21, "end": 22, "edits": 0}]
+    assert [(m["item_id"], m["begin"]) for m in spans("No, no! Short item; short item", matcher)] == [(1, 0), (1, 4), (3, 8), (3, 20)]
+    item = "this item is long enough for one edit"
+    text = f"{item}, {item.replace('long', 'lng')}. {item} and {item}"
+    found = spans(text, matcher)
+    assert [(text[m["begin"]:m["end"]], m["edits"]) for m in found] == [(item, 0), (item.replace("long", "lng"), 1), (item, 0), (item, 0)]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_all_matches_against_plain_search(seed):
+    """Exact copies, close together and apart: each is found, and nothing that overlaps it."""
+    rng = random.Random(seed)
+    items = tuple((k, sentence(rng, rng.randrange(1, 9))) for k in range(6))
+    text = " ".join(rng.choice([sentence(rng, rng.randrange(1, 4)), rng.choice(items)[1]]) for _ in range(40))
+    found = Matcher(items).find(text)
+    for k, item in items:
+        spans_ = sorted((a, b) for i, a, b, _ in found if i == k)
+        assert all(b <= c for (_, b), (c, _) in zip(spans_, spans_[1:]))
+        at = f" {text} ".find(f" {item} ")
+        while at >= 0:
+            assert any(a < at + len(item) and b > at for a, b in spans_), (item, at)
+            at = f" {text} ".find(f" {item} ", at + 1)
