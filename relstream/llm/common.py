@@ -27,11 +27,11 @@ def stored(df: DataFrame, purpose: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, each: Callable[[int], Callable[..., list]], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, each: Callable[[int], Callable[..., list]], schema: str, done: Callable[[], None] | None = None) -> DataFrame:
     """Applies a function to Arrow columns, a few hundred rows at a time.
 
     `each(partition)` is called once per task and returns the function from lists, one per column of `df`, to lists, one
-    per column of `schema`.
+    per column of `schema`. `done` is called when the task ends: workers live on, and what they remember would add up.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -39,12 +39,16 @@ def map_rows(df: DataFrame, each: Callable[[int], Callable[..., list]], schema:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = each(TaskContext.get().partitionId())
-        for batch in batches:
-            for begin in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(begin, _ROWS)
-                columns = apply(*[column.to_pylist() for column in part.columns])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, field.type) for values, field in zip(columns, target)], schema=target)
+        try:
+            for batch in batches:
+                for begin in range(0, batch.num_rows, _ROWS):
+                    part = batch.slice(begin, _ROWS)
+                    columns = apply(*[column.to_pylist() for column in part.columns])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(values, field.type) for values, field in zip(columns, target)], schema=target)
+        finally:
+            if done:
+                done()
 
     return df.mapInArrow(run, schema)
 

@@ -41,7 +41,7 @@ SIMILAR = 75
 #: Representatives in a block.
 BLOCK = 192
 _BITS = 1 << 26
-_REMEMBERED = 500_000
+_REMEMBERED = 150_000
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -61,6 +61,10 @@ def _word_hashes() -> _WordHashes:
     return _WordHashes()
 
 
+def _forget() -> None:
+    _word_hashes.cache_clear()
+
+
 @lru_cache(maxsize=1)
 def _hashes() -> tuple[np.ndarray, np.ndarray]:
     """An odd multiplier and an addend per coordinate."""
@@ -120,7 +124,7 @@ def signed(docs: DataFrame, text: str = "text") -> DataFrame:
         return apply
 
     return map_rows(docs.select("doc_id", text), each,
-                    f"doc_id {kind}, n_shingles bigint, d1 bigint, d2 bigint, signature binary")
+                    f"doc_id {kind}, n_shingles bigint, d1 bigint, d2 bigint, signature binary", _forget)
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -222,7 +226,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             return ids, [d[0] for d in digests], [d[1] for d in digests], [found.astype("<u8").tobytes() for found in sets]
         return apply
 
-    found = map_rows(likely.where("__maybe").select("rep", "text"), each, "rep bigint, d1 bigint, d2 bigint, hashes binary")
+    found = map_rows(likely.where("__maybe").select("rep", "text"), each, "rep bigint, d1 bigint, d2 bigint, hashes binary", _forget)
     return wanted.join(found, ["rep", "d1", "d2"]).dropDuplicates(["rep", "d1", "d2"])
 
 

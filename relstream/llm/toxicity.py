@@ -190,7 +190,7 @@ def learn_lexicon(toxic: list[str], clean: list[str], least: int = 3, most: int
     for text in toxic:
         tokens = _TOKEN.findall(text.lower())
         for before, w in zip(tokens, tokens[1:]):
-            if before != w and w in places:
+            if before != w and w in places and len(places[w]) < least:
                 places[w].add(before)
 
     def odds(a: float, b: float) -> float:
