@@ -43,8 +43,16 @@ _AROUND_WHOLE = set("""
     paywall login signup adv promotion promoted nav navigation menu pager header footer legal sidebar aside widget widgets rail related recommended
     recommendations trending popular more-stories notice notices alert modal overlay dialog subscribe subscription search share
     sharing social follow tags comment comments respond reply replies discussion skip hidden print-only complementary form""".split())
-#: What a path's ratio is multiplied with if an element on it has such a word as a part of a name.
+#: Of these, words that as a part of a name say how an element looks or is laid out: they only lower a path's ratio.
+_LAYOUT = set("header hidden legal form skip alert modal overlay dialog adv login print-only complementary".split())
+#: Words for what readers write. Comments can be longer than the article: they hold a page's text only if hardly any is elsewhere.
+_READERS = set("comment comments respond reply replies discussion".split())
+#: Shares of a page's text that keep elements with an ambiguous name: of any word, and of a word for readers' text.
+_MOST, _NEARLY_ALL = 0.5, 0.9
+#: What a path's ratio is multiplied with if an element on it has an ambiguous name and stays.
 _DOUBTED = 0.3
+#: Inside an article, the ends of paths whose blocks are short by nature.
+_SHORT = set("h1 h2 h3 h4 h5 h6 hgroup li dt dd td th tr caption figcaption summary p pre blockquote".split())
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)/?>|<[!?][^>]*>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _NAMES = re.compile(r"[a-z]+|[0-9]+")
@@ -52,37 +60,86 @@ _PUNCTUATION = re.compile(r"[.,;:!?¿¡…。，、；：！？]")
 
 
 class Block(NamedTuple):
-    path: tuple[str, ...]
+    path: int
     text: str
     linked: int
-    doubted: bool = False
 
 
-def _is_around(tag: str, attributes: str, in_article: bool) -> str:
-    """Whether an element stands around the article: "never" text by its name or state, "surely" or "named" so by its class, id or
-    role, "doubted" if they only hold an ambiguous word, or ""."""
+class Paths:
+    """A page's root-to-leaf paths as a tree: 0 is the root, and a path's number is greater than that of the path above."""
+
+    def __init__(self) -> None:
+        self.parents, self.tags, self.depths = [0], [""], [0]
+        self.articles = [0]  # the deepest path to an article or main element on the way, or 0
+        self._known: dict[tuple[int, str], int] = {}
+
+    def below(self, path: int, tag: str) -> int:
+        found = self._known.setdefault((path, tag), len(self.tags))
+        if found == len(self.tags):
+            self.parents.append(path)
+            self.tags.append(tag)
+            self.depths.append(self.depths[path] + 1)
+            self.articles.append(found if tag in ("article", "main") else self.articles[path])
+        return found
+
+    def sums(self, own: dict[int, float]) -> list[float]:
+        """Each path's sum over itself and all paths below it."""
+        total = [own.get(path, 0.0) for path in range(len(self.tags))]
+        for path in range(len(total) - 1, 0, -1):
+            total[self.parents[path]] += total[path]
+        return total
+
+
+class Mark(NamedTuple):
+    """An element named as surrounding: the mark it stands in, the word that names it, how (surely, named or partly), and the
+    words of the marks around it."""
+    above: int
+    word: str
+    how: str
+    around: frozenset[str]
+
+
+class Open(NamedTuple):
+    """An open element: whether its text counts, whether it is doubted, its mark, and the mark its innermost article stands in (-1: none)."""
+    tag: str
+    path: int
+    counts: bool
+    doubted: bool
+    mark: int
+    article_in: int
+
+
+_PAGE = Open("", 0, True, False, 0, -1)
+
+
+def _is_around(tag: str, attributes: str, in_article: bool) -> tuple[str, str]:
+    """Whether an element stands around the article, and the word that says so: "never" text by its name or state, "surely" or "named"
+    so by its class, id or role, "partly" if an ambiguous word is a part of a name, "doubted" if one for layouts is, or ""."""
     if tag in _NOT_TEXT or tag == "header" and not in_article:
-        return "never"
+        return "never", tag
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return ""
+        return "", ""
     bare = _ATTRIBUTE.sub(" ", attributes).lower().split()
     if "hidden" in bare:
-        return "never"
-    said = ""
+        return "never", "hidden"
+    said: dict[str, str] = {}
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id", "role") and tag not in ("html", "body", "article", "main"):
             for token in value.split():
                 parts = _NAMES.findall(token)
                 if token in _AROUND:
-                    said = "surely"
-                elif token in _AROUND_WHOLE or any(part in _AROUND for part in parts):
-                    said = said if said == "surely" else "named"
-                elif not said and any(part in _AROUND_WHOLE and part != "header" for part in parts):
-                    said = "doubted"
+                    said["surely"] = token
+                elif token in _AROUND_WHOLE:
+                    said["named"] = token
+                for part in parts:
+                    if part in _AROUND:
+                        said.setdefault("named", part)
+                    elif part in _AROUND_WHOLE and part != "header":
+                        said.setdefault("doubted" if part in _LAYOUT else "partly", part)
         elif name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return "never"
-    return said
+            return "never", name
+    return next(((how, said[how]) for how in ("surely", "named", "partly", "doubted") if how in said), ("", ""))
 
 
 def _closes_itself(tag: str, attributes: str) -> bool:
@@ -90,64 +147,87 @@ def _closes_itself(tag: str, attributes: str) -> bool:
     return attributes.endswith("/") and (tag in ("svg", "math") or re.search(r"=\s*[^\s\"'>]+/$", attributes) is None)
 
 
-def blocks(page: str) -> Iterator[Block]:
-    """Text blocks with their root-to-leaf path of block elements, without what is never main text.
+def blocks(page: str, paths: Paths) -> Iterator[Block]:
+    """Text blocks with their path of block elements in `paths`, without what is never main text.
 
     An element that its class, id or role names as surrounding stays, doubted, if it holds the only article or main
-    elements or, unless the name is not ambiguous (a whole word like ad), most of the page's text.
+    elements or, unless the name is not ambiguous (a whole word like ad), most of the page's text. Where the word is a part
+    of a name, all elements with this word are taken together: they may be a layout that the text is cut into.
     """
-    found = list(_marked(page))
-    sizes: dict[int, int] = {}
-    articles: dict[int, int] = {}
+    marks = [Mark(0, "", "", frozenset())]
+    found = list(_marked(page, paths, marks))
+    sizes, articles = [0] * len(marks), [0] * len(marks)
     total = total_articles = 0
-    for block, marks in found:
+    for block, innermost in found:
         size = max(0, len(block.text) - block.linked)
-        article = size if "article" in block.path or "main" in block.path else 0
-        total, total_articles = total + size, total_articles + article
-        for mark, holds, _ in marks:
-            sizes[mark] = sizes.get(mark, 0) + size
-            articles[mark] = articles.get(mark, 0) + (article if any(n in ("article", "main") for n in block.path[holds:]) else 0)
-    for block, marks in found:
-        if all(not sure and 2 * sizes[mark] > total or 0 < articles[mark] == total_articles for mark, _, sure in marks):
-            yield block._replace(doubted=True) if marks else block
-
-
-def _marked(page: str) -> Iterator[tuple[Block, tuple[tuple[int, int, bool], ...]]]:
-    """Text blocks, each with the elements named as surrounding that it is in (their number, the depth below them, whether
-    the name is not ambiguous).
+        total += size
+        sizes[innermost.mark] += size
+        if innermost.article_in >= 0:
+            total_articles += size
+            articles[innermost.article_in] += size
+    for k in range(len(marks) - 1, 0, -1):
+        sizes[marks[k].above] += sizes[k]
+        articles[marks[k].above] += articles[k]
+    by_word: dict[str, int] = {}
+    for mark, size in zip(marks, sizes):
+        if mark.word not in mark.around:
+            by_word[mark.word] = by_word.get(mark.word, 0) + size
+    stays = [True]
+    for k, mark in enumerate(marks[1:], 1):
+        least = total * (_NEARLY_ALL if mark.word in _READERS else _MOST)
+        holds_text = mark.how != "surely" and (by_word[mark.word] if mark.how == "partly" else sizes[k]) > least
+        stays.append(stays[mark.above] and (holds_text or 0 < articles[k] == total_articles))
+    for block, innermost in found:
+        if stays[innermost.mark]:
+            yield block._replace(path=paths.below(block.path, "doubted")) if innermost.mark or innermost.doubted else block
+
+
+def _marked(page: str, paths: Paths, marks: list[Mark]) -> Iterator[tuple[Block, Open]]:
+    """Text blocks, each with the innermost element it stands in; elements named as surrounding are added to `marks`.
 
     Markup may be broken: elements that HTML ends by itself are ended, unmatched end tags are skipped, and a page may stop
-    anywhere. Inline elements and line breaks are part of their block.
+    anywhere. Inline elements and line breaks are part of their block. Work grows with the page, however deep it is:
+    what is open is also known by its name.
     """
-    open_: list[tuple[str, bool, bool, tuple]] = []  # element, whether its text counts, is doubted, named elements around it
+    open_: list[Open] = []
+    places: dict[str, list[int]] = {}  # where elements of a name are open
+    endless: set[str] = set()  # names without another end tag
     pieces: list[str] = []
     linked = links = 0
-    at = number = 0
+    at = 0
 
-    def flush() -> Iterator[tuple[Block, tuple]]:
+    def flush() -> Iterator[tuple[Block, Open]]:
         nonlocal linked
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                doubted, marks = open_[-1][2:] if open_ else (False, ())
-                yield Block(tuple(row[0] for row in open_), text, min(linked, len(text)), doubted), marks
+                innermost = open_[-1] if open_ else _PAGE
+                yield Block(innermost.path, text, min(linked, len(text))), innermost
         pieces.clear()
         linked = 0
 
+    def deepest(names: set[str]) -> int:
+        return max((places[name][-1] for name in names if places.get(name)), default=-1)
+
     def close(names: set[str], within: set[str]) -> None:
-        for depth in range(len(open_) - 1, -1, -1):
-            if open_[depth][0] in names:
-                del open_[depth:]
-                return
-            if open_[depth][0] in within:
-                return
+        depth = deepest(names)
+        if depth > deepest(within):
+            while len(open_) > depth:
+                places[open_.pop().tag].pop()
 
     def text_of(piece: str) -> None:
         nonlocal linked
-        if piece and (not open_ or open_[-1][1]):
+        if piece and (not open_ or open_[-1].counts):
             pieces.append(piece)
             linked += len(piece) if links else 0
 
+    def end_of(tag: str) -> int | None:
+        """Where the next end tag of this name ends."""
+        stop = None if tag in endless else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+        if not stop:
+            endless.add(tag)
+        return stop.end() if stop else None
+
     while found := _TAG.search(page, at):
         text_of(page[at:found.start()])
         at = found.end()
@@ -158,16 +238,14 @@ def _marked(page: str) -> Iterator[tuple[Block, tuple[tuple[int, int, bool], ...
         if tag in _RAW and not ends and _closes_itself(tag, attributes):
             continue
         if tag in _RAW and not ends:
-            stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else len(page)
+            at = end_of(tag) or len(page)
         elif tag == "a":
             links = 0 if ends else 1
         elif tag == "br":
             text_of("\n")
         elif ends and tag in _STOPS:
             yield from flush()
-            if any(row[0] == tag for row in open_):
-                close({tag}, set())
+            close({tag}, set())
             links = 0
         elif not ends and tag in _STARTS:
             yield from flush()
@@ -176,69 +254,74 @@ def _marked(page: str) -> Iterator[tuple[Block, tuple[tuple[int, int, bool], ...
             if tag in _ENDS:
                 close(*_ENDS[tag])
             if tag not in _VOID:
-                counts, doubted, marks = open_[-1][1:] if open_ else (True, False, ())
-                said = _is_around(tag, attributes, any(row[0] in ("article", "main") for row in open_))
-                if said in ("surely", "named"):
-                    number += 1
-                    marks = (*marks, (number, len(open_) + 1, said == "surely"))
-                open_.append((tag, counts and said != "never", doubted or said == "doubted", marks))
-        elif not ends and tag not in _VOID and attributes and _is_around(tag, attributes, True) in ("never", "surely", "named"):
-            stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)  # an inline element that is not main text
-            at = stop.end() if stop else at
+                above = open_[-1] if open_ else _PAGE
+                how, word = _is_around(tag, attributes, above.article_in >= 0)
+                mark = above.mark
+                if how in ("surely", "named", "partly"):
+                    outer = marks[mark]
+                    marks.append(Mark(mark, word, how, outer.around | {outer.word}))
+                    mark = len(marks) - 1
+                places.setdefault(tag, []).append(len(open_))
+                open_.append(Open(tag, paths.below(above.path, tag), above.counts and how != "never", above.doubted or how == "doubted", mark,
+                                  mark if tag in ("article", "main") else above.article_in))
+        elif not ends and tag not in _VOID and attributes and _is_around(tag, attributes, True)[0] in ("never", "surely", "named"):
+            at = end_of(tag) or at  # an inline element that is not main text
     text_of(page[at:])
     yield from flush()
 
 
-def select(found: list[Block], share: float = 0.1) -> list[str]:
+def select(found: list[Block], paths: Paths, share: float = 0.1) -> list[str]:
     """The main text's blocks, in page order.
 
     1. Per path: text length, punctuation and nodes of all its blocks, less the text of links. Text per node times one
        plus the logarithm of punctuation per node is the path's ratio.
-    2. Smoothing: a path's ratio is averaged with those of the paths that share its beginning, each by its length and by
-       the square of the share of steps they have in common. Headings so gain from the paragraphs beside them.
+    2. Smoothing: a path's ratio is averaged with those of all paths, each by its length and by the square of the share of
+       this path's steps that they have in common. Headings so gain from the paragraphs beside them. A square is the
+       sum of the odd numbers up to it, so each path adds up what lies below its steps: one walk up the tree, one down.
     3. Fusing: the smoothed ratio and the path's own are multiplied and rooted; a path of links alone has none.
     4. Paths reach the text if they have `share` of the best fused ratio. If article or main elements hold the best path and
-       half of the text that does, the paths outside of them do not count, and short blocks inside (headings, list items)
-       stay. Otherwise ratios alone decide.
+       half of the text that does, the paths outside of them do not count, and blocks inside that are short by nature
+       (headings, list items, cells) stay unless they are links; plain boxes inside need the ratio. Otherwise ratios alone decide.
     """
     if not found:
         return []
-    paths: dict[tuple[str, ...], list[float]] = {}
-    found = [block._replace(path=(*block.path, "doubted")) if block.doubted else block for block in found]
+    rows: dict[int, list[int]] = {}
     for block in found:
-        row = paths.setdefault(block.path, [0, 0, 0, 0])
+        row = rows.setdefault(block.path, [0, 0, 0, 0])
         row[0] += len(block.text)
         row[1] += len(_PUNCTUATION.findall(block.text))
         row[2] += 1
         row[3] += block.linked
-    own = {path: max(0.0, n - 2 * linked) / nodes * (1 + math.log1p(marks / nodes)) for path, (n, marks, nodes, linked) in paths.items()}
-
-    def alike(a: tuple[str, ...], b: tuple[str, ...]) -> float:
-        same = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-        return (same / max(len(a), len(b), 1)) ** 2 if a != b else 1.0
-
-    smoothed = {}
-    for path in paths:
-        weights = [(alike(path, other) * row[0], own[other]) for other, row in paths.items()]
-        total = sum(w for w, _ in weights)
-        smoothed[path] = sum(w * ratio for w, ratio in weights) / total if total else 0.0
-    fused = {path: math.sqrt(smoothed[path] * own[path]) * (_DOUBTED if path[-1:] == ("doubted",) else 1) for path in paths}
+    own = {path: max(0.0, n - 2 * linked) / nodes * (1 + math.log1p(marks / nodes)) for path, (n, marks, nodes, linked) in rows.items()}
+    weighed = paths.sums({path: row[0] * own[path] for path, row in rows.items()})
+    lengths = paths.sums({path: row[0] for path, row in rows.items()})
+    for path in range(1, len(weighed)):
+        odd, above = 2 * paths.depths[path] - 1, paths.parents[path]
+        weighed[path] = odd * weighed[path] + (weighed[above] if above else 0)
+        lengths[path] = odd * lengths[path] + (lengths[above] if above else 0)
+    fused = {path: math.sqrt(weighed[path] / lengths[path] * own[path]) * (_DOUBTED if paths.tags[path] == "doubted" else 1) for path in rows}
     best = max(fused.values())
     kept = {path for path, ratio in fused.items() if ratio and ratio >= share * best}
-    inside = {path for path in kept if "article" in path or "main" in path}
-    held = sum(paths[path][0] for path in inside)
-    if 2 * held < sum(paths[path][0] for path in kept) or not any(fused[path] == best for path in inside):
+    inside = {path for path in kept if paths.articles[path]}
+    held = sum(rows[path][0] for path in inside)
+    if 2 * held < sum(rows[path][0] for path in kept) or not any(fused[path] == best for path in inside):
         inside = set()  # teasers or comments beside the text
-    roots = {path[: 1 + max(k for k, name in enumerate(path) if name in ("article", "main"))] for path in inside}
+    roots = {paths.articles[path] for path in inside}
     if roots:
-        # Inside the article only blocks of links are left out.
-        kept = {path for path, (n, _, _, linked) in paths.items()
-                if any(path[: len(root)] == root for root in roots) and 2 * linked <= n}
+        within = [False]
+        for path in range(1, len(paths.tags)):
+            within.append(within[paths.parents[path]] or path in roots)
+        end = {path: paths.tags[paths.parents[path] if paths.tags[path] == "doubted" else path] for path in rows}
+        kept = {path for path, (n, _, _, linked) in rows.items()
+                if within[path] and 2 * linked <= n and (path in kept or end[path] in _SHORT)}
     return [block.text for block in found if block.path in kept]
 
 
 def main_text(page: str | None) -> str:
-    return "\n\n".join(select(list(blocks(page)))) if page else ""
+    if not page:
+        return ""
+    paths = Paths()
+    return "\n\n".join(select(list(blocks(page, paths)), paths))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from relstream.llm.tagpaths import blocks, extract, main_text
+from relstream.llm.tagpaths import Paths, blocks, extract, main_text
 
 PARAGRAPH = "A paragraph of some length, with commas, and a full stop. It goes on, and on."
 
@@ -67,7 +67,7 @@ def test_any_markup_is_survived(parts):
 def test_a_very_long_page():
     page = "<article>" + f"<p>{PARAGRAPH}" * 20_000
     assert main_text(page).count("\n\n") == 19_999
-    assert len(list(blocks("<div>" * 3_000 + "x"))) == 1
+    assert len(list(blocks("<div>" * 3_000 + "x", Paths()))) == 1
 
 
 def test_table_with_clashing_columns_and_repeats(spark, sf):
