@@ -275,6 +275,25 @@ def fold_error_quarantine(spark, folder):
     return with_failures(folded.df, folded.quarantine())
 
 
+def joined_counts(a, b):
+    return {"n": a["n"] + b["n"], "total": a["total"] + b["total"]}
+
+
+@query("aggregate_merge_any", FOLD_ERRORS)
+def aggregate_merge_any(spark, folder):
+    """Partial states of each task are merged; what a step fails on is counted from the quarantine."""
+    made = events(spark, folder).group_by_key().aggregate_any(lambda: {"n": 0, "total": 0}, picky, joined_counts, "n long, total long")
+    return with_failures(made.df, made.quarantine())
+
+
+@query("hopping_merge_any", f"""
+    SELECT user_id, window_start, window_end, count(*) AS n, {TOTAL} AS total FROM ({HOPPED}) GROUP BY ALL""")
+def hopping_merge_any(spark, folder):
+    add = lambda state, value: {"n": state["n"] + 1, "total": state["total"] + value["cents"]}
+    windowed = events(spark, folder).windowed_by_key(hopping(DAY, SIX_HOURS))
+    return windowed.aggregate_any(lambda: {"n": 0, "total": 0}, add, joined_counts, "n long, total long").df
+
+
 @query("reduce_error_quarantine", REDUCE_ERRORS)
 def reduce_error_quarantine(spark, folder):
     reduced = events(spark, folder).group_by_key().reduce_any(larger)

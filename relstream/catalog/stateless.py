@@ -143,6 +143,28 @@ def flat_map(spark, folder):
     return events(spark, folder).flat_map(records, ["topic"], ["cents"]).rows()
 
 
+def coins(record):
+    """One record per kind of coin that the cents are paid in; some amounts fail on the way."""
+    rest = record["cents"]
+    for coin in (50, 20, 1):
+        yield {"coin": coin, "number": rest // coin, "kind": record["event_type"]}
+        if rest % 97 == 0:
+            raise ValueError("cents")
+        rest %= coin
+
+
+COINS = f"""
+    SELECT coin, CAST(CASE coin WHEN 50 THEN cents // 50 WHEN 20 THEN cents % 50 // 20 ELSE cents % 50 % 20 END AS BIGINT) AS number,
+           event_type AS kind, ts, event_id
+    FROM ({EVENTS}), (VALUES (50), (20), (1)) AS c(coin)
+    WHERE cents % 97 <> 0 AND cents % 50 % 97 <> 0 AND cents % 50 % 20 % 97 <> 0"""
+
+
+@query("flat_map_udtf", COINS)
+def flat_map_udtf(spark, folder):
+    return events(spark, folder).flat_map_any(coins, "coin int", "number long, kind string").rows()
+
+
 @query("flat_map_values", """
     SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
     WHERE word <> '' GROUP BY word""")
@@ -213,6 +235,15 @@ def flat_map_error(spark, folder):
     return _kept_and_rejected(users(spark, folder).to_stream().flat_map_values("amount", amounts), "amount")
 
 
+@query("flat_map_udtf_error", f"""
+    SELECT 'ok' AS part, number, event_id FROM ({COINS})
+    UNION ALL
+    SELECT 'flat_map_any', NULL, event_id FROM ({EVENTS})
+    WHERE cents % 97 = 0 OR cents % 50 % 97 = 0 OR cents % 50 % 20 % 97 = 0""")
+def flat_map_udtf_error(spark, folder):
+    return _kept_and_rejected(events(spark, folder).flat_map_any(coins, "coin int", "number long, kind string"), "number")
+
+
 # -- flow ----------------------------------------------------------------------------------------
 
 @query("branch", f"""

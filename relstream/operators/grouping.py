@@ -17,7 +17,7 @@ from relstream.operators.sessions import END, START, aggregate_sessions, fold_se
 from relstream.operators.tables import OP
 from relstream.operators.windows import WINDOW, SessionWindows, TimeWindows, UnlimitedWindows
 from relstream.plans.ordered import merge_runs, ordered_fold
-from relstream.plans.sequential import ERROR, FAILED, sequential_fold
+from relstream.plans.sequential import ERROR, FAILED, partial_fold, sequential_fold
 from relstream.sources.topics import JSON_TIMES
 
 
@@ -150,15 +150,31 @@ class GroupedRecords(_Grouped):
         schema = T.StructType([self.stream.df.schema[v] for v in self.stream.value])
         return self._sequential("reduce_any", None, combine, schema)
 
+    def aggregate_any(self, init: Callable[[], dict], step: Callable[[dict, dict], dict | None],
+                      merge: Callable[[dict, dict], dict | None], state_schema: T.StructType | str):
+        """Python aggregate that does not depend on order: `step(state, value)` makes partial states before the shuffle,
+        `merge(state, state)` joins them (batch).
+
+        One row per group and task is shuffled, so a key in a third of all records is no large group. A step or a merge that
+        raises leaves the state alone; its record, or the state that could not be merged, goes to the quarantine. None deletes
+        the group's state for now.
+        """
+        fold = lambda rows, group: partial_fold(rows, group, self.stream.order, self.stream.value, init, step, merge, state_schema)
+        return self._folded("aggregate_any", fold, "on a stream this is streaming.keyed.fold")
+
     def _sequential(self, operator: str, init: Callable | None, step: Callable, state_schema: T.StructType | str):
+        fold = lambda rows, group: sequential_fold(rows, group, self.stream.order, self.stream.value, init, step, state_schema)
+        return self._folded(operator, fold, "on a stream this is streaming.keyed.fold, streaming.running.fold or reduce_records")
+
+    def _folded(self, operator: str, fold: Callable[[DataFrame, list[str]], DataFrame], instead: str):
         rows = self._rows()
         if rows.isStreaming:
-            raise ValueError("on a stream this is streaming.keyed.fold, streaming.running.fold or reduce_records")
+            raise ValueError(instead)
         group = list(self.stream.key)
         if self.windows is not None:
             rows = self.windows.assign(rows, self.stream.ts)
             group.append(WINDOW)
-        tagged = sequential_fold(rows, group, self.stream.order, self.stream.value, init, step, state_schema)
+        tagged = fold(rows, group)
         folded = tagged.where(F.col(ERROR).isNull()).drop(ERROR, FAILED)
         table = self._table(folded, ()) if self.windows is None else self._flat(folded)
         return table.with_(rejects=(*table.rejects, self._refused(operator, tagged.where(F.col(ERROR).isNotNull()))))

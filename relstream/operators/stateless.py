@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from relstream.functions.predicates import all_of, strict
+from relstream.functions.safe import safe_udf
 from relstream.functions.times import above_watermark
 
 _VALID = "__valid"
@@ -110,6 +112,25 @@ class StreamMapOps:
         df = rows.select(*self.key, F.explode(values).alias(name), *self.order)
         return self.with_(df=df, value=(name,), rejects=rejects)
 
+    def flat_map_any(self, records: Callable[[dict], Iterable[dict]], key: str, value: str):
+        """Each record, as a dict, becomes the dicts that a Python function gives or yields, in batches of Arrow columns.
+
+        `key` and `value` are the DDL schemas of the results; a field that is not given is null. A call that raises, also
+        after it has yielded some, gives no records: its input goes to `quarantine()` with the error. So do results
+        that the schema cannot hold. Prefer `flat_map` where a `Column` can say the same.
+        """
+        keys, values = (T._parse_datatype_string(schema) for schema in (key, value))
+        names, fields = list(self.columns), T.StructType([*keys, *values])
+        made = safe_udf(lambda *row: list(records(dict(zip(names, row)))), T.ArrayType(fields))(*names)
+        rows = self.rows().withColumn("__out", made)
+        failed = F.col("__out.error").isNotNull()
+        df = (
+            rows.where(~failed).select(F.explode("__out.value").alias("__r"), *self.order)
+            .select(*[F.col("__r")[n].alias(n) for n in fields.names], *self.order)
+        )
+        rejected = self.reject("flat_map_any", rows.where(failed), F.col("__out.error"))
+        return self.with_(df=df, key=tuple(keys.names), value=tuple(values.names), rejects=(*self.rejects, rejected))
+
     def _expandable(self, operator: str, array: Column):
         failed = self.rows().where(array.isNull())
         return self.rows(), (*self.rejects, self.reject(operator, failed, f"{operator} failed"))

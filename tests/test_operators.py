@@ -375,3 +375,61 @@ def test_old_scratch_is_cleared_and_new_scratch_stays(spark, tmp_path, monkeypat
     written(spark.range(3), "numbers")
     clear = scratch.clear_scratch
     assert clear(spark) == 0 and clear(spark, timedelta(seconds=-60)) == 1 and clear(spark) == 0
+
+
+# -- Python functions: many records of one, and aggregates in partial states ---------------------------
+
+def test_flat_map_any_is_all_or_nothing_per_record(spark):
+    def letters(record):
+        for k in range(record["value"]):
+            yield {"letter": record["key"], "k": k}
+            if record["value"] == 3:
+                raise ValueError("three")
+
+    flow = numbers(spark, [("a", 2, 0), ("b", 0, 1), ("c", 3, 2), ("d", None, 3), (None, 1, 4)])
+    made = flow.flat_map_any(letters, "letter string", "k int, absent double")
+    assert shown(made.df, "letter", "k", "absent") == [("a", 0, None), ("a", 1, None), (None, 0, None)]
+    bad = {r["key"]: r["error"] for r in made.quarantine().where("operator = 'flat_map_any'").collect()}
+    assert bad['{"key":"c"}'] == "ValueError: three" and bad['{"key":"d"}'].startswith("TypeError") and len(bad) == 2
+    wrong = flow.flat_map_any(lambda record: [{"k": "not a number"}], "letter string", "k int")
+    assert wrong.df.collect() == [] and wrong.quarantine().count() == 5
+    assert numbers(spark, []).flat_map_any(letters, "letter string", "k int").df.collect() == []
+
+
+@pytest.mark.parametrize("held", [1, 3, 1000])
+def test_partial_states_are_merged_whatever_a_task_holds(spark, held):
+    from relstream.plans.sequential import ERROR, partial_fold
+
+    def add(state, given):
+        if given["value"] % 10 == 7:
+            raise ValueError("seven")
+        return {"n": state["n"] + 1, "top": max(state["top"], given["value"])}
+
+    def both(a, b):
+        return {"n": a["n"] + b["n"], "top": max(a["top"], b["top"])}
+
+    rows = spark.range(3000).selectExpr("IF(id % 3 = 0, 'hot', CAST(id % 13 AS STRING)) AS key", "id AS value", "id AS seq").repartition(5)
+    found = partial_fold(rows, ["key"], ["seq"], ["value"], lambda: {"n": 0, "top": -1}, add, both, "n long, top long", held)
+    expected: dict = {}
+    for k in range(3000):
+        if k % 10 != 7:
+            key = "hot" if k % 3 == 0 else str(k % 13)
+            n, top = expected.get(key, (0, -1))
+            expected[key] = (n + 1, max(top, k))
+    assert {r["key"]: (r["n"], r["top"]) for r in found.where(F.col(ERROR).isNull()).collect()} == expected
+    assert found.where(F.col(ERROR) == "ValueError: seven").count() == 300
+
+
+def test_aggregate_any_keeps_what_a_merge_fails_on(spark):
+    def refuse(a, b):
+        raise ValueError("no merge")
+
+    flow = numbers(spark, [("a", k, k) for k in range(8)] + [("b", 1, 9)])
+    spread = flow.with_(df=flow.df.repartition(4, "seq"))
+    made = spread.group_by_key().aggregate_any(lambda: {"n": 0}, lambda s, v: {"n": s["n"] + 1}, refuse, "n long")
+    kept, bad = dict(shown(made.df, "key", "n")), made.quarantine().where("operator = 'aggregate_any'").collect()
+    assert set(kept) == {"a", "b"} and kept["b"] == 1 and bad and all(r["error"] == "ValueError: no merge" for r in bad)
+    empty = numbers(spark, []).group_by_key().aggregate_any(lambda: {"n": 0}, lambda s, v: None, refuse, "n long")
+    assert empty.df.collect() == []
+    gone = flow.group_by_key().aggregate_any(lambda: {"n": 0}, lambda s, v: None, refuse, "n long")
+    assert gone.df.collect() == []
