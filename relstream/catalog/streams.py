@@ -12,7 +12,7 @@ from relstream.catalog.registry import EVENTS, QUERIES, events, query
 from relstream.functions import mergeable as M
 from relstream.plans.scratch import scratch_path
 from relstream.sources.topics import read_json_records
-from relstream.streaming import keyed, running
+from relstream.streaming import keyed, running, windowed
 from relstream.catalog.replay import appended, replay, updated
 
 DAY, SIX_HOURS, HALF_HOUR = timedelta(days=1), timedelta(hours=6), timedelta(minutes=30)
@@ -376,3 +376,58 @@ def stream_fold_error_quarantine(spark, folder):
 def stream_reduce_error_quarantine(spark, folder):
     reduced = running.reduce_records(replay(events(spark, folder), flush=False), aggregates.larger)
     return _with_stream_failures(reduced, spark, "user_id", "cents")
+
+
+@twin("stream_state_view", "table_latest")
+def stream_state_view(spark, folder):
+    """The live rows of a running table out of its query's state; nothing is written."""
+    table, checkpoint = users(spark, folder), scratch_path(spark, "checkpoint")
+    holding = table.keep_state(checkpoint)
+    holding.processAllAvailable()
+    holding.stop()
+    return local_time(table.state_view(checkpoint, spark=spark).rows())
+
+
+@twin("stream_compacted_snapshot", "table_latest")
+def stream_compacted_snapshot(spark, folder):
+    """The state of a running table in files, with a new base after every second micro-batch."""
+    table = UpsertTable.of(replay(events(spark, folder), slices=5, flush=False), deleted=F.col("event_type") == "error")
+    topic = TopicSpec(scratch_path(spark, "state"), table.rows().schema)
+    keeping = table.save_snapshot(topic, compact_every=2)
+    keeping.processAllAvailable()
+    keeping.stop()
+    return local_time(table.read_state(topic, spark).rows())
+
+
+@query("stream_late_quarantine", f"""
+    WITH counted AS (SELECT *, {aggregates.TUMBLING} FROM ({EVENTS})),
+    edge AS (SELECT max(ts) - INTERVAL 10 DAY AS watermark FROM events WHERE event_type <> 'error')
+    SELECT event_type AS kind, window_start, count(*) FILTER (event_type <> 'error' OR window_end > watermark) AS count,
+           count(*) FILTER (event_type = 'error' AND window_end <= watermark) AS late
+    FROM counted, edge GROUP BY ALL""")
+def stream_late_quarantine(spark, folder):
+    """Errors arrive after everything else; those whose day is out are in the quarantine, and no event is lost."""
+    given = events(spark, folder)
+    replayed = replay(given.filter(F.col("event_type") != "error"), late=given.rows().where("event_type = 'error'"))
+    stream = RecordStream(replayed.df.withColumnRenamed("event_type", "kind"), "kind", "cents", "ts", "event_id")
+    folded = windowed.window_fold(stream, tumbling(DAY, timedelta(days=10)), lambda: {"n": 0}, lambda s, v: {"n": s["n"] + 1}, "n long")
+    kept = appended(folded.rows(), spark).select("kind", "window_start", F.col("n").alias("count"), F.lit(0).cast("long").alias("late"))
+    day = F.window("ts", "1 day")["start"].alias("window_start")
+    refused = appended(folded.quarantine(), spark).where("operator = 'window_fold'").select(
+        F.get_json_object("key", "$.kind").alias("kind"), day, F.lit(0).cast("long").alias("count"), F.lit(1).cast("long").alias("late"))
+    both = kept.unionByName(refused).groupBy("kind", "window_start").agg(F.sum("count").alias("count"), F.sum("late").alias("late"))
+    return local_time(both)
+
+
+@query("stream_session_spread", aggregates.session_sql("user_id", "count(*) AS n, CAST(sum(cents) AS BIGINT) AS total, max(cents) AS top"))
+def stream_session_spread(spark, folder):
+    """Sessions whose records are dealt out to eight groups a key, each of which passes on its own sessions."""
+    def step(state, value):
+        return {"n": state["n"] + 1, "total": state["total"] + value["cents"], "top": max(state["top"], value["cents"])}
+
+    def merge(a, b):
+        return {"n": a["n"] + b["n"], "total": a["total"] + b["total"], "top": max(a["top"], b["top"])}
+
+    found = windowed.session_fold(replay(events(spark, folder)), sessions(SIX_HOURS, LATE), lambda: {"n": 0, "total": 0, "top": -1 << 62},
+                                  step, merge, "n long, total long, top long", spread=8)
+    return local_time(appended(found.rows(), spark))

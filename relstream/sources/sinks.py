@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relstream.plans.scratch import scratch_path
+from relstream.sources.states import EPOCH, TableFiles, held
 from relstream.sources.topics import JSON_TIMES, TopicSpec, encode_json, read_kafka_records
 
 
@@ -74,12 +75,13 @@ class TableSinkOps:
         """Writes the log, deletes included."""
         return self.to_stream().to(topic, checkpoint, mode)
 
-    def save_snapshot(self, topic: TopicSpec, checkpoint: str | None = None):
+    def save_snapshot(self, topic: TopicSpec, checkpoint: str | None = None, compact_every: int = 20):
         """Replaces the topic's content with the live rows.
 
         On a stream, returns the started query that keeps the state of the running table below `topic.location` (files
         only): every micro-batch adds the last versions of the keys that it changed, under its number, so a repeated one
-        replaces itself. `read_state` gives the live rows.
+        replaces itself. Each `compact_every` micro-batches a new base is made of them (`states.TableFiles`). `read_state`
+        gives the live rows.
         """
         if not self.df.isStreaming:
             current = self.with_(df=self.latest())
@@ -88,18 +90,36 @@ class TableSinkOps:
             raise ValueError("the state of a running table is kept in files")
 
         def keep(batch: DataFrame, epoch: int) -> None:
-            batch.write.format(topic.format).options(**topic.options).mode("overwrite").save(f"{topic.location}/epoch={epoch}")
+            files = self._files(batch.sparkSession, topic)
+            files.add(batch, epoch)
+            if (epoch + 1) % compact_every == 0:
+                files.compact(epoch, self.has_value)
 
         return (
             self.latest_versions().writeStream.foreachBatch(keep).outputMode("update")
             .option("checkpointLocation", checkpoint or scratch_path(self.spark, "checkpoint")).start()
         )
 
+    def _files(self, spark, topic: TopicSpec) -> TableFiles:
+        return TableFiles(spark, topic, self.rows().schema, self.key)
+
     def read_state(self, topic: TopicSpec, spark=None):
         """The live rows that `save_snapshot` of this running table has kept so far, as a batch table."""
-        columns = self.rows().columns
-        schema = T.StructType([*self.rows().schema.fields, T.StructField("epoch", T.LongType())])
-        rows = (spark or self.spark).read.format(topic.format).options(**topic.options).schema(schema).load(topic.location)
-        rest = [c for c in columns if c not in self.key]
-        last = rows.groupBy(*self.key).agg(F.max_by(F.struct(*rest), "epoch").alias("__last")).select(*self.key, "__last.*")
+        last = self._files(spark or self.spark, topic).versions().drop(EPOCH)
+        return self.with_(df=last.where(self.has_value), is_snapshot=True, rejects=())
+
+    def keep_state(self, checkpoint: str):
+        """Starts a query that holds the last version of every key of this running table in its state, and writes nothing.
+
+        `state_view` reads it.
+        """
+        return self.latest_versions().writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint).start()
+
+    def state_view(self, checkpoint: str, batch_id: int | None = None, spark=None):
+        """The live rows in the state of the query of `latest_versions` (as `keep_state` starts it) with that checkpoint, as a batch table.
+
+        The state is that of the last micro-batch, or of the one with `batch_id`, while the query runs or after it. A key is looked
+        up with `filter` or `where` on the key columns.
+        """
+        last = held(spark or self.spark, checkpoint, self.rows().columns, self.key, batch_id)
         return self.with_(df=last.where(self.has_value), is_snapshot=True, rejects=())
