@@ -7,7 +7,7 @@ import json
 from pyspark.sql import functions as F
 
 from relstream import RecordStream, TopicSpec, decode_json, encode_json, read_json_records, safe_udf
-from relstream.catalog.registry import EVENTS, VERSIONS, events, query, read, users
+from relstream.catalog.registry import EVENTS, QUERIES, VERSIONS, events, query, read, users
 from relstream.plans.scratch import scratch_path
 from relstream.sources.topics import JSON_TIMES
 
@@ -246,16 +246,27 @@ def flat_map_udtf_error(spark, folder):
 
 # -- flow ----------------------------------------------------------------------------------------
 
+def _numbered(parts):
+    first, *others = [p.rows().select(F.lit(i).alias("branch"), "*") for i, p in enumerate(parts)]
+    for other in others:
+        first = first.unionByName(other)
+    return first
+
+
 @query("branch", f"""
     SELECT CASE WHEN cents IS NOT NULL AND cents > 5000 THEN 0 WHEN hour(ts) < 12 THEN 1 ELSE 2 END AS branch, *
     FROM ({VERSIONS}) WHERE coalesce(cents > 5000, FALSE) OR hour(ts) < 12 OR event_type = 'view'""")
 def branch(spark, folder):
     stream = users(spark, folder).to_stream()
     parts = stream.branch((F.col("cents") > 5000, ("cents",)), F.hour("ts") < 12, F.col("event_type") == "view")
-    first, *others = [p.rows().select(F.lit(i).alias("branch"), "*") for i, p in enumerate(parts)]
-    for other in others:
-        first = first.unionByName(other)
-    return first
+    return _numbered(parts)
+
+
+@query("branch_once", QUERIES["branch"].sql)
+def branch_once(spark, folder):
+    """The branches written in one pass, each read from its own folder."""
+    stream = users(spark, folder).to_stream()
+    return _numbered(stream.branch_through((F.col("cents") > 5000, ("cents",)), F.hour("ts") < 12, F.col("event_type") == "view"))
 
 
 @query("split", f"""
@@ -265,6 +276,32 @@ def split(spark, folder):
     return yes.rows().select(F.lit(True).alias("matches"), "*").unionByName(no.rows().select(F.lit(False).alias("matches"), "*"))
 
 
+@query("split_once", f"""
+    SELECT CASE WHEN cents IS NULL THEN 'split' WHEN cents > 2000 AND hour(ts) < 12 THEN 'yes' ELSE 'no' END AS part, event_id FROM ({VERSIONS})""")
+def split_once(spark, folder):
+    """Both halves and the quarantine of one pass: every version is in exactly one of them."""
+    yes, no = users(spark, folder).to_stream().split_through((F.col("cents") > 2000) & (F.hour("ts") < 12), ("cents",))
+    failed = yes.quarantine().select(F.col("operator").alias("part"), F.get_json_object("seq", "$.event_id").cast("long").alias("event_id"))
+    halves = [p.df.select(F.lit(name).alias("part"), "event_id") for name, p in (("yes", yes), ("no", no))]
+    return halves[0].unionByName(halves[1]).unionByName(failed)
+
+
+def remainder(cents: int) -> int:
+    if cents % 97 == 0:
+        raise ValueError("cents")
+    return cents * cents % 1009
+
+
+@query("map_values_once", f"""
+    SELECT CASE WHEN cents % 97 = 0 THEN 'map_values' ELSE 'ok' END AS part,
+           CASE WHEN cents % 97 <> 0 THEN cents * cents % 1009 END AS number, event_id FROM ({EVENTS})""")
+def map_values_once(spark, folder):
+    """A Python function that is called once per record; results and failures are read from what it gave."""
+    made = {"made": safe_udf(remainder, "long")("cents")}
+    flow = events(spark, folder).map_through(value={"number": F.col("made.value")}, valid=F.col("made.error").isNull(), compute=made)
+    return _kept_and_rejected(flow, "number")
+
+
 @query("merge", f"SELECT * FROM ({EVENTS}) WHERE event_type = 'click' UNION ALL SELECT * FROM ({EVENTS}) WHERE cents > 2000")
 def merge(spark, folder):
     stream = events(spark, folder)

@@ -15,6 +15,7 @@ from relstream.functions.predicates import all_null, all_of, all_present
 from relstream.operators.flow import FlowOps
 from relstream.operators.grouping import StreamGroupOps, TableGroupOps
 from relstream.operators.joins import StreamJoinOps
+from relstream.operators.parts import PartOps
 from relstream.operators.stateless import StreamMapOps
 from relstream.operators.table_joins import TableJoinOps
 from relstream.operators.tables import TableOps
@@ -105,7 +106,7 @@ class _Keyed:
 
 
 @dataclass(frozen=True)
-class RecordStream(StreamMapOps, FlowOps, StreamJoinOps, StreamGroupOps, StreamSinkOps, _Keyed):
+class RecordStream(StreamMapOps, FlowOps, PartOps, StreamJoinOps, StreamGroupOps, StreamSinkOps, _Keyed):
     """An append-only stream of independent records, batch or streaming."""
 
 
