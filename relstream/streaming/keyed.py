@@ -1,9 +1,11 @@
 """Streaming forms of the operators that need per-key state: joins with tables, change rows, folds.
 
-All of them are `applyInPandasWithState` over small frames: a key, the order as numbers, the value as
-JSON text. A key's rows of one micro-batch are sorted and handled as arrays; the state is one row.
-The size of a micro-batch is set at the source (`maxFilesPerTrigger`, `maxBytesPerTrigger`), and no
-group is larger than that.
+All of them are `applyInPandasWithState` over small frames: a key as JSON text, the order as numbers, the
+value as JSON text. A group of the engine costs milliseconds whatever it holds, so keys are dealt by their
+hash into buckets (`relstream.state.buckets`, fixed for the life of a checkpoint), and a bucket is a group:
+its rows of one micro-batch are sorted and taken one by one, its keys' states are one JSON text that is read
+and written once. The size of a micro-batch is set at the source (`maxFilesPerTrigger`,
+`maxBytesPerTrigger`), and no group is larger than that.
 
 Seq columns must be whole numbers here. Rows of one key have to reach the stream in order as far as
 micro-batches go. An update that is not after the version in state, by the whole order (time, then
@@ -15,7 +17,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from relstream.sources.topics import JSON_TIMES, encode_json
 _TEXT = "__text"
 _SIDE = "__side"
 _AT = "__at"
+_KEY = "__key"
+_BUCKET = "__bucket"
 
 
 def _numbers(flow) -> list[Column]:
@@ -55,26 +58,52 @@ def _parsed(text: str, schema: T.StructType) -> Column:
     return F.from_json(F.col(text), schema, JSON_TIMES)
 
 
-def _batch(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    return pd.concat(list(frames), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+def _key(df: DataFrame, names: list[str]) -> Column:
+    """A row's key as one text, equal where the columns are."""
+    def plain(name: str) -> Column:
+        kind = df.schema[name].dataType
+        return F.col(name) + F.lit(0.0).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(name)  # -0.0 is 0.0
+    return F.to_json(F.struct(*[plain(n).alias(f"k{i}") for i, n in enumerate(names)]), JSON_TIMES).alias(_KEY)
 
 
-def _last_index(mask: np.ndarray) -> np.ndarray:
-    """For each row, the position of the last true row up to and including it, or -1."""
-    return np.maximum.accumulate(np.where(mask, np.arange(len(mask)), -1))
+def bucket_of(df: DataFrame, *parts: Column) -> Column:
+    """The bucket of a key; how many there are must stay as it is while a checkpoint is used."""
+    return F.pmod(F.xxhash64(*parts), F.lit(int(df.sparkSession.conf.get("relstream.state.buckets", "256")))).cast("int")
 
 
-def _carried(mask: np.ndarray, texts: np.ndarray, before: str | None) -> np.ndarray:
-    """For each row, the text at the last true row, or `before` where there is none yet."""
-    index = _last_index(mask)
-    return np.where(index >= 0, texts[np.maximum(index, 0)], before)
+def _bucketed(df: DataFrame, names: list[str], *rest: Column | str) -> DataFrame:
+    """`rest` under the row's key, by bucket."""
+    keyed = df.select(_key(df, names), *rest)
+    return keyed.withColumn(_BUCKET, bucket_of(df, F.col(_KEY)))
 
 
-def _after(batch: pd.DataFrame, order: list[str], point: list[int] | None) -> np.ndarray:
-    """Which rows lie after a point of the order; all do where there is none yet."""
-    if point is None:
-        return np.ones(len(batch), dtype=bool)
-    return np.array([list(p) > list(point) for p in batch[order].itertuples(index=False, name=None)], dtype=bool)
+def _unpacked(df: DataFrame, keys: list[str], schema: T.StructType) -> DataFrame:
+    """Results with the columns of their key in place of its text."""
+    kinds = T.StructType([T.StructField(f"k{i}", schema[k].dataType) for i, k in enumerate(keys)])
+    rest = [c for c in df.columns if c != _KEY]
+    return df.withColumn("__k", _parsed(_KEY, kinds)).select(*[F.col("__k")[f"k{i}"].alias(k) for i, k in enumerate(keys)], *rest)
+
+
+def _given(frames: Iterator[pd.DataFrame], order: list[str], columns: list[str]) -> Iterator[tuple]:
+    """The bucket's rows in order; a text that is missing is None."""
+    batch = pd.concat(list(frames), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+    return zip(*[batch[c].tolist() for c in columns])
+
+
+def _held(state: GroupState) -> dict:
+    return json.loads(state.get[0]) if state.exists else {}
+
+
+def _keep(state: GroupState, held: dict) -> None:
+    if held:
+        state.update((json.dumps(held),))
+    elif state.exists:
+        state.remove()
+
+
+def _frame(rows: list[tuple], out: T.StructType) -> Iterator[pd.DataFrame]:
+    if rows:
+        yield pd.DataFrame(rows, columns=out.names, dtype=object)
 
 
 def _too_late(found: DataFrame, operator: str, flow, names: list[str], order: list[str]) -> DataFrame:
@@ -88,17 +117,13 @@ def _too_late(found: DataFrame, operator: str, flow, names: list[str], order: li
     )
 
 
-def _stateful(df: DataFrame, keys: list[str], handle: Callable, output: T.StructType, state: str,
-              mode: str = "append") -> DataFrame:
-    return df.groupBy(*keys).applyInPandasWithState(handle, output, state, mode, GroupStateTimeout.NoTimeout)
+def _stateful(df: DataFrame, handle: Callable, output: T.StructType, mode: str = "append",
+              timeout: str = GroupStateTimeout.NoTimeout) -> DataFrame:
+    return df.groupBy(_BUCKET).applyInPandasWithState(handle, output, "text string", mode, timeout)
 
 
-def _output(df: DataFrame, keys: list[str], *fields: str) -> T.StructType:
-    schema = _schema(df, keys)
-    for field in fields:
-        name, kind = field.split()
-        schema = schema.add(name, T._parse_datatype_string(kind))
-    return schema
+def _output(*fields: str) -> T.StructType:
+    return T._parse_datatype_string(", ".join((f"{_KEY} string", *fields)))
 
 
 # -- change rows ---------------------------------------------------------------------------------
@@ -109,31 +134,29 @@ def changes(table, with_late: bool = False) -> DataFrame:
     `with_late` adds the updates that came too late to change anything, as rows with `op = 0`.
     """
     keys, order = list(table.key), [_AT, *[f"__seq{i}" for i in range(len(table.seq))]]
-    rows = table.rows().select(*keys, *_numbers(table), encode_json(table.value).alias(_TEXT))
+    given = table.rows()
+    rows = _bucketed(given, keys, *_numbers(table), encode_json(table.value).alias(_TEXT))
+    out = _output(f"{OP} int", f"{_TEXT} string", *[f"{o} long" for o in order])
 
     def handle(key, frames, state: GroupState):
-        at, old = state.get if state.exists else (None, None)
-        batch = _batch(frames, order)
-        fresh = _after(batch, order, at)
-        if with_late and not fresh.all():
-            late = batch[~fresh].assign(**{OP: 0})
-            for name, value in zip(keys, key):
-                late[name] = value
-            yield late[[*keys, OP, _TEXT, *order]]
-        batch = batch[fresh].reset_index(drop=True)
-        if batch.empty:
-            return
-        new = batch[_TEXT].to_numpy(object)
-        replaced = np.concatenate([[old], new[:-1]])
-        state.update(([int(p) for p in batch[order].iloc[-1]], new[-1]))
-        both = pd.concat([batch.assign(**{OP: -1, _TEXT: replaced}), batch.assign(**{OP: 1})])
-        both = both[both[_TEXT].notna()].sort_values([*order, OP], kind="stable")
-        for name, value in zip(keys, key):
-            both[name] = value
-        yield both[[*keys, OP, _TEXT, *order]]
-
-    out = _output(rows, keys, f"{OP} int", f"{_TEXT} string", *[f"{o} long" for o in order])
-    found = _stateful(rows, keys, handle, out, "at array<long>, text string")
+        held, began, found = _held(state), {}, []
+        for name, text, *at in _given(frames, order, [_KEY, _TEXT, *order]):
+            at = list(map(int, at))
+            known, old = held.get(name, (None, None))
+            point = began.setdefault(name, known)  # late is what is not after the version before this micro-batch
+            if point is not None and at <= point:
+                if with_late:
+                    found.append((name, 0, text, *at))
+                continue
+            if old is not None:
+                found.append((name, -1, old, *at))
+            if text is not None:
+                found.append((name, 1, text, *at))
+            held[name] = (at, text)
+        _keep(state, held)
+        yield from _frame(found, out)
+
+    found = _unpacked(_stateful(rows, handle, out), keys, given.schema)
     value = _parsed(_TEXT, _schema(table.df, list(table.value)))
     time = [F.timestamp_micros(_AT).alias(table.ts)] if table.ts else []
     seqs = [F.col(f"__seq{i}").cast(table.df.schema[s].dataType).alias(s) for i, s in enumerate(table.seq)]
@@ -172,29 +195,34 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
         F.lit(0).alias(_SIDE), *_numbers(table), encode_json(table.value).alias(_TEXT),
     )
     united = records.unionByName(versions)
-    order, keys = _order(stream), [*names, "__salt"]
+    order = _order(stream)
     points = [_AT, *[f"__seq{i}" for i in range(len(table.seq))]]
+    absent = [F.isnan(n) if isinstance(united.schema[n].dataType, (T.FloatType, T.DoubleType)) else F.lit(False) for n in names]
+    missing = ~all_of(F.col(n).isNotNull() & ~nan for n, nan in zip(names, absent))
+    rows = _bucketed(united, names, "__salt", missing.alias("__missing"), _SIDE, *points, _TEXT) \
+        .withColumn(_BUCKET, bucket_of(united, F.col(_KEY), F.col("__salt")))
+    out = _output(*[f"{p} long" for p in points], f"{_TEXT} string", "__version string", "__late boolean")
 
     def handle(key, frames, state: GroupState):
-        at, version = state.get if state.exists else (None, None)
-        batch = _batch(frames, order)
-        is_update = (batch[_SIDE] == 0).to_numpy()
-        is_version = is_update & _after(batch, points, at)
-        texts = batch[_TEXT].to_numpy(object)
-        seen = _carried(is_version, texts, version)
-        if any(pd.isna(k) for k in key[:-1]):  # a missing join key matches nothing
-            seen = np.full(len(batch), None, object)
-        elif is_version.any():
-            last = _last_index(is_version)[-1]
-            state.update(([int(p) for p in batch[points].iloc[last]], texts[last]))
-        late = is_update & ~is_version & (key[-1] == 0)
-        found = batch[points].assign(**{_TEXT: texts, "__version": seen, "__late": late})
-        for name, value in zip(names, key):
-            found[name] = value
-        yield found.loc[~is_update | late, out.names]
-
-    out = _output(united, names, *[f"{p} long" for p in points], f"{_TEXT} string", "__version string", "__late boolean")
-    found = _stateful(united, keys, handle, out, "at array<long>, text string")
+        held, began, found = _held(state), {}, []
+        for name, salt, missing, side, text, *at in _given(frames, order, [_KEY, "__salt", "__missing", _SIDE, _TEXT, *points]):
+            part, at = f"{salt} {name}", list(map(int, at))
+            if missing:  # a missing join key matches nothing
+                if side == 1:
+                    found.append((name, *at, text, None, False))
+                continue
+            known, version = held.get(part, (None, None))
+            point = began.setdefault(part, known)
+            if side == 1:
+                found.append((name, *at, text, version, False))
+            elif point is None or at > point:
+                held[part] = (at, text)
+            elif salt == 0:
+                found.append((name, *at, text, version, True))
+        _keep(state, held)
+        yield from _frame(found, out)
+
+    found = _unpacked(_stateful(rows, handle, out), names, united.schema)
     rejects = (*rejects, _too_late(found.where("__late"), "join_table", table, names, points[1:]))
     joined = found.where("NOT __late")
     if how == "inner":
@@ -220,43 +248,28 @@ def join_changelog(left, right, joiner=None, how: str = "inner"):
     united = log(left, 0).unionByName(log(right, 1))
 
     numbers = [o for o in order if o != _SIDE]
+    exists = {"inner": lambda l, r: l and r, "left": lambda l, r: l, "full": lambda l, r: l or r}[how]
+    rows = _bucketed(united, names, *order, _TEXT)
+    out = _output(*[f"{o} long" for o in numbers], f"{_SIDE} int", f"{_TEXT} string", "__left string", "__right string", "__exists boolean")
 
     def handle(key, frames, state: GroupState):
-        *points, left_was, right_was = state.get if state.exists else (None, None, None, None)
-        was = [left_was, right_was]
-        batch = _batch(frames, order)
-        fresh = np.zeros(len(batch), dtype=bool)
-        for side in (0, 1):
-            own = (batch[_SIDE] == side).to_numpy()
-            fresh |= own & _after(batch, numbers, points[side])
-            if (own & fresh).any():
-                points[side] = [int(p) for p in batch[own & fresh][numbers].iloc[-1]]
-        if not fresh.all():
-            late = batch[~fresh].assign(__left=None, __right=None, __exists=None)
-            for name, value in zip(names, key):
-                late[name] = value
-            yield late[out.names]
-        batch = batch[fresh].reset_index(drop=True)
-        if batch.empty:
-            return
-        texts = batch[_TEXT].to_numpy(object)
-        now, before = [], []
-        for side in (0, 1):
-            current = _carried((batch[_SIDE] == side).to_numpy(), texts, was[side])
-            now.append(current)
-            before.append(np.concatenate([[was[side]], current[:-1]]))
-        state.update((*points, now[0][-1], now[1][-1]))
-        there = lambda sides: [pd.notna(s) for s in sides]
-        exists = {"inner": lambda s: s[0] & s[1], "left": lambda s: s[0], "full": lambda s: s[0] | s[1]}[how]
-        is_now, was_before = exists(there(now)), exists(there(before))
-        found = batch[order].assign(**{_TEXT: None}, __left=now[0], __right=now[1], __exists=is_now)
-        for name, value in zip(names, key):
-            found[name] = value
-        yield found.loc[is_now | was_before, out.names]
-
-    out = _output(united, names, *[f"{o} long" for o in numbers], f"{_SIDE} int", f"{_TEXT} string", "__left string",
-                  "__right string", "__exists boolean")
-    every = _stateful(united, names, handle, out, "l_at array<long>, r_at array<long>, l string, r string")
+        held, began, found = _held(state), {}, []
+        for name, side, text, *at in _given(frames, order, [_KEY, _SIDE, _TEXT, *numbers]):
+            at = list(map(int, at))
+            points, texts = held.get(name, ((None, None), (None, None)))
+            point = began.setdefault(name, points)[side]
+            if point is not None and at <= point:
+                found.append((name, *at, side, text, None, None, None))
+                continue
+            now = (text, texts[1]) if side == 0 else (texts[0], text)
+            held[name] = ((at, points[1]) if side == 0 else (points[0], at), now)
+            is_now, was_before = (exists(*[t is not None for t in both]) for both in (now, texts))
+            if is_now or was_before:
+                found.append((name, *at, side, None, *now, is_now))
+        _keep(state, held)
+        yield from _frame(found, out)
+
+    every = _unpacked(_stateful(rows, handle, out), names, united.schema)
     late, found = every.where("__exists IS NULL"), every.where("__exists IS NOT NULL")
     # One frame for both sides, under the left one's names: a stream takes no two such operators in one query.
     rejects = (*left.all_rejects(right), _too_late(late, "join_changelog", left, names, numbers[1:]))
@@ -285,24 +298,20 @@ def fold(stream, init: Callable[[], object], step: Callable[[object, dict], obje
     `live` false for a deleted one.
     """
     keys, order = list(stream.key), [_AT, *[f"__seq{i}" for i in range(len(stream.seq))]]
-    rows = stream.rows().where(stream.has_key & stream.has_value)
-    rows = rows.select(*keys, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT))
+    given = stream.rows().where(stream.has_key & stream.has_value)
+    rows = _bucketed(given, keys, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT))
     schema = T._parse_datatype_string(state_schema) if isinstance(state_schema, str) else state_schema
+    out = _output("live boolean", f"{_TEXT} string")
 
     def handle(key, frames, state: GroupState):
-        current = json.loads(state.get[0]) if state.exists and state.get[0] is not None else None
-        for text in _batch(frames, order)[_TEXT]:
-            try:
-                current = step(init() if current is None else current, json.loads(text))
-            except Exception:  # a failing step leaves the state alone
-                continue
-        packed = None if current is None else json.dumps(current)
-        state.update((packed,))
-        yield pd.DataFrame({**{n: [v] for n, v in zip(keys, key)}, "live": [packed is not None],
-                            _TEXT: pd.Series([packed], dtype=object)})
-
-    out = _output(rows, keys, "live boolean", f"{_TEXT} string")
-    folded = _stateful(rows, keys, handle, out, "text string", "update")
+        held, changed = _held(state), {}
+        for name, text in _given(frames, order, [_KEY, _TEXT]):
+            held[name] = _stepped(held.get(name), init, step, json.loads(text))
+            changed[name] = True
+        _keep(state, held)
+        yield from _frame([(n, held[n] is not None, None if held[n] is None else json.dumps(held[n])) for n in changed], out)
+
+    folded = _unpacked(_stateful(rows, handle, out, "update"), keys, given.schema)
     return folded.select(*keys, "live", _parsed(_TEXT, schema).alias("__s")).select(*keys, "live", "__s.*")
 
 
@@ -313,31 +322,38 @@ def window_fold(stream, windows, init: Callable[[], object], step: Callable[[obj
     `windows` needs a retention, the watermark delay. State is kept per key and window and dropped with the row. Records
     of a window that is already out are ignored, as Spark's own windows do.
     """
-    keys, order = [*stream.key, "window_start", "window_end"], [_AT, *[f"__seq{i}" for i in range(len(stream.seq))]]
-    rows = windows.assign(complete(stream, _delay(windows)), stream.ts)
-    # Bounds are keys as instants in microseconds: as times they would reach Python in the session's zone.
+    order = [_AT, *[f"__seq{i}" for i in range(len(stream.seq))]]
+    given = windows.assign(complete(stream, _delay(windows)), stream.ts)
+    # Bounds are instants in microseconds: as times they would reach Python in the session's zone.
     bounds = [F.unix_micros(F.col(f"{WINDOW}.{side}").cast("timestamp")).alias(f"window_{side}") for side in ("start", "end")]
-    rows = rows.select(*stream.key, *bounds, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT), F.col(stream.ts).alias("__time"))
+    rows = _bucketed(given, list(stream.key), *bounds, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT),
+                     F.col(stream.ts).alias("__time"))
+    rows = rows.withColumn(_BUCKET, bucket_of(given, F.col(_KEY), F.col("window_start")))
     schema = T._parse_datatype_string(state_schema) if isinstance(state_schema, str) else state_schema
+    out = _output("window_start long", "window_end long", f"{_TEXT} string")
 
     def handle(key, frames, state: GroupState):
-        end = -(-int(key[-1]) // 1000)
-        if state.hasTimedOut:
-            (packed,) = state.get
-            state.remove()
-            if packed is not None:
-                yield pd.DataFrame({**{n: [v] for n, v in zip(keys, key)}, _TEXT: [packed]})
-            return
-        if end <= state.getCurrentWatermarkMs():
-            return
-        current = json.loads(state.get[0]) if state.exists and state.get[0] is not None else None
-        for text in _batch(frames, order)[_TEXT]:
-            current = _stepped(current, init, step, json.loads(text))
-        state.update((None if current is None else json.dumps(current),))
-        state.setTimeoutTimestamp(end)
-
-    out = _output(rows, keys, f"{_TEXT} string")
-    folded = rows.groupBy(*keys).applyInPandasWithState(handle, out, "text string", "append", GroupStateTimeout.EventTimeTimeout)
+        watermark, held = state.getCurrentWatermarkMs(), _held(state)
+        closes = lambda end: -(-end // 1000)
+        if not state.hasTimedOut:
+            for name, start, end, text in _given(frames, order, [_KEY, "window_start", "window_end", _TEXT]):
+                if closes(end) > watermark:
+                    part = f"{start} {end} {name}"
+                    held[part] = _stepped(held.get(part), init, step, json.loads(text))
+        ends = {part: closes(int(part.split(" ", 2)[1])) for part in held}
+        found = []
+        for part in [p for p, end in ends.items() if end <= watermark]:
+            current, (start, end, name) = held.pop(part), part.split(" ", 2)
+            del ends[part]
+            if current is not None:
+                found.append((name, int(start), int(end), json.dumps(current)))
+        _keep(state, held)
+        if held:
+            state.setTimeoutTimestamp(min(ends.values()))
+        yield from _frame(found, out)
+
+    folded = _unpacked(_stateful(rows, handle, out, timeout=GroupStateTimeout.EventTimeTimeout), list(stream.key), given.schema)
+    keys = [*stream.key, "window_start", "window_end"]
     times = [F.timestamp_micros(k).alias(k) for k in keys[-2:]]
     return folded.select(*stream.key, *times, _parsed(_TEXT, schema).alias("__s")).select(*keys, "__s.*")
 
@@ -347,36 +363,35 @@ def session_fold(stream, windows, init: Callable[[], object], step: Callable[[ob
     """`fold` inside each key's sessions; a session's row is final and appears once the watermark is a gap past its end.
 
     Records of a micro-batch are taken in order and extend the session that they follow; one that connects two sessions
-    `merge`s the earlier's state with the later's. `windows` needs a retention. A key's open sessions are its state.
+    `merge`s the earlier's state with the later's. `windows` needs a retention. A key's open sessions, in order of time, are its state.
     """
     keys, order = list(stream.key), [_AT, *[f"__seq{i}" for i in range(len(stream.seq))]]
-    rows = complete(stream, _delay(windows)).select(
-        *keys, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT), F.col(stream.ts).alias("__time"))
+    given = complete(stream, _delay(windows))
+    rows = _bucketed(given, keys, *_numbers(stream), F.to_json(F.struct(*stream.value), JSON_TIMES).alias(_TEXT), F.col(stream.ts).alias("__time"))
     schema = T._parse_datatype_string(state_schema) if isinstance(state_schema, str) else state_schema
     gap = length_micros(windows.gap)
+    out = _output("__from long", "__to long", f"{_TEXT} string")
 
     def handle(key, frames, state: GroupState):
-        watermark = state.getCurrentWatermarkMs() * 1000
-        found = json.loads(state.get[0]) if state.exists else []
+        watermark, held, found = state.getCurrentWatermarkMs() * 1000, _held(state), []
         if not state.hasTimedOut:
-            batch = _batch(frames, order)
-            for at, text in zip(batch[_AT].tolist(), batch[_TEXT]):
+            for name, at, text in _given(frames, order, [_KEY, _AT, _TEXT]):
                 if at + gap > watermark:
-                    found = _with_record(found, at, json.loads(text), gap, init, step, merge)
-        closed = [s for s in found if s[1] + gap < watermark]
-        waiting = [s for s in found if s[1] + gap >= watermark]
-        if waiting:
-            state.update((json.dumps(waiting),))
-            state.setTimeoutTimestamp(max((min(s[1] for s in waiting) + gap) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        closed = [s for s in closed if s[2] is not None]
-        if closed:
-            yield pd.DataFrame({**{n: [v] * len(closed) for n, v in zip(keys, key)}, "__from": [s[0] for s in closed],
-                                "__to": [s[1] for s in closed], _TEXT: [json.dumps(s[2]) for s in closed]})
-
-    out = _output(rows, keys, "__from long", "__to long", f"{_TEXT} string")
-    folded = rows.groupBy(*keys).applyInPandasWithState(handle, out, "text string", "append", GroupStateTimeout.EventTimeTimeout)
+                    held[name] = _with_record(held.get(name, []), at, json.loads(text), gap, init, step, merge)
+        for name in [n for n, known in held.items() if known[0][1] + gap < watermark]:
+            waiting = [s for s in held[name] if s[1] + gap >= watermark]
+            found += [(name, s[0], s[1], json.dumps(s[2])) for s in held[name] if s[1] + gap < watermark and s[2] is not None]
+            if waiting:
+                held[name] = waiting
+            else:
+                del held[name]
+        _keep(state, held)
+        if held:
+            first = min(s[0][1] for s in held.values())
+            state.setTimeoutTimestamp(max((first + gap) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        yield from _frame(found, out)
+
+    folded = _unpacked(_stateful(rows, handle, out, timeout=GroupStateTimeout.EventTimeTimeout), keys, given.schema)
     bounds = [F.timestamp_micros("__from").alias(START), F.timestamp_micros("__to").alias(END)]
     return folded.select(*keys, *bounds, _parsed(_TEXT, schema).alias("__s")).select(*keys, START, END, "__s.*")
 
