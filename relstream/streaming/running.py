@@ -2,7 +2,8 @@
 
 The first two take the change rows of a table (`keyed.changes`: what an update takes back and what it adds) into a second
 keyed state of the same query. Results are logs of versions, tables in their own right. State is held with
-`transformWithState`: maps, lists and timers, of which only what changes is read and written.
+`transformWithState` by buckets of keys (`keyed.bucket_of`): one text per bucket, read and written once in a micro-batch that
+touches it, and a timer for the first of its keys that waits.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from relstream.operators.joiners import LEFT, RIGHT, Joiner
 from relstream.operators.joins import _check
 from relstream.operators.tables import OP
 from relstream.sources.topics import JSON_TIMES, encode_json
-from relstream.streaming.keyed import _numbers, _parsed, _schema, changes
+from relstream.streaming.keyed import _numbers, _parsed, _schema, bucket_of, changes
 
 #: Result rows passed on at once.
 _CHUNK = 5_000
@@ -54,7 +55,43 @@ def _key_text(*columns: Column) -> Column:
 
 
 def _state_of(df: DataFrame, keys: list[str], processor: StatefulProcessor, output: T.StructType, time: str = "None") -> DataFrame:
-    return df.groupBy(*keys).transformWithStateInPandas(processor, output, "Append", time)
+    """`processor` over the buckets of `keys`."""
+    dealt = df.withColumn("bucket", bucket_of(df, *[F.col(k) for k in keys]))
+    return dealt.groupBy("bucket").transformWithStateInPandas(processor, output, "Append", time)
+
+
+class _Bucket(StatefulProcessor):
+    """States of many keys by name, as one JSON text: a group of the engine, and each access to its state, costs far more
+    than a key does."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "text string")
+
+    def _load(self) -> dict:
+        packed = self.held.get()
+        return {} if packed is None else json.loads(packed[0])
+
+    def _save(self, states: dict) -> None:
+        if states:
+            self.held.update((json.dumps(states),))
+        else:
+            self.held.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def _by_name(names: list, rows: list) -> dict:
+    """Rows of each name, in the order given."""
+    found: dict = {}
+    for name, row in zip(names, rows):
+        found.setdefault(name, []).append(row)
+    return found
+
+
+def _points_of(batch: pd.DataFrame, numbers: list[str]) -> list[tuple[int, ...]]:
+    return [tuple(map(int, row)) for row in zip(*[batch[n].tolist() for n in numbers])]
 
 
 def _sorted(frames: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
@@ -74,32 +111,34 @@ def _in_chunks(rows: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame
 
 # -- foreign-key joins ---------------------------------------------------------------------------
 
-class _Subscriptions(StatefulProcessor):
-    """For one foreign key (and salt): the right row, and which left rows point at it.
+class _Subscriptions(_Bucket):
+    """For each foreign key (and salt): the right row, and which left rows point at it.
 
-    `mine` maps a left key to its version, so that an update of the right row reaches each of them without a search, and
-    only as many rows as change are read or written.
+    `mine` maps a left key to its version, so that an update of the right row reaches each of them without a search.
     """
 
     def __init__(self, names: list[str], numbers: list[str], inner: bool):
         self.names, self.numbers, self.inner = names, numbers, inner
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.mine = handle.getMapState("mine", "key string", "at array<long>, text string")
-        self.right = handle.getValueState("right", "at array<long>, text string")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield from _in_chunks(self._results(_sorted(rows, [*self.numbers, "side", OP]), key[0] == ""), self.names)
-
-    def _results(self, batch: pd.DataFrame, missing: bool) -> Iterator[tuple]:
-        right_at, right = None, None
-        if self.right.exists():
-            right_at, right = self.right.get()
-        right_at = list(right_at) if right_at is not None else None
+        states = self._load()
+        yield from _in_chunks(self._results(_sorted(rows, [*self.numbers, "side", OP]), states), self.names)
+        self._save(states)
+
+    def _results(self, batch: pd.DataFrame, states: dict) -> Iterator[tuple]:
+        names = [f"{salt} {fk}" for salt, fk in zip(batch["salt"].tolist(), batch["fk"].tolist())]
+        points = [list(p) for p in _points_of(batch, self.numbers)]
+        given = list(zip(points, *[batch[c].tolist() for c in ("side", OP, "mine", "text")]))
+        for name, own in _by_name(names, given).items():
+            state = states.setdefault(name, {"at": None, "text": None, "mine": {}})
+            yield from self._of(own, state, name.endswith(" "))
+            if state["at"] is None and not state["mine"]:
+                del states[name]
+
+    def _of(self, given: list, state: dict, missing: bool) -> Iterator[tuple]:
+        right_at, right, mine = state["at"], state["text"], state["mine"]
         none = [_NO_RIGHT] * len(self.numbers)
-        points = [[int(p) for p in row] for row in batch[self.numbers].itertuples(index=False, name=None)]
-        sides, ops, keys, texts = (batch[c].tolist() for c in ("side", OP, "mine", "text"))
-        for k, (at, side, op, key, text) in enumerate(zip(points, sides, ops, keys, texts)):
+        for k, (at, side, op, key, text) in enumerate(given):
             if side == 0:
                 present = right is not None
                 if op == 0:
@@ -108,13 +147,13 @@ class _Subscriptions(StatefulProcessor):
                     if op > 0:
                         yield key, *at, *none, text, None, False, "no foreign key"
                 elif op < 0:
-                    replaced = k + 1 < len(keys) and sides[k + 1] == 0 and ops[k + 1] > 0 and keys[k + 1] == key and points[k + 1] == at
+                    replaced = k + 1 < len(given) and given[k + 1][:4] == (at, 0, 1, key)
                     if not replaced:
-                        self.mine.removeKey((key,))
+                        mine.pop(key, None)
                         if present or not self.inner:
                             yield key, *at, *([_GONE] * len(at)), None, None, False, None
                 else:
-                    self.mine.updateValue((key,), (at, text))
+                    mine[key] = (at, text)
                     if present or not self.inner:
                         yield key, *at, *(right_at or none), text, right, True, None
             elif missing or (right_at is not None and at <= right_at):
@@ -124,13 +163,9 @@ class _Subscriptions(StatefulProcessor):
                 if self.inner and not before and right is None:
                     continue
                 exists = right is not None or not self.inner
-                for (subscriber,), (left_at, left) in self.mine.iterator():
+                for subscriber, (left_at, left) in mine.items():
                     yield subscriber, *left_at, *at, left, right, exists, None
-        if right_at is not None:
-            self.right.update((right_at, right))
-
-    def close(self) -> None:
-        pass
+        state.update(at=right_at, text=right)
 
 
 def join_foreign(left, right, on: dict[str, Column], joiner=None, how: str = "inner", spread: int = 1):
@@ -181,23 +216,22 @@ def join_foreign(left, right, on: dict[str, Column], joiner=None, how: str = "in
 
 # -- adder / subtractor aggregates ---------------------------------------------------------------
 
-class _Retracting(StatefulProcessor):
-    """One group's aggregate, and how many changes it has seen: the number of its version."""
+class _Retracting(_Bucket):
+    """Each group's aggregate, and how many changes it has seen: the number of its version."""
 
     def __init__(self, names: list[str], order: list[str], init: Callable | None, add: Callable, subtract: Callable):
         self.names, self.order, self.start, self.add, self.subtract = names, order, init, add, subtract
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "version long, text string")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield from _in_chunks(self._results(key, _sorted(rows, [*self.order, OP])), self.names)
-
-    def _results(self, key, batch: pd.DataFrame) -> Iterator[tuple]:
-        version, packed = self.total.get() if self.total.exists() else (0, None)
-        changed = False
-        for *at, op, text in batch[[*self.order, OP, "text"]].itertuples(index=False, name=None):
-            value = json.loads(text)
+        states = self._load()
+        yield from _in_chunks(self._results(_sorted(rows, [*self.order, OP]), states), self.names)
+        self._save(states)
+
+    def _results(self, batch: pd.DataFrame, states: dict) -> Iterator[tuple]:
+        changed, last = {}, {}
+        for grp, op, text, *at in zip(*[batch[c].tolist() for c in ("grp", OP, "text", *self.order)]):
+            value, last[grp] = json.loads(text), at[0]
+            version, packed = states.get(grp, (0, None))
             try:
                 if packed is None and self.start is None:
                     # A reduction starts with the first value; nothing can be taken back from none.
@@ -206,16 +240,13 @@ class _Retracting(StatefulProcessor):
                     before = self.start() if packed is None else json.loads(packed)
                     after = (self.add if op > 0 else self.subtract)(before, value)
             except Exception as error:  # the state stays, the change is data
-                yield *key, at[0], None, False, None, *at[1:], op, text, f"{type(error).__name__}: {error}"
+                yield grp, at[0], None, False, None, *at[1:], op, text, f"{type(error).__name__}: {error}"
                 continue
-            packed, changed = None if after is None else json.dumps(after), True
-        if changed:
-            version += 1
-            self.total.update((version, packed))
-            yield *key, int(batch["at"].iloc[-1]), packed, True, version, *[None] * (len(self.order) - 1), None, None, None
-
-    def close(self) -> None:
-        pass
+            states[grp], changed[grp] = (version, None if after is None else json.dumps(after)), True
+        for grp in changed:
+            version, packed = states[grp][0] + 1, states[grp][1]
+            states[grp] = (version, packed)
+            yield grp, int(last[grp]), packed, True, version, *[None] * (len(self.order) - 1), None, None, None
 
 
 def _folded(flow, keys: dict[str, Column], rows: DataFrame, operator: str, init: Callable | None, add: Callable, subtract: Callable | None,
@@ -287,25 +318,48 @@ def _complete(stream) -> DataFrame:
 
 # -- as-of joins with history --------------------------------------------------------------------
 
-class _Versions(StatefulProcessor):
-    """One key's versions, sorted, and its records that wait until no earlier version can come any more."""
+class _Held:
+    """What is held for the key in hand."""
+
+    def __init__(self, values: list):
+        self.values = values
+
+    def get(self) -> list:
+        return self.values
+
+    def put(self, values: list) -> None:
+        self.values = values
+
+
+class _Versions(_Bucket):
+    """Each key's versions, sorted, and its records that wait until no earlier version can come any more."""
 
     def __init__(self, numbers: list[str], history: int):
         self.numbers, self.history = numbers, history
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.versions = handle.getListState("versions", "at array<long>, text string")
-        self.waiting = handle.getListState("waiting", "at array<long>, text string")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _sorted(rows, self.numbers)
-        points = [tuple(map(int, row)) for row in batch[self.numbers].itertuples(index=False, name=None)]
-        given = list(zip(points, batch["side"].tolist(), batch["text"].tolist()))
-        if key[0] == "":  # a missing join key matches nothing
-            yield from self._rows([(at, text, None, None) for at, side, text in given if side == 1])
-            return
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        watermark, states = timerValues.getCurrentWatermarkInMs() * 1000, self._load()
+        yield from self._rows(self._results(_sorted(rows, self.numbers), states, watermark))
+        self._put_away(states)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark, states = timerValues.getCurrentWatermarkInMs() * 1000, self._load()
+        yield from self._rows(row for name in list(states) if any(at[0] <= watermark for at, _ in states[name][1])
+                              for row in self._taken(states, name, [], watermark))
+        self._put_away(states)
+
+    def _results(self, batch: pd.DataFrame, states: dict, watermark: int) -> Iterator[tuple]:
+        names = [f"{salt} {jk}" for salt, jk in zip(batch["salt"].tolist(), batch["jk"].tolist())]
+        given = list(zip(_points_of(batch, self.numbers), batch["side"].tolist(), batch["text"].tolist()))
+        for name, own in _by_name(names, given).items():
+            if name.endswith(" "):  # a missing join key matches nothing
+                yield from [(at, text, None, None) for at, side, text in own if side == 1]
+            else:
+                yield from self._taken(states, name, own, watermark)
+
+    def _taken(self, states: dict, name: str, given: list, watermark: int) -> list:
+        versions, waiting = states.get(name, ((), ()))
+        self.versions, self.waiting = _Held(versions), _Held(waiting)
         oldest = watermark - self.history
         known = [(tuple(at), text) for at, text in self.versions.get()]
         known.sort(key=lambda version: version[0])
@@ -314,27 +368,23 @@ class _Versions(StatefulProcessor):
             if side == 0 and at[0] >= oldest:
                 insort(known, (at, text if isinstance(text, str) else None), key=lambda version: version[0])
         records = [(at, text) for at, side, text in given if side == 1 and at[0] >= oldest]
-        yield from self._rows(out + self._settled(known, records, watermark))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = sorted(((tuple(at), text) for at, text in self.versions.get()), key=lambda version: version[0])
-        yield from self._rows(self._settled(known, [], timerValues.getCurrentWatermarkInMs() * 1000))
+        out += self._settled(known, records, watermark)
+        states[name] = (self.versions.get(), self.waiting.get())
+        return out
 
     def _settled(self, known: list, records: list, watermark: int) -> list:
         """Joins what need not wait any more, then lets go of versions that nothing can ask for."""
         held = [(tuple(at), text) for at, text in self.waiting.get()]
-        later = [r for r in held + records if r[0][0] > watermark]
-        if records or len(later) < len(held):
-            self.waiting.clear()
-            if later:
-                self.waiting.put([(list(at), text) for at, text in later])
-                self._wake(later)
+        self.waiting.put([(list(at), text) for at, text in held + records if at[0] > watermark])
         done = self._joined(known, sorted(r for r in held + records if r[0][0] <= watermark))
         self._keep(known, watermark - self.history)
         return done
 
-    def _wake(self, records: list) -> None:
-        self.handle.registerTimer(min(at[0] for at, _ in records) // 1000 + 1)
+    def _put_away(self, states: dict) -> None:
+        self._save({name: state for name, state in states.items() if state[0] or state[1]})
+        first = min((at[0] for _, waiting in states.values() for at, _ in waiting), default=None)
+        if first is not None:
+            self.handle.registerTimer(first // 1000 + 1)
 
     def _joined(self, known: list, records: list) -> list:
         times = [at[0] for at, _ in known]
@@ -347,13 +397,10 @@ class _Versions(StatefulProcessor):
         if known:
             self.versions.put([(list(at), text) for at, text in known[first:]])
 
-    def _rows(self, rows: list) -> Iterator[pd.DataFrame]:
+    def _rows(self, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         names = [*self.numbers, "text", "version", "late"]
         yield from _in_chunks(((*at, text, version, late) for at, text, version, late in rows), names)
 
-    def close(self) -> None:
-        pass
-
 
 def join_versions(stream, table, joiner=None, how: str = "inner", on: dict[str, Column] | None = None, *,
                   late: timedelta, history: timedelta = timedelta(), spread: int = 1):

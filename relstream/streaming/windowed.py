@@ -1,6 +1,6 @@
 """Folds in windows and sessions of streams that give up no record silently: what comes too late, or makes a step fail, is data.
 
-State is held with `transformWithState`: one value and one timer per key and window, one map entry per open session. Results
+State is held with `transformWithState` by buckets of keys, with one text and one timer each (`running._Bucket`). Results
 are streams of final rows, in the order in which the watermark closes them; their quarantine is read from the same state. The
 engine drops late rows before its own windows see them; here the event time goes no further than the watermark's node, and
 the state decides by itself.
@@ -16,14 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 
 from relstream.functions.times import complete, length_micros
 from relstream.operators.sessions import END, START
 from relstream.operators.windows import WINDOW, TimeWindows
 from relstream.sources.topics import JSON_TIMES
 from relstream.streaming.keyed import _delay, _parsed
-from relstream.streaming.running import _fields, _in_chunks, _key_text, _plain, _points, _schema_of, _sorted, _state_of
+from relstream.streaming.running import _Bucket, _by_name, _fields, _in_chunks, _key_text, _plain, _points, _points_of, _schema_of, _sorted, _state_of
 
 _LATE = "later than the watermark"
 
@@ -74,53 +74,56 @@ class _Names:
 
 
 def _given(batch: pd.DataFrame, numbers: list[str]) -> list[tuple[tuple, str]]:
-    points = [tuple(map(int, row)) for row in batch[numbers].itertuples(index=False, name=None)]
-    return list(zip(points, batch["text"].tolist()))
+    return list(zip(_points_of(batch, numbers), batch["text"].tolist()))
 
 
 # -- time windows --------------------------------------------------------------------------------
 
-class _Window(StatefulProcessor):
-    """One key's state in one window, until the watermark reaches the window's end."""
+class _Window(_Bucket):
+    """States of keys in windows, each until the watermark reaches its window's end."""
 
     def __init__(self, names: _Names, init: Callable, step: Callable):
         self.names, self.start, self.step = names, init, step
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "text string")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        states = self._load()
         batch = _sorted(rows, self.names.numbers)
-        yield from _in_chunks(self._results(key, batch, timerValues.getCurrentWatermarkInMs()), self.names.schema.names)
+        yield from _in_chunks(self._results(batch, states, timerValues.getCurrentWatermarkInMs()), self.names.schema.names)
+        self._put_away(states)
 
-    def _results(self, key, batch: pd.DataFrame, watermark: int) -> Iterator[tuple]:
-        grp, end = key[0], -(-int(key[2]) // 1000)
-        given = _given(batch, self.names.numbers)
-        if end <= watermark:
-            for point, text in given:
+    def _results(self, batch: pd.DataFrame, states: dict, watermark: int) -> Iterator[tuple]:
+        windows = zip(*[batch[c].tolist() for c in ("grp", "first", "last")])
+        for (grp, first, last), (point, text) in zip(windows, _given(batch, self.names.numbers)):
+            if self._closes(last) <= watermark:
                 yield self.names.failed(grp, point, text, _LATE)
-            return
-        known = self.state.exists()
-        packed = self.state.get()[0] if known else None
-        current = None if packed is None else json.loads(packed)
-        for point, text in given:
+                continue
+            name = f"{first} {last} {grp}"
+            current = states.setdefault(name, None)
             try:
-                current = self.step(self.start() if current is None else current, json.loads(text))
+                states[name] = self.step(self.start() if current is None else current, json.loads(text))
             except Exception as error:  # the state stays, the record is data
                 yield self.names.failed(grp, point, text, _told(error))
-        self.state.update((None if current is None else json.dumps(current),))
-        if not known:
-            self.handle.registerTimer(end)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        packed = self.state.get()[0] if self.state.exists() else None
-        self.state.clear()
-        done = [] if packed is None else [self.names.final(key[0], int(key[1]), int(key[2]), packed)]
-        yield from _in_chunks(iter(done), self.names.schema.names)
+        states = self._load()
+        yield from _in_chunks(self._closed(states, timerValues.getCurrentWatermarkInMs()), self.names.schema.names)
+        self._put_away(states)
 
-    def close(self) -> None:
-        pass
+    def _closed(self, states: dict, watermark: int) -> Iterator[tuple]:
+        for name in list(states):
+            first, last, grp = name.split(" ", 2)
+            if self._closes(int(last)) <= watermark:
+                state = states.pop(name)
+                if state is not None:
+                    yield self.names.final(grp, int(first), int(last), json.dumps(state))
+
+    def _put_away(self, states: dict) -> None:
+        self._save(states)
+        if states:
+            self.handle.registerTimer(min(self._closes(int(name.split(" ", 2)[1])) for name in states))
+
+    def _closes(self, last: int) -> int:
+        return -(-int(last) // 1000)
 
 
 def window_fold(stream, windows: TimeWindows, init: Callable[[], object], step: Callable[[object, dict], object],
@@ -198,28 +201,31 @@ class _Sessions:
         return done
 
 
-class _Session(StatefulProcessor):
-    """A key's open sessions, by their beginnings. A micro-batch writes the ones that it changes."""
+class _Session(_Bucket):
+    """Keys' open sessions, in order of time."""
 
     def __init__(self, names: _Names, gap: int, init: Callable, step: Callable, merge: Callable):
         self.names, self.gap, self.start, self.step, self.merge = names, gap, init, step, merge
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getMapState("open", "first long", "last long, text string")
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         yield from _in_chunks(self._results(key, rows, timerValues.getCurrentWatermarkInMs() * 1000), self.names.schema.names)
 
     def _results(self, key, rows, watermark: int) -> Iterator[tuple]:
-        known = self._known()
-        sessions = _Sessions(self.gap, self.merge, known)
-        yield from self._taken(key[0], rows, sessions, watermark)
-        yield from self._settled(key[0], known, sessions, watermark)
+        states = self._load()
+        for grp, given in self._given(key, rows).items():
+            sessions = _Sessions(self.gap, self.merge, states.get(grp, ()))
+            yield from self._taken(grp, given, sessions, watermark)
+            self._hold(states, grp, sessions)
+        yield from self._settled(states, watermark)
+
+    def _given(self, key, rows) -> dict:
+        """The bucket's rows by key, in order; rows that name none are of the group's own."""
+        batch = _sorted(rows, self.names.numbers)
+        return _by_name(batch["grp"].tolist() if "grp" in batch else [key[0]] * len(batch), _given(batch, self.names.numbers))
 
-    def _taken(self, grp: str, rows, sessions: _Sessions, watermark: int) -> Iterator[tuple]:
+    def _taken(self, grp: str, given: list, sessions: _Sessions, watermark: int) -> Iterator[tuple]:
         """Adds the records on time to `sessions`; the others, and those that fail, are results."""
-        for point, text in _given(_sorted(rows, self.names.numbers), self.names.numbers):
+        for point, text in given:
             if point[0] + self.gap <= watermark:
                 yield self.names.failed(grp, point, text, _LATE)
                 continue
@@ -232,57 +238,58 @@ class _Session(StatefulProcessor):
                 yield self.names.failed(grp, point, json.dumps(state), error)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = self._known()
-        settled = self._settled(key[0], known, _Sessions(self.gap, self.merge, known), timerValues.getCurrentWatermarkInMs() * 1000)
+        settled = self._settled(self._load(), timerValues.getCurrentWatermarkInMs() * 1000)
         yield from _in_chunks(settled, self.names.schema.names)
 
-    def _known(self) -> list[tuple[int, int, object]]:
-        return sorted(((first, last, None if text is None else json.loads(text)) for (first,), (last, text) in self.open.iterator()), key=lambda s: s[0])
-
-    def _settled(self, grp: str, known: list, sessions: _Sessions, watermark: int) -> Iterator[tuple]:
-        for first, last, state in sessions.closed(watermark):
-            if state is not None:
-                yield self.names.final(grp, first, last, json.dumps(state))
-        pack = lambda last, state: (last, None if state is None else json.dumps(state))
-        held = {first: pack(last, state) for first, last, state in known}
-        now = {first: pack(last, state) for first, last, state in zip(sessions.firsts, sessions.lasts, sessions.states)}
-        for first in held.keys() - now.keys():
-            self.open.removeKey((first,))
-        for first, value in now.items():
-            if held.get(first) != value:
-                self.open.updateValue((first,), value)
-        if now and held != now:
-            self.handle.registerTimer((sessions.lasts[0] + self.gap) // 1000 + 1)
-
-    def close(self) -> None:
-        pass
+    def _hold(self, states: dict, grp: str, sessions: _Sessions) -> None:
+        if sessions.firsts:
+            states[grp] = list(zip(sessions.firsts, sessions.lasts, sessions.states))
+        else:
+            states.pop(grp, None)
+
+    def _settled(self, states: dict, watermark: int) -> Iterator[tuple]:
+        for grp in [g for g, known in states.items() if known[0][1] < watermark - self.gap]:
+            sessions = _Sessions(self.gap, self.merge, states[grp])
+            for first, last, state in sessions.closed(watermark):
+                if state is not None:
+                    yield self.names.final(grp, first, last, json.dumps(state))
+            self._hold(states, grp, sessions)
+        self._save(states)
+        if states:
+            self.handle.registerTimer((min(known[0][1] for known in states.values()) + self.gap) // 1000 + 1)
 
 
 class _Part(_Session):
-    """The sessions of one part of a key's records in one micro-batch, passed on at once: nothing stays here."""
+    """The sessions of parts of keys' records in one micro-batch, passed on at once: nothing stays here."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         pass
 
     def _results(self, key, rows, watermark: int) -> Iterator[tuple]:
-        sessions = _Sessions(self.gap, self.merge)
-        yield from self._taken(key[0], rows, sessions, watermark)
-        for first, last, state in zip(sessions.firsts, sessions.lasts, sessions.states):
-            yield self.names.final(key[0], first, last, None if state is None else json.dumps(state))
+        for grp, given in self._given(key, rows).items():
+            sessions = _Sessions(self.gap, self.merge)
+            yield from self._taken(grp, given, sessions, watermark)
+            for first, last, state in zip(sessions.firsts, sessions.lasts, sessions.states):
+                yield self.names.final(grp, first, last, None if state is None else json.dumps(state))
 
 
 class _Parts(_Session):
-    """A key's open sessions, from the sessions of its parts."""
+    """Keys' open sessions, from the sessions of their parts."""
 
-    def _taken(self, grp: str, rows, sessions: _Sessions, watermark: int) -> Iterator[tuple]:
+    def _given(self, key, rows) -> dict:
+        found: dict = {}
         for frame in rows:
-            for row in frame[self.names.schema.names].itertuples(index=False, name=None):
-                _, first, last, state, *rest = row
-                if isinstance(rest[-1], str):  # a record that its part gave up
-                    yield self.names.failed(grp, tuple(int(n) for n in rest[:-2]), rest[-2], rest[-1])
-                    continue
-                for other, error in sessions.put(int(first), int(last), json.loads(state) if isinstance(state, str) else None):
-                    yield self.names.failed(grp, (int(first), *[-1] * (len(self.names.numbers) - 1)), json.dumps(other), error)
+            for grp, *row in zip(*[frame[n].tolist() for n in self.names.schema.names]):
+                found.setdefault(grp, []).append(row)
+        return found
+
+    def _taken(self, grp: str, given: list, sessions: _Sessions, watermark: int) -> Iterator[tuple]:
+        for first, last, state, *rest in given:
+            if isinstance(rest[-1], str):  # a record that its part gave up
+                yield self.names.failed(grp, tuple(int(n) for n in rest[:-2]), rest[-2], rest[-1])
+                continue
+            for other, error in sessions.put(int(first), int(last), json.loads(state) if isinstance(state, str) else None):
+                yield self.names.failed(grp, (int(first), *[-1] * (len(self.names.numbers) - 1)), json.dumps(other), error)
 
 
 def session_fold(stream, windows, init: Callable[[], object], step: Callable[[object, dict], object],
