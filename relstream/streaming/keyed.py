@@ -37,6 +37,8 @@ _SIDE = "__side"
 _AT = "__at"
 _KEY = "__key"
 _BUCKET = "__bucket"
+#: Stands for a missing number of the order: last, as a whole number, so that no other number of the bucket becomes a float.
+_NEVER = (1 << 63) - 1
 
 
 def _numbers(flow) -> list[Column]:
@@ -74,6 +76,7 @@ def bucket_of(df: DataFrame, *parts: Column) -> Column:
 def _bucketed(df: DataFrame, names: list[str], *rest: Column | str) -> DataFrame:
     """`rest` under the row's key, by bucket."""
     keyed = df.select(_key(df, names), *rest)
+    keyed = keyed.select(*[F.coalesce(c, F.lit(_NEVER)).alias(c) if c == _AT or c.startswith("__seq") else c for c in keyed.columns])
     return keyed.withColumn(_BUCKET, bucket_of(df, F.col(_KEY)))
 
 
@@ -90,6 +93,15 @@ def _given(frames: Iterator[pd.DataFrame], order: list[str], columns: list[str])
     return zip(*[batch[c].tolist() for c in columns])
 
 
+def _after(at: list[int], point: list[int] | None) -> bool:
+    """Whether a place in the order is after a version's; one that is not known is after none."""
+    return _NEVER not in at and (point is None or at > point)
+
+
+def _shown(at: list[int]) -> list[int | None]:
+    return [None if n == _NEVER else n for n in at]
+
+
 def _held(state: GroupState) -> dict:
     return json.loads(state.get[0]) if state.exists else {}
 
@@ -144,9 +156,9 @@ def changes(table, with_late: bool = False) -> DataFrame:
             at = list(map(int, at))
             known, old = held.get(name, (None, None))
             point = began.setdefault(name, known)  # late is what is not after the version before this micro-batch
-            if point is not None and at <= point:
+            if not _after(at, point):
                 if with_late:
-                    found.append((name, 0, text, *at))
+                    found.append((name, 0, text, *_shown(at)))
                 continue
             if old is not None:
                 found.append((name, -1, old, *at))
@@ -209,16 +221,16 @@ def join_table(stream, table, joiner=None, how: str = "inner", on: dict[str, Col
             part, at = f"{salt} {name}", list(map(int, at))
             if missing:  # a missing join key matches nothing
                 if side == 1:
-                    found.append((name, *at, text, None, False))
+                    found.append((name, *_shown(at), text, None, False))
                 continue
             known, version = held.get(part, (None, None))
             point = began.setdefault(part, known)
             if side == 1:
-                found.append((name, *at, text, version, False))
-            elif point is None or at > point:
+                found.append((name, *_shown(at), text, version, False))
+            elif _after(at, point):
                 held[part] = (at, text)
             elif salt == 0:
-                found.append((name, *at, text, version, True))
+                found.append((name, *_shown(at), text, version, True))
         _keep(state, held)
         yield from _frame(found, out)
 
@@ -258,8 +270,8 @@ def join_changelog(left, right, joiner=None, how: str = "inner"):
             at = list(map(int, at))
             points, texts = held.get(name, ((None, None), (None, None)))
             point = began.setdefault(name, points)[side]
-            if point is not None and at <= point:
-                found.append((name, *at, side, text, None, None, None))
+            if not _after(at, point):
+                found.append((name, *_shown(at), side, text, None, None, None))
                 continue
             now = (text, texts[1]) if side == 0 else (texts[0], text)
             held[name] = ((at, points[1]) if side == 0 else (points[0], at), now)

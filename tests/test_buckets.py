@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 
 from relstream import RecordStream, UpsertTable, sessions
-from relstream.catalog.replay import replay
+from relstream.catalog.replay import appended, replay
 from relstream.plans.scratch import scratch_path
 from relstream.streaming import keyed, running, windowed
 from frames import written
@@ -29,3 +29,15 @@ def test_states_are_as_many_as_buckets(spark, run):
     query.awaitTermination()
     held = [sum(op.numRowsTotal for op in progress.stateOperators) for progress in query.recentProgress]
     assert 0 < max(held) <= 3 * 4  # a text and a timer, in up to two operators
+
+
+def test_updates_without_time_are_late(spark):
+    """They change nothing, and the numbers beside them in a bucket stay whole."""
+    big = 2**60 + 1
+    rows = [("a", 1, 5, big), ("b", 2, 6, big), ("a", 3, None, big + 1)]
+    df = spark.createDataFrame(rows, "key string, value int, s int, seq long").selectExpr("key", "value", "timestamp_seconds(s) ts", "seq")
+    given = RecordStream(written(df.where("ts IS NOT NULL"), "events"), "key", "value")
+    live = replay(given, slices=1, late=df.where("ts IS NULL"), flush=False)
+    live.spark.conf.set("relstream.state.buckets", "1")
+    found = appended(keyed.changes(UpsertTable.of(live), with_late=True), spark)
+    assert sorted((r["key"], r["op"], r["value"], r["seq"]) for r in found.collect()) == [("a", 0, 3, big + 1), ("a", 1, 1, big), ("b", 1, 2, big)]
